@@ -63,9 +63,10 @@ def null_shares(df: DataFrame, cols, sentinel=-1.0) -> dict[str, float]:
     """split_cols_by_null_rate / null_flag_cols_by_rate: one-pass share of
     missing values per column (a tiny eager job whose result shapes the plan)."""
     exprs = []
+    numeric = {f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)}
     for c in cols:
         miss = F.col(c).isNull()
-        if sentinel is not None:
+        if sentinel is not None and c in numeric:
             miss = miss | (F.col(c) == F.lit(sentinel))
         exprs.append(F.avg(F.coalesce(miss, F.lit(True)).cast("double")).alias(c))
     row = df.agg(*exprs).first()
