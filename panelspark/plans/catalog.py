@@ -52,4 +52,4 @@ def report(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries, queries_core  # noqa: F401
+    from . import queries, queries_core, queries_metrics  # noqa: F401
