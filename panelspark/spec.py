@@ -91,6 +91,7 @@ def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
     """Spark conf used by tests and the bench (no UI, UTC, AQE on)."""
     return {
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
