@@ -44,12 +44,18 @@ def report(df: DataFrame) -> DataFrame:
         if fld.name.startswith("__"):
             continue
         c = F.col(f"`{fld.name}`")
-        if isinstance(fld.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        dt = fld.dataType
+        if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
             c = F.round(c.cast("double"), 8).cast("float")
+        elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, (T.DoubleType, T.FloatType)):
+            c = F.transform(c, lambda y: F.round(y.cast("double"), 8).cast("float"))
+        elif (isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.ArrayType)
+              and isinstance(dt.elementType.elementType, (T.DoubleType, T.FloatType))):
+            c = F.transform(c, lambda x: F.transform(x, lambda y: F.round(y.cast("double"), 8).cast("float")))
         cols.append(c.alias(fld.name))
     return df.select(*cols)
 
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries, queries_core, queries_metrics  # noqa: F401
+    from . import queries, queries_core, queries_metrics, queries_seq  # noqa: F401

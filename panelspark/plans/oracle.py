@@ -26,8 +26,8 @@ PANEL_ORDERS = """panel AS (
 
 PANEL_DAYS = """panel AS (
   SELECT user_id AS customer_id, CAST(ts AS DATE) AS s_2,
-         SUM(value) AS p_2, COUNT(*) AS b_1,
-         SUM(CASE WHEN event_type = 'purchase' THEN value END) AS d_39
+         round(SUM(value), 4) AS p_2, CAST(COUNT(*) AS DOUBLE) AS b_1,
+         round(SUM(CASE WHEN event_type = 'purchase' THEN value END), 4) AS d_39
   FROM events
   WHERE NOT (user_id % 5 = 0 AND ts < TIMESTAMP '2024-01-22 00:00:00')
   GROUP BY user_id, CAST(ts AS DATE))"""
@@ -113,3 +113,12 @@ def mode_cte(c: str, src: str = "panel") -> str:
             f"SELECT customer_id, {c}, row_number() OVER (PARTITION BY customer_id "
             f"ORDER BY count(*) DESC, {c}) AS k FROM {src} WHERE {c} IS NOT NULL "
             f"GROUP BY customer_id, {c}) t WHERE k = 1)")
+
+
+def seq_report(col: str) -> str:
+    """FLOAT report of a list-of-lists column."""
+    return f"list_transform({col}, lambda x: list_transform(x, lambda y: CAST(round(y, 8) AS FLOAT))) AS {col}"
+
+
+def vec_report(col: str) -> str:
+    return f"list_transform({col}, lambda y: CAST(round(y, 8) AS FLOAT)) AS {col}"

@@ -50,9 +50,9 @@ def panel_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     e = e.where(~((F.col("user_id") % 5 == 0) & (F.col("ts") < F.lit("2024-01-22 00:00:00").cast("timestamp_ntz"))))
     return (e.groupBy(F.col("user_id").alias("customer_id"), F.col("ts").cast("date").alias("s_2"))
-             .agg(F.sum("value").alias("p_2"),
-                  F.count(F.lit(1)).alias("b_1"),
-                  F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))).alias("d_39")))
+             .agg(F.round(F.sum("value"), 4).alias("p_2"),
+                  F.count(F.lit(1)).cast("double").alias("b_1"),
+                  F.round(F.sum(F.when(F.col("event_type") == "purchase", F.col("value"))), 4).alias("d_39")))
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
