@@ -58,4 +58,4 @@ def report(df: DataFrame) -> DataFrame:
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries, queries_core, queries_metrics, queries_seq  # noqa: F401
+    from . import queries, queries_core, queries_metrics, queries_seq, queries_ml  # noqa: F401
