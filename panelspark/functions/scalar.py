@@ -118,3 +118,11 @@ def sentinel_to_null(c, sentinel=-1, numeric: bool = True) -> Column:
     if numeric:
         bad = bad | F.isnan(x)
     return F.when(bad, F.lit(None)).otherwise(x)
+
+
+def stable_float(c) -> Column:
+    """Single-precision value after half-up rounding to 8 decimals done with
+    IEEE arithmetic (floor(x*1e8 + 0.5)/1e8); |x| >= 1e10 is only cast.
+    Used where a value is stored as float32 and for cross-engine reports."""
+    x = _c(c).cast("double")
+    return F.when(F.abs(x) < 1e10, F.floor(x * F.lit(1e8) + F.lit(0.5)) / F.lit(1e8)).otherwise(x).cast("float")

@@ -268,5 +268,5 @@ def bounds_json(bounds: dict[str, list[float]]) -> str:
 
 def standard_scaled_vector(df: DataFrame, features: list[str]) -> DataFrame:
     """Assembled + standard-scaled feature vector (for the MLP)."""
-    a = assemble(df, features, out="__raw")
-    return StandardScaler(inputCol="__raw", outputCol="features", withMean=True, withStd=True).fit(a).transform(a)
+    a = assemble(df, features, out="__x_raw")
+    return StandardScaler(inputCol="__x_raw", outputCol="features", withMean=True, withStd=True).fit(a).transform(a)

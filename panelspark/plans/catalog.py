@@ -37,8 +37,11 @@ def register(key: str, sql: str | None = None):
     return deco
 
 
+from ..functions.scalar import stable_float as stable  # noqa: E402
+
+
 def report(df: DataFrame) -> DataFrame:
-    """Drop internal ``__`` columns; fractional numbers -> FLOAT(round(x, 8))."""
+    """Drop internal ``__`` columns; fractional numbers (and arrays of them) -> stable FLOAT."""
     cols = []
     for fld in df.schema.fields:
         if fld.name.startswith("__"):
@@ -46,16 +49,16 @@ def report(df: DataFrame) -> DataFrame:
         c = F.col(f"`{fld.name}`")
         dt = fld.dataType
         if isinstance(dt, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), 8).cast("float")
+            c = stable(c)
         elif isinstance(dt, T.ArrayType) and isinstance(dt.elementType, (T.DoubleType, T.FloatType)):
-            c = F.transform(c, lambda y: F.round(y.cast("double"), 8).cast("float"))
+            c = F.transform(c, stable)
         elif (isinstance(dt, T.ArrayType) and isinstance(dt.elementType, T.ArrayType)
               and isinstance(dt.elementType.elementType, (T.DoubleType, T.FloatType))):
-            c = F.transform(c, lambda x: F.transform(x, lambda y: F.round(y.cast("double"), 8).cast("float")))
+            c = F.transform(c, lambda x: F.transform(x, stable))
         cols.append(c.alias(fld.name))
     return df.select(*cols)
 
 
 def load_all() -> None:
     """Import the modules that register queries."""
-    from . import queries, queries_core, queries_metrics, queries_seq, queries_ml  # noqa: F401
+    from . import queries, queries_core, queries_metrics, queries_seq, queries_ml, queries_io  # noqa: F401

@@ -2,12 +2,14 @@
 
 Only the raw tables are registered as views on the oracle side, so every
 statement inlines its panel CTE.  Doubles are reported as
-``FLOAT(round(x, 8))`` on both sides.  Summation order differs between engines
-(a few ulps).  ``round(x, 8)`` maps results whose exact value has <= 8 decimals
-(means of cent amounts, which can sit exactly on a float32 midpoint) to the
-same double on both sides; the FLOAT cast then absorbs the generic ulp noise of
-the remaining values (it only differs when a float midpoint falls inside the
-noise, ~1e-8 per value).
+``FLOAT(floor(x * 1e8 + 0.5) / 1e8)`` on both sides.  Summation order differs
+between engines (a few ulps); the half-up step maps results whose exact value
+has <= 8 decimals (means of cent amounts, which can sit exactly on a float32
+midpoint) to the same double, and it is plain IEEE arithmetic, so identical
+inputs give identical outputs in both engines (decimal ``round`` does not:
+Spark rounds the shortest decimal string, DuckDB the binary value).  The FLOAT
+cast then absorbs the generic ulp noise (it only differs when a float midpoint
+falls inside the noise, ~1e-8 per value).
 """
 
 from __future__ import annotations
@@ -50,9 +52,15 @@ CAT = ("d_63", "d_64")
 DAYS_NUM = ("p_2", "b_1", "d_39")
 
 
+def stable(expr: str) -> str:
+    """FLOAT(half-up to 8 decimals by IEEE arithmetic), as ``catalog.stable``."""
+    return (f"CAST(CASE WHEN abs({expr}) < 1e10 THEN floor(({expr}) * CAST(1e8 AS DOUBLE) + 0.5) / CAST(1e8 AS DOUBLE) "
+            f"ELSE ({expr}) END AS FLOAT)")
+
+
 def f(expr: str, name: str) -> str:
     """FLOAT-reported output column."""
-    return f"CAST(round({expr}, 8) AS FLOAT) AS {name}"
+    return f"{stable(expr)} AS {name}"
 
 
 def report(floats, others=(), src: str = "g") -> str:
@@ -117,8 +125,8 @@ def mode_cte(c: str, src: str = "panel") -> str:
 
 def seq_report(col: str) -> str:
     """FLOAT report of a list-of-lists column."""
-    return f"list_transform({col}, lambda x: list_transform(x, lambda y: CAST(round(y, 8) AS FLOAT))) AS {col}"
+    return f"list_transform({col}, lambda x: list_transform(x, lambda y: {stable('y')})) AS {col}"
 
 
 def vec_report(col: str) -> str:
-    return f"list_transform({col}, lambda y: CAST(round(y, 8) AS FLOAT)) AS {col}"
+    return f"list_transform({col}, lambda y: {stable('y')}) AS {col}"

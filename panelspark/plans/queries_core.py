@@ -231,10 +231,10 @@ register("win_lag_diff", W(O.PANEL_ORDERS, "g AS (SELECT seq, customer_id, p_2 -
                            final=O.report(["p_2_diff"], ["seq", "customer_id"])))(
     lambda spark, sf: H.lag_diff(panel_orders(spark, sf), SP, ["p_2"]).select("seq", "customer_id", "p_2_diff"))
 
-register("win_nth_from_end", W(O.PANEL_ORDERS, f"r AS ({O.ranked()})", final="SELECT customer_id, seq, s_2, CAST(round(p_2, 8) AS FLOAT) AS p_2 FROM r WHERE rd = 2"))(
+register("win_nth_from_end", W(O.PANEL_ORDERS, f"r AS ({O.ranked()})", final="SELECT customer_id, seq, s_2, " + O.stable("p_2") + " AS p_2 FROM r WHERE rd = 2"))(
     lambda spark, sf: H.nth_from_end(panel_orders(spark, sf), SP, 2).select("customer_id", "seq", "s_2", "p_2"))
 
-register("win_tail_n", W(O.PANEL_ORDERS, f"r AS ({O.ranked()})", final="SELECT customer_id, seq, s_2, CAST(round(p_2, 8) AS FLOAT) AS p_2 FROM r WHERE rd <= 5"))(
+register("win_tail_n", W(O.PANEL_ORDERS, f"r AS ({O.ranked()})", final="SELECT customer_id, seq, s_2, " + O.stable("p_2") + " AS p_2 FROM r WHERE rd <= 5"))(
     lambda spark, sf: H.tail_n(panel_orders(spark, sf), SP, 5).select("customer_id", "seq", "s_2", "p_2"))
 
 register("win_ffill", W(O.PANEL_ORDERS, PC, "g AS (SELECT customer_id, seq, last(b_1 IGNORE NULLS) OVER (PARTITION BY customer_id ORDER BY s_2, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b_1 FROM pc)",
@@ -311,7 +311,7 @@ _share2 = " UNION ALL ".join([f"SELECT '{c}' AS feature, avg(CASE WHEN {c} IS NU
 register("null_flag_cols_by_rate", W(O.PANEL_ORDERS, f"s AS ({_share2})", "g AS (SELECT feature, CAST(null_share AS DOUBLE) AS null_share, null_share > 0.005 AS keep_flag FROM s)",
                                      final=O.report(["null_share"], ["feature", "keep_flag"])))(_flag_rate)
 
-register("rename_suffix", W(O.PANEL_ORDERS, final="SELECT customer_id, s_2 AS s_2_r, seq AS seq_r, CAST(round(p_2, 8) AS FLOAT) AS p_2_r FROM panel"))(
+register("rename_suffix", W(O.PANEL_ORDERS, final="SELECT customer_id, s_2 AS s_2_r, seq AS seq_r, " + O.stable("p_2") + " AS p_2_r FROM panel"))(
     lambda spark, sf: R.rename_suffix(panel_orders(spark, sf).select("customer_id", "s_2", "seq", "p_2"), "_r", keep=("customer_id",)))
 
 
@@ -327,7 +327,7 @@ register("cast_restore", W(O.PANEL_ORDERS, final="SELECT customer_id, seq, CAST(
 register("reorder_cols", W(O.PANEL_ORDERS, final="SELECT d_63, d_64, customer_id, s_2, seq, " + ", ".join(O.f(c, c) for c in O.NUM) + ", dset FROM panel"))(
     lambda spark, sf: R.reorder_cols(panel_orders(spark, sf), first=("d_63", "d_64"), last=("dset",)))
 
-register("filter_eq", W(O.PANEL_ORDERS, MA, final="SELECT customer_id, seq, CAST(round(p_2, 8) AS FLOAT) AS p_2 FROM m WHERE months_ago = 1"))(
+register("filter_eq", W(O.PANEL_ORDERS, MA, final="SELECT customer_id, seq, " + O.stable("p_2") + " AS p_2 FROM m WHERE months_ago = 1"))(
     lambda spark, sf: H.months_ago(panel_orders(spark, sf), SP).where("months_ago = 1").select("customer_id", "seq", "p_2"))
 
 

@@ -47,7 +47,7 @@ register("win_cumulative_weight", W(O.SCORES, SW, _cum_cte("c", "prediction DESC
     lambda spark, sf: M.cumulative_weight(scores(spark, sf)))
 
 register("topk_weighted_fraction", W(O.SCORES, SW, _cum_cte("c", "prediction DESC, id"), "tot AS (SELECT sum(w) AS wsum FROM sw)",
-                                     final="SELECT id, CAST(round(prediction, 8) AS FLOAT) AS prediction, target FROM c, tot WHERE cw <= floor(0.04 * wsum)"))(
+                                     final="SELECT id, " + O.stable("prediction") + " AS prediction, target FROM c, tot WHERE cw <= floor(0.04 * wsum)"))(
     lambda spark, sf: M.topk_weighted_fraction(scores(spark, sf)))
 
 _c, _v = _metric_sql()

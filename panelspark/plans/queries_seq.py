@@ -169,13 +169,13 @@ register("fn_array_shift_pad", W(*V2_CTES, "g AS (SELECT customer_id, list_conca
                                  final=f"SELECT customer_id, {O.seq_report('seq')} FROM g"))(
     lambda spark, sf: _v2(spark, sf).select("customer_id", Q.shift_pad(F.col("seq")).alias("seq")))
 
-register("fn_array_get", W(*V2_CTES, final="SELECT customer_id, CAST(round(seq[-1][1], 8) AS FLOAT) AS last_p_2, CAST(round(seq[1][5], 8) AS FLOAT) AS first_ago FROM s"))(
+register("fn_array_get", W(*V2_CTES, final="SELECT customer_id, " + O.stable("seq[-1][1]") + " AS last_p_2, " + O.stable("seq[1][5]") + " AS first_ago FROM s"))(
     lambda spark, sf: _v2(spark, sf).select("customer_id", Q.array_get(F.col("seq"), -1, 1).alias("last_p_2"), Q.array_get(F.col("seq"), 1, 5).alias("first_ago")))
 
 register("fn_array_slice", W(*V2_CTES, "g AS (SELECT customer_id, list_transform(seq, lambda x: x[2:]) AS seq FROM s)", final=f"SELECT customer_id, {O.seq_report('seq')} FROM g"))(
     lambda spark, sf: _v2(spark, sf).select("customer_id", Q.array_drop_feature(F.col("seq"), 1).alias("seq")))
 
-register("fn_array_sum", W(*V2_CTES, final="SELECT customer_id, CAST(round(list_sum(list_transform(seq, lambda x: x[4])), 8) AS FLOAT) AS n_missing FROM s"))(
+register("fn_array_sum", W(*V2_CTES, final="SELECT customer_id, " + O.stable("list_sum(list_transform(seq, lambda x: x[4]))") + " AS n_missing FROM s"))(
     lambda spark, sf: _v2(spark, sf).select("customer_id", Q.array_sum_feature(F.col("seq"), 4).alias("n_missing")))
 
 
@@ -193,7 +193,7 @@ register("fn_array_concat_features", W(*V2_CTES, *V1_CTES[1:], "g AS (SELECT cus
                                        final=f"SELECT customer_id, {O.seq_report('seq')} FROM g"))(_concat_feats)
 
 register("next_value_target", W(*V2_CTES, "g AS (SELECT customer_id, list_transform(seq, lambda x: x[2:]) AS seq, seq[-1][1] AS next_target FROM s)",
-                                final=f"SELECT customer_id, {O.seq_report('seq')}, CAST(round(next_target, 8) AS FLOAT) AS next_target FROM g"))(
+                                final=f"SELECT customer_id, {O.seq_report('seq')}, " + O.stable("next_target") + " AS next_target FROM g"))(
     lambda spark, sf: Q.next_value_target(_v2(spark, sf)))
 
 
