@@ -10,8 +10,9 @@ running sums here are two-level:
    over partitions too;
 2. per-partition cumulative sums (``mapInPandas``, carried across Arrow
    batches, no extra shuffle);
-3. per-(group, partition) totals -> exclusive prefix over partitions: a table
-   of at most groups x partitions rows, which is broadcast back.
+3. per-partition totals -> exclusive prefix over partitions: a table of
+   ``partitions`` rows, broadcast back; per-group sums subtract the global sum
+   before the group's first row (one row per group, measured join).
 
 Score: the mean of the normalised weighted Gini and the share of positives
 captured in the top 4% of weight (negatives weigh 20).
@@ -32,47 +33,53 @@ TOP_FRACTION = 0.04
 
 def running_sums(df: DataFrame, order: list[Column], cols: list[str], by: tuple[str, ...] = (),
                  n_parts: int | None = None, prefix: str = "cum_") -> DataFrame:
-    """Inclusive running sums of ``cols`` in ``order`` (within ``by`` groups)."""
+    """Inclusive running sums of ``cols`` in ``order`` (restarting per ``by`` group).
+
+    One global pass ordered by (by, order); a group's sums are the global
+    sums minus the global sum just before the group's first row (one row per
+    group, joined back with a measured broadcast, else a shuffle join)."""
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b).asc() for b in by] + list(order)
-    d = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    allc = list(cols) + (["__one"] if by and "__one" not in cols else [])
+    d = df.withColumn("__one", F.lit(1.0)) if by else df
+    d = (d.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
            .withColumn("__pid", F.spark_partition_id()))
-    loc_names = [f"__loc_{c}" for c in cols]
+    loc_names = [f"__loc_{c}" for c in allc]
     schema = T.StructType(d.schema.fields + [T.StructField(x, T.DoubleType()) for x in loc_names])
-    by_l = list(by)
 
     def local(batches):
-        carry = None  # (group key, running values) of the previous batch's last row
+        carry = np.zeros(len(allc))
         for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{x: pd.Series(dtype="float64") for x in loc_names})
-                continue
-            vals = pdf[cols].astype("float64")
-            if by_l:
-                gkey = pdf[by_l].astype(str).agg("\x1f".join, axis=1) if len(by_l) > 1 else pdf[by_l[0]].astype(str)
-                cum = vals.groupby(gkey.values, sort=False).cumsum()
-            else:
-                gkey = pd.Series(np.zeros(len(pdf), dtype=np.int8))
-                cum = vals.cumsum()
-            if carry is not None:
-                same = (gkey.values == carry[0])
-                cum.loc[same] = cum.loc[same].values + carry[1]
+            cum = pdf[allc].astype("float64").to_numpy().cumsum(axis=0) + carry
+            if len(pdf):
+                carry = cum[-1]
             out = pdf.copy()
-            for c, x in zip(cols, loc_names):
-                out[x] = cum[c].values
-            carry = (gkey.values[-1], cum.iloc[-1].values)
+            for j, x in enumerate(loc_names):
+                out[x] = cum[:, j] if len(pdf) else pd.Series(dtype="float64")
             yield out
 
     loc = d.mapInPandas(local, schema)
-    tot = loc.groupBy(*by, "__pid").agg(*[F.sum(c).cast("double").alias(f"__tot_{c}") for c in cols])
-    w = (Window.partitionBy(*by) if by else Window.partitionBy()).orderBy("__pid").rowsBetween(
-        Window.unboundedPreceding, -1)
-    off = tot.select(*by, "__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(w), F.lit(0.0)).alias(f"__off_{c}")
-                                     for c in cols])
-    res = loc.join(F.broadcast(off), [*by, "__pid"])
-    res = res.withColumns({f"{prefix}{c}": F.col(f"__loc_{c}") + F.col(f"__off_{c}") for c in cols})
-    return res.drop("__pid", *loc_names, *[f"__off_{c}" for c in cols])
+    # Partition totals must come from the same plan as the local sums: both
+    # consumers then share one (reused) range exchange.  A second, separately
+    # planned exchange may sample different range bounds (RangePartitioner
+    # re-samples with an RDD-id seed), and partition ids would not line up.
+    tot = loc.groupBy("__pid").agg(*[F.sum(F.col(c).cast("double")).alias(f"__tot_{c}") for c in allc])
+    w = Window.partitionBy().orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select("__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(w), F.lit(0.0)).alias(f"__off_{c}") for c in allc])
+    res = loc.join(F.broadcast(off), "__pid")  # one row per partition
+    res = res.withColumns({f"__g_{c}": F.col(f"__loc_{c}") + F.col(f"__off_{c}") for c in allc})
+    if by:
+        # global sum just before each group's first row (first = smallest global position)
+        start = res.groupBy(*by).agg(*[F.min_by(F.col(f"__g_{c}") - F.col(c), F.col("__g___one")).alias(f"__s_{c}")
+                                       for c in cols])
+        from .relational import join_small
+        res = join_small(res, start, list(by))
+        res = res.withColumns({f"{prefix}{c}": F.col(f"__g_{c}") - F.col(f"__s_{c}") for c in cols})
+        res = res.drop(*[f"__s_{c}" for c in cols])
+    else:
+        res = res.withColumns({f"{prefix}{c}": F.col(f"__g_{c}") for c in cols})
+    return res.drop("__pid", "__one", *loc_names, *[f"__off_{c}" for c in allc], *[f"__g_{c}" for c in allc])
 
 
 def _weighted(df: DataFrame, target: str) -> DataFrame:
@@ -104,27 +111,36 @@ def topk_weighted_fraction(df: DataFrame, score: str = "prediction", target: str
 
 
 def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast: bool = False) -> DataFrame:
-    """Per group: weighted gini (unnormalised), top-4% capture, n_pos, n_neg."""
+    """Per group: weighted gini, its perfect-order maximum, top-4% capture.
+
+    Only one ordered pass is needed.  With W = sum w, Q = sum w^2, P = #positives:
+      sum_i w_i cumW_i = (W^2 + Q) / 2            (order-free)
+      gini = sum_i w_i cumPos_i / P - (W^2 + Q) / (2 W)
+      gini_max (positives first, w = 1) = (P + 1)/2 + 20 N - (W^2 + Q) / (2 W)
+    which equals the closed form 10 N (P + 20 N - 19) / (P + 20 N)."""
     by = tuple(by) or ("__k",)
+    d = df.select(*[c for c in by if c != "__k"], idcol, score, target)
     if by == ("__k",):
-        df = df.withColumn("__k", F.lit(0))
-    c = _cum(df, score, target, idcol, by)
-    g = c.groupBy(*by).agg(
-        F.sum("__w").alias("W"), F.sum("__tw").alias("TW"), F.sum("__t").alias("n_pos"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("__w") * F.col("cum___tw")).alias("S_tw"),
-        F.sum(F.col("__w") * F.col("cum___w")).alias("S_w"))
-    # capture needs the group's total weight: one row per group, broadcast back
-    cc = c.join(F.broadcast(g.select(*by, "W")), list(by))
+        d = d.withColumn("__k", F.lit(0))
+    d = _weighted(d, target)
+    tot = d.groupBy(*by).agg(F.sum("__w").alias("W"), F.sum(F.col("__w") * F.col("__w")).alias("Q"),
+                             F.sum("__t").alias("n_pos"), F.count(F.lit(1)).alias("n"))
+    c = running_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__t"], by=by)
+    from .relational import join_small
+    c = join_small(c, tot, list(by))
     if fast:
         cond = F.col("cum___w") / F.col("W") <= F.lit(TOP_FRACTION)
     else:
         cond = F.col("cum___w") <= F.floor(F.lit(TOP_FRACTION) * F.col("W"))
-    cap = cc.groupBy(*by).agg(F.sum(F.when(cond, F.col("__t")).otherwise(0.0)).alias("cap_pos"))
-    g = g.join(cap, list(by))
-    gini = F.col("S_tw") / F.col("TW") - F.col("S_w") / F.col("W")
-    return g.withColumns({"gini": gini, "d": F.col("cap_pos") / F.col("n_pos"),
-                          "n_neg": F.col("n") - F.col("n_pos")})
+    g = c.groupBy(*by).agg(F.sum(F.col("__w") * F.col("cum___t")).alias("S_tw"),
+                           F.sum(F.when(cond, F.col("__t")).otherwise(0.0)).alias("cap_pos"),
+                           F.first("W").alias("W"), F.first("Q").alias("Q"), F.first("n_pos").alias("n_pos"),
+                           F.first("n").alias("n"))
+    sw = (F.col("W") * F.col("W") + F.col("Q")) / (F.lit(2.0) * F.col("W"))
+    n_neg = F.col("n") - F.col("n_pos")
+    return g.withColumns({"gini": F.col("S_tw") / F.col("n_pos") - sw,
+                          "gini_exact_max": (F.col("n_pos") + 1) / 2.0 + F.lit(NEG_WEIGHT) * n_neg - sw,
+                          "d": F.col("cap_pos") / F.col("n_pos"), "n_neg": n_neg})
 
 
 def _gini_max(n_pos: Column, n_neg: Column) -> Column:
@@ -136,14 +152,7 @@ def metric_frame(df: DataFrame, score: str = "prediction", target: str = "target
                  by=(), fast: bool = False) -> DataFrame:
     """One row per group with gini, gini_max, norm_gini, top4 (d) and score."""
     g = _components(df, score, target, idcol, by, fast)
-    keys = list(by) or ["__k"]
-    if fast:
-        gmax = _gini_max(F.col("n_pos"), F.col("n_neg"))
-    else:
-        # exact: gini of the table ordered by the target itself
-        p = _components(df.withColumn("__tgt_score", F.col(target).cast("double")), "__tgt_score", target, idcol, by)
-        g = g.join(p.select(*keys, F.col("gini").alias("__gmax")), keys)
-        gmax = F.col("__gmax")
+    gmax = _gini_max(F.col("n_pos"), F.col("n_neg")) if fast else F.col("gini_exact_max")
     g = g.withColumn("gini_max", gmax).withColumn("norm_gini", F.col("gini") / F.col("gini_max"))
     return g.select(*by, "gini", "gini_max", "norm_gini", F.col("d").alias("top4"),
                     (F.lit(0.5) * (F.col("norm_gini") + F.col("d"))).alias("score"))
