@@ -31,3 +31,71 @@ def stratified_folds(labels: DataFrame, key: str, stratum: str = "target", k: in
     r = running_sums(d, [F.col("__h").asc(), F.col(key).asc()], ["__one"], by=(stratum,))
     return r.withColumn(out, (F.pmod(F.col("cum___one").cast("long") - 1, F.lit(k))).cast("int")).drop(
         "__h", "__one", "cum___one")
+
+
+def greedy_buckets(df: DataFrame, key: str, value: str, target: str = "target", n: int = 10) -> DataFrame:
+    """win_greedy_buckets: walk the rows in ``value`` order (descending, NULLs
+    last, then key) and close a bucket as soon as it holds >= n rows of each
+    class -- computed exactly without a sequential loop.
+
+    With prefix class counts C0(s), C1(s) before row s and the positions
+    z[k], o[k] of the k-th zero / one, the bucket opened at s closes at
+    max(z[C0(s)+n], o[C1(s)+n]), so next(s) is two equi-joins on class ranks
+    (unique keys: no skew).  Bucket starts are the orbit of row 0 under next;
+    pointer doubling (J_{k+1} = J_k o J_k, each level checkpointed to the
+    shared folder) finds it in O(log #buckets) joins.  The bucket of a row is
+    the running count of starts up to it, minus one.
+
+    Returns key, value, target, pos, bucket (raw greedy id)."""
+    from .metrics import running_sums
+    spark = df.sparkSession
+    t = F.col(target).cast("int")
+    d = df.select(key, value, target).withColumns({
+        "__z": (t == 0).cast("double"), "__o": (t == 1).cast("double"), "__one": F.lit(1.0)})
+    r = running_sums(d, [F.col(value).desc_nulls_last(), F.col(key).asc()], ["__one", "__z", "__o"])
+    r = r.select(key, value, target, "__z",
+                 (F.col("cum___one") - 1).cast("long").alias("pos"),
+                 (F.col("cum___z") - F.col("__z")).cast("long").alias("c0"),
+                 (F.col("cum___o") - F.col("__o")).cast("long").alias("c1"),
+                 F.col("cum___z").cast("long").alias("kz"), F.col("cum___o").cast("long").alias("ko")).checkpoint()
+    total = r.count()
+    zs = r.where("__z = 1").select(F.col("kz").alias("k"), F.col("pos").alias("zpos"))
+    os_ = r.where("__z = 0").select(F.col("ko").alias("k2"), F.col("pos").alias("opos"))
+    nx = (r.select("pos", (F.col("c0") + n).alias("need0"), (F.col("c1") + n).alias("need1"))
+           .join(zs, F.col("need0") == F.col("k"), "left").join(os_, F.col("need1") == F.col("k2"), "left"))
+    close = F.greatest("zpos", "opos")
+    nx = nx.select("pos", F.when(F.col("zpos").isNotNull() & F.col("opos").isNotNull() & (close + 1 < total),
+                                 close + 1).alias("nxt")).checkpoint()
+    levels = [nx]
+    max_buckets = total // (2 * n) + 1
+    while (1 << len(levels)) <= max_buckets:
+        a, b = levels[-1].alias("a"), levels[-1].alias("b")
+        j = a.join(b, F.col("a.nxt") == F.col("b.pos"), "left").select(F.col("a.pos"), F.col("b.nxt").alias("nxt"))
+        levels.append(j.checkpoint())
+    starts = spark.createDataFrame([(0,)], "pos long")
+    for lvl in reversed(levels):
+        step = starts.join(lvl, "pos").where(F.col("nxt").isNotNull()).select(F.col("nxt").alias("pos"))
+        starts = starts.unionByName(step).distinct().checkpoint()
+    m = r.join(starts.withColumn("__start", F.lit(1.0)), "pos", "left").fillna(0.0, ["__start"])
+    m = running_sums(m, [F.col("pos").asc()], ["__start"])
+    return m.select(key, value, target, "pos", (F.col("cum___start") - 1).cast("long").alias("bucket"))
+
+
+def bucket_strata(buckets: DataFrame, value: str, target: str = "target") -> DataFrame:
+    """Post-steps of the bucket trick: NULL value -> -1, bucket 0 -> 1, the last
+    bucket merged into the one before; stratum = bucket + target * 10^6."""
+    b = F.when(F.col(value).isNull(), F.lit(-1)).otherwise(F.col("bucket"))
+    b = F.when(b == 0, F.lit(1)).otherwise(b)
+    out = buckets.withColumn("bucket_id", b.cast("long"))
+    mx = out.agg(F.max("bucket_id")).first()[0]
+    out = out.withColumn("bucket_id", F.when(F.col("bucket_id") == mx, F.lit(mx - 1)).otherwise(F.col("bucket_id")))
+    return out.withColumn("stratum", F.col("bucket_id") + F.col(target).cast("long") * 10**6)
+
+
+def bucket_stratified_folds(labels: DataFrame, key: str, value: str, target: str = "target", k: int = 10,
+                            n: int | None = None, seed: int = SEED) -> DataFrame:
+    """bucket_stratified_folds: class-balanced buckets of ``value`` x class ->
+    stratified k folds (the buckets need >= k rows per class)."""
+    st = bucket_strata(greedy_buckets(labels, key, value, target, n or k), value, target)
+    f = stratified_folds(st.select(key, target, "stratum"), key, "stratum", k=k, seed=seed)
+    return f.select(key, target, "stratum", "val_fold_n")

@@ -115,3 +115,21 @@ def _sink_seq(spark, sf):
 
 
 register("sink_sequences", W(*V2_CTES, final=f"SELECT customer_id, {O.seq_report('seq')} FROM s"))(_sink_seq)
+
+
+def _drop_low(spark, sf):
+    """drop_low_importance: importances read back from a written model log;
+    features at or below the threshold (0.5 non-missing share) are dropped."""
+    p = panel_orders(spark, sf)
+    sh = feat.null_shares(p, list(SP.features), SP.sentinel)
+    log = {"features": list(SP.features), "Aggregated_FI": [(c, 1.0 - v) for c, v in sh.items()]}
+    path = IO.write_json_rows(IO.model_log_frame(spark, log), IO.scratch_path(spark, "fi-log"))
+    imp = IO.read_importances(spark, path)
+    return R.drop_low_importance(p, imp, 0.5)
+
+
+_keep = ", ".join(O.f(c, c) if c in O.NUM else c for c in ["customer_id", "s_2", "seq", "p_2", "b_1", "d_42", "d_63", "d_64", "dset"])
+_imp_cte = "imp AS (" + _imp + ")"
+register("drop_low_importance", W(O.PANEL_ORDERS, _imp_cte,
+                                  final="SELECT customer_id, s_2, seq, " + O.f("p_2", "p_2") + ", " + O.f("b_1", "b_1") + ", d_63, d_64, dset FROM panel "
+                                        "WHERE (SELECT importance FROM imp WHERE feature = 'd_42') <= 0.5"))(_drop_low)

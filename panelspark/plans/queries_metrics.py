@@ -130,3 +130,36 @@ def _bag(spark, sf):
 
 register("bag_predictions", W(O.SCORES, "g AS (SELECT id, avg(p) AS prediction FROM (SELECT id, prediction AS p FROM scores UNION ALL SELECT id, prediction_2 FROM scores) GROUP BY id)",
                               final=O.report(["prediction"], ["id"])))(_bag)
+
+
+# ------------------------------------------------------------------ greedy buckets
+def _bucket_input(spark, sf):
+    """last statement p_2 per customer with the learnable label."""
+    from ..operators import history as H
+    from ..sources.fixtures import ORDERS_SPEC, panel_orders
+    last = H.tail_n(panel_orders(spark, sf), ORDERS_SPEC, 1).select("customer_id", "p_2")
+    return customer_labels(spark, sf).join(last, "customer_id")
+
+
+BUCKET_N = 10
+_WALK = W(O.PANEL_ORDERS, O.CUSTOMER_LABELS,
+          "lastp AS (SELECT customer_id, arg_max(p_2, seq) AS p_2 FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY s_2 DESC, seq DESC) AS k FROM panel) t WHERE k = 1 GROUP BY 1)",
+          "base AS (SELECT customer_id, target, p_2 FROM labels_c JOIN lastp USING (customer_id))",
+          "s AS (SELECT *, row_number() OVER (ORDER BY p_2 DESC NULLS LAST, customer_id) - 1 AS pos, CAST(target = 0 AS INTEGER) AS z, CAST(target = 1 AS INTEGER) AS o FROM base)",
+          f"RECURSIVE walk AS (SELECT pos, CAST(0 AS BIGINT) AS b, CASE WHEN z >= {BUCKET_N} AND o >= {BUCKET_N} THEN 1 ELSE 0 END AS nb, "
+          f"CASE WHEN z >= {BUCKET_N} AND o >= {BUCKET_N} THEN 0 ELSE z END AS q0, CASE WHEN z >= {BUCKET_N} AND o >= {BUCKET_N} THEN 0 ELSE o END AS q1 FROM s WHERE pos = 0 "
+          f"UNION ALL SELECT s.pos, w.nb, CASE WHEN w.q0 + s.z >= {BUCKET_N} AND w.q1 + s.o >= {BUCKET_N} THEN w.nb + 1 ELSE w.nb END, "
+          f"CASE WHEN w.q0 + s.z >= {BUCKET_N} AND w.q1 + s.o >= {BUCKET_N} THEN 0 ELSE w.q0 + s.z END, "
+          f"CASE WHEN w.q0 + s.z >= {BUCKET_N} AND w.q1 + s.o >= {BUCKET_N} THEN 0 ELSE w.q1 + s.o END FROM walk w JOIN s ON s.pos = w.pos + 1)",
+          "wb AS (SELECT s.customer_id, s.target, s.p_2, s.pos, walk.b AS bucket FROM s JOIN walk USING (pos))",
+          final="SELECT customer_id, target, " + O.stable("p_2") + " AS p_2, pos, bucket FROM wb").replace("WITH ", "WITH RECURSIVE ", 1).replace("RECURSIVE walk AS", "walk AS")
+
+register("win_greedy_buckets", _WALK)(
+    lambda spark, sf: FO.greedy_buckets(_bucket_input(spark, sf), "customer_id", "p_2", "target", BUCKET_N))
+
+_FOLDS = (_WALK.rsplit("\nSELECT", 1)[0]
+          + ", b2 AS (SELECT *, CASE WHEN p_2 IS NULL THEN -1 WHEN bucket = 0 THEN 1 ELSE bucket END AS b FROM wb), "
+          "b3 AS (SELECT *, CASE WHEN b = max(b) OVER () THEN b - 1 ELSE b END + target * 1000000 AS stratum FROM b2) "
+          "SELECT customer_id, target, CAST(stratum AS BIGINT) AS stratum, CAST((row_number() OVER (PARTITION BY stratum ORDER BY md5(CAST(customer_id AS VARCHAR) || ':28'), customer_id) - 1) % 10 AS INTEGER) AS val_fold_n FROM b3")
+register("bucket_stratified_folds", _FOLDS)(
+    lambda spark, sf: FO.bucket_stratified_folds(_bucket_input(spark, sf), "customer_id", "p_2", "target", k=10))
