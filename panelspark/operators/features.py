@@ -296,15 +296,32 @@ def group_rel_transform(df: DataFrame, spec: PanelSpec, group: Column | str, gna
     return z.groupBy(spec.entity).agg(*agg_exprs(list(rel), list(time_aggs)))
 
 
-def group_rel_features(df: DataFrame, spec: PanelSpec, important=None, split_col: str = "dset") -> DataFrame:
+def group_rel_features(df: DataFrame, spec: PanelSpec, important=None, split_col: str = "dset",
+                       time_aggs=("mean", "std", "last", "min", "max")) -> DataFrame:
     """Month-relative z of all numerics (stats per split) + category-relative z
-    of ``important`` numerics (stats over all splits), full outer by entity."""
+    of ``important`` numerics (stats over all splits), aggregated over time.
+
+    One pass: the (bounded, measured) statistics tables are joined onto the
+    rows, every z column is computed per row and all aggregates go into ONE
+    ``groupBy(entity)``.  A NULL category gives a NULL z, which the aggregates
+    skip -- equal to dropping those rows from that category's block."""
+    from .relational import join_small
     num = list(spec.num)
     important = list(important or num[:2])
-    out = group_rel_transform(df, spec, F.trunc(spec.ts, "MM"), spec.ts, num, by=(split_col,))
-    for c in spec.cat:
-        out = out.join(group_rel_transform(df, spec, c, c, important), spec.entity, "full_outer")
-    return out
+    base = clean_sentinels(df, num, spec.sentinel).withColumn("__month", F.trunc(spec.ts, "MM"))
+    ms = base.groupBy("__month", split_col).agg(*[_f32(F.avg(c)).alias(f"__mu_m_{c}") for c in num],
+                                               *[_f32(F.stddev_samp(c)).alias(f"__sd_m_{c}") for c in num])
+    z = join_small(base, ms, ["__month", split_col], "left")
+    zc = {f"{c}_rel_{spec.ts}_mean": F.try_divide(F.col(c) - F.col(f"__mu_m_{c}"), F.col(f"__sd_m_{c}")) for c in num}
+    for cat in spec.cat:
+        cs = base.where(F.col(cat).isNotNull()).groupBy(cat).agg(
+            *[_f32(F.avg(c)).alias(f"__mu_{cat}_{c}") for c in important],
+            *[_f32(F.stddev_samp(c)).alias(f"__sd_{cat}_{c}") for c in important])
+        z = join_small(z, cs, cat, "left")
+        zc.update({f"{c}_rel_{cat}_mean": F.try_divide(F.col(c) - F.col(f"__mu_{cat}_{c}"), F.col(f"__sd_{cat}_{c}"))
+                   for c in important})
+    z = with_order_key(z.withColumns(zc), spec)
+    return z.groupBy(spec.entity).agg(*agg_exprs(list(zc), list(time_aggs)))
 
 
 # ---------------------------------------------------------------- flattening
@@ -328,21 +345,29 @@ def months_ago(df: DataFrame, spec: PanelSpec, name: str = "months_ago") -> Data
 
 def flatten_full_history(df: DataFrame, spec: PanelSpec, cols=None, fill=-1.0) -> DataFrame:
     """Every column x periods-ago 0..max_periods-1 (month-aligned, holes kept),
-    missing -> fill.  One row per entity-period first (last row of the period)."""
+    missing -> fill.  The last row of each period wins.
+
+    One ``groupBy(entity)`` collects at most ``max_periods`` (period, order,
+    values) structs per entity; the period lookup happens on that bounded
+    array (no pivot, no SortAggregate on string buffers)."""
     cols = list(cols or spec.features)
-    df = months_ago(df, spec, "__ma").where(F.col("__ma") < spec.max_periods)
-    df = df.withColumn("__r", F.row_number().over(
-        Window_by(spec, "__ma"))).where(F.col("__r") == 1)
-    out = df.groupBy(spec.entity).pivot("__ma", list(range(spec.max_periods))).agg(
-        *[F.first(c).alias(c) for c in cols])
-    ren = {}
-    for i in range(spec.max_periods):
+    n = spec.max_periods
+    df = months_ago(df, spec, "__ma").where(F.col("__ma") < n)
+    okey = [F.col(spec.ts)] + ([F.col(spec.tiebreak)] if spec.tiebreak else [])
+    st = F.struct(F.col("__ma").alias("ma"), *[F.struct(*okey).alias("o")], F.struct(*cols).alias("v"))
+    g = df.groupBy(spec.entity).agg(F.array_sort(F.collect_list(st)).alias("__h"))
+    # per period: the entry with the largest order (array is sorted by (ma, o))
+    def at_period(i):
+        return lambda x: x["ma"] == F.lit(i)  # one-argument lambda (two would mean (x, index))
+
+    per = {i: F.try_element_at(F.filter(F.col("__h"), at_period(i)), F.lit(-1))["v"] for i in range(n)}
+    out = [spec.entity]
+    for i in range(n):
         for c in cols:
-            src = f"{i}_{c}" if len(cols) > 1 else f"{i}"
-            x = F.col(f"`{src}`")
+            x = per[i][c]
             x = F.coalesce(x, F.lit(fill)) if c in spec.num else F.coalesce(x, F.lit(str(int(fill))))
-            ren[f"{c}_{i}"] = x
-    return out.select(spec.entity, *[v.alias(k) for k, v in ren.items()])
+            out.append(x.alias(f"{c}_{i}"))
+    return g.select(*out)
 
 
 def Window_by(spec: PanelSpec, extra: str):
