@@ -31,19 +31,14 @@ INDICATORS = ("months_ago_valid_max", "customer_sequence_num", "pre_history", "m
 
 
 def dense_calendar(df: DataFrame, spec: PanelSpec, pre_cols: dict[str, Column] | None = None) -> DataFrame:
-    """Calendar-complete panel: one row per entity x periods-ago 0..n-1 with
-    ``present``, ``missing_statement`` (gap inside history), ``pre_history``,
-    ``months_ago_valid_max`` and ``customer_sequence_num``.
+    """Calendar-complete panel as rows: one row per entity x periods-ago
+    0..n-1 with ``present``, ``missing_statement`` (gap inside history),
+    ``pre_history``, ``months_ago_valid_max`` and ``customer_sequence_num``.
 
-    ``pre_cols`` are computed on the full history before the period cut
-    (e.g. leading-null flags, which look at every earlier statement)."""
+    (Row form, used by the calendar operators; the sequence builders use the
+    single-aggregate form of :func:`period_map`.)"""
     n = spec.max_periods
-    rows = H.months_ago(df, spec, "months_ago")
-    if pre_cols:
-        rows = rows.withColumns(pre_cols)
-    rows = rows.where(F.col("months_ago") < n)
-    w = Window.partitionBy(spec.entity, "months_ago").orderBy(*spec.order_cols(desc=True))
-    rows = rows.withColumn("__k", F.row_number().over(w)).where("__k = 1").drop("__k")
+    rows = _last_in_period(df, spec, pre_cols)
     rows = rows.withColumn("__present", F.lit(True))
     cal = rows.select(spec.entity).distinct().select(
         spec.entity, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("months_ago"))
@@ -58,14 +53,49 @@ def dense_calendar(df: DataFrame, spec: PanelSpec, pre_cols: dict[str, Column] |
     })
 
 
-def collect_steps(d: DataFrame, spec: PanelSpec, vectors: dict[str, list[Column]]) -> DataFrame:
-    """groupBy(entity): each named vector becomes array<array<..>> ordered oldest first."""
-    step = (F.lit(spec.max_periods - 1) - F.col("months_ago")).alias("step")
-    aggs = []
-    for name, cols in vectors.items():
-        st = F.array_sort(F.collect_list(F.struct(step, F.array(*cols).alias("v"))))
-        aggs.append(F.transform(st, lambda x: x["v"]).alias(name))
-    return d.groupBy(spec.entity).agg(*aggs)
+def _last_in_period(df: DataFrame, spec: PanelSpec, pre_cols: dict[str, Column] | None = None) -> DataFrame:
+    """Rows of the last ``max_periods`` periods, one per period (the last).
+
+    periods-ago never increases along (ts, tiebreak), so a row is the last of
+    its period iff the next row's period differs: ``lead`` over the entity
+    window -- the same partitioning as every other window here, no
+    (entity, period) repartition."""
+    rows = H.months_ago(df, spec, "months_ago")
+    if pre_cols:
+        rows = rows.withColumns(pre_cols)
+    nxt = F.lead("months_ago").over(spec.window())
+    rows = rows.withColumn("__lastp", F.coalesce(nxt != F.col("months_ago"), F.lit(True)))
+    return rows.where(F.col("__lastp") & (F.col("months_ago") < spec.max_periods)).drop("__lastp")
+
+
+class Step:
+    """One calendar step inside ``transform``: ``a`` = periods ago."""
+
+    def __init__(self, a: Column):
+        self.a = a
+        self.e = F.try_element_at(F.col("__m"), a)
+        self.present = self.e.isNotNull()
+        self.vmax = F.col("__vmax")
+        self.missing = (~self.present) & (a < self.vmax)
+        self.pre = (~self.present) & (a > self.vmax)
+        self.seqnum = self.vmax - a
+
+    def v(self, c: str) -> Column:
+        return self.e[c]
+
+
+def period_map(rows: DataFrame, spec: PanelSpec, cols: list[str]) -> DataFrame:
+    """groupBy(entity): map periods-ago -> struct(cols) (<= max_periods entries)
+    and the valid max; the only exchange of a sequence job."""
+    g = rows.groupBy(spec.entity).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("months_ago"), F.struct(*cols)))).alias("__m"))
+    return g.withColumn("__vmax", F.array_max(F.map_keys("__m")))
+
+
+def steps(spec: PanelSpec, vec) -> Column:
+    """array of max_periods step vectors, oldest first: vec(Step) -> list[Column]."""
+    n = spec.max_periods
+    return F.transform(F.sequence(F.lit(n - 1), F.lit(0), F.lit(-1)), lambda a: F.array(*vec(Step(a))))
 
 
 def _dbl(c: Column) -> Column:
@@ -78,23 +108,24 @@ def sequence_v1(df: DataFrame, spec: PanelSpec, cols=None) -> DataFrame:
     cols = list(cols or (list(spec.cat) + list(spec.num)))
     w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pre = {f"__seen_{c}": F.count(F.col(c)).over(w) > 0 for c in cols}
-    d = dense_calendar(df, spec, pre)
-    vec = [F.when(~F.col("present"), F.lit(MISSING_STATEMENT))
-            .when(F.col(c).isNotNull(), _dbl(F.col(c)))
-            .when(F.col(f"__seen_{c}"), F.lit(RANDOM_NULL))
-            .otherwise(F.lit(LEADING_NULL)) for c in cols]
-    return collect_steps(d, spec, {"seq": vec})
+    g = period_map(_last_in_period(df, spec, pre), spec, cols + list(pre))
+
+    def vec(s: Step):
+        return [F.when(~s.present, F.lit(MISSING_STATEMENT)).when(s.v(c).isNotNull(), _dbl(s.v(c)))
+                 .when(s.v(f"__seen_{c}"), F.lit(RANDOM_NULL)).otherwise(F.lit(LEADING_NULL)) for c in cols]
+    return g.select(spec.entity, steps(spec, vec).alias("seq"))
 
 
 def sequence_v2(df: DataFrame, spec: PanelSpec, cols=None) -> DataFrame:
     """Imputed-style input (NULL -> -1), -3 for missing steps, then the
     ``missing_statement`` (any absent period) and ``months_ago`` features last."""
     cols = list(cols or spec.num)
-    d = dense_calendar(df, spec)
-    vec = [F.when(~F.col("present"), F.lit(MISSING_STATEMENT)).otherwise(F.coalesce(_dbl(F.col(c)), F.lit(RANDOM_NULL)))
-           for c in cols]
-    vec += [(~F.col("present")).cast("double"), _dbl(F.col("months_ago"))]
-    return collect_steps(d, spec, {"seq": vec})
+    g = period_map(_last_in_period(df, spec), spec, cols)
+
+    def vec(s: Step):
+        return ([F.when(~s.present, F.lit(MISSING_STATEMENT)).otherwise(F.coalesce(_dbl(s.v(c)), F.lit(RANDOM_NULL)))
+                 for c in cols] + [(~s.present).cast("double"), _dbl(s.a)])
+    return g.select(spec.entity, steps(spec, vec).alias("seq"))
 
 
 def column_stats(df: DataFrame, cols, k_missing: float = 2.0, k_leading: float = 1.0) -> dict[str, tuple]:
@@ -103,21 +134,23 @@ def column_stats(df: DataFrame, cols, k_missing: float = 2.0, k_leading: float =
     return {c: (row[f"mn_{c}"] - k_missing * row[f"sd_{c}"], row[f"mn_{c}"] - k_leading * row[f"sd_{c}"]) for c in cols}
 
 
+def _ffill_present(rows: DataFrame, spec: PanelSpec, cols) -> DataFrame:
+    """Forward fill over the kept (present, one-per-period) rows only."""
+    w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
+
+
 def sequence_v3(df: DataFrame, spec: PanelSpec, cols=None, zero_fill=("p_2",)) -> DataFrame:
     """``zero_fill`` columns NULL -> 0; present rows forward-filled from present
     rows only; leading nulls -> min - 1 std; missing steps -> min - 2 std."""
     cols = list(cols or spec.num)
     df = df.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in zero_fill if c in cols})
     stats = column_stats(df, cols)
-    d = dense_calendar(df, spec)
-    w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    wd = Window.partitionBy(spec.entity).orderBy(F.col("months_ago").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumns({f"__ff_{c}": F.last(F.when(F.col("present"), F.col(c)), ignorenulls=True).over(wd) for c in cols})
-    vec = [F.when(~F.col("present"), F.lit(stats[c][0]))
-            .otherwise(F.coalesce(F.col(f"__ff_{c}"), F.lit(stats[c][1]))) for c in cols]
-    del w
-    return collect_steps(d, spec, {"seq": vec})
+    g = period_map(_ffill_present(_last_in_period(df, spec), spec, cols), spec, cols)
+
+    def vec(s: Step):
+        return [F.when(~s.present, F.lit(stats[c][0])).otherwise(F.coalesce(s.v(c), F.lit(stats[c][1]))) for c in cols]
+    return g.select(spec.entity, steps(spec, vec).alias("seq"))
 
 
 def sequence_branched(df: DataFrame, spec: PanelSpec, branches: dict[str, list[str]]) -> DataFrame:
@@ -125,15 +158,15 @@ def sequence_branched(df: DataFrame, spec: PanelSpec, branches: dict[str, list[s
     median; one array per branch (feature-name prefix) in a struct."""
     cols = [c for v in branches.values() for c in v]
     med = df.agg(*[F.median(c).alias(c) for c in cols]).first()
-    d = dense_calendar(df, spec)
-    wd = Window.partitionBy(spec.entity).orderBy(F.col("months_ago").desc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    d = d.withColumns({f"__ff_{c}": F.last(F.when(F.col("present"), F.col(c)), ignorenulls=True).over(wd) for c in cols})
-    vec = {b: [F.when(~F.col("present"), F.lit(MISSING_STATEMENT))
-                .otherwise(F.coalesce(F.col(f"__ff_{c}"), F.lit(float(med[c]) if med[c] is not None else 0.0)))
-               for c in v] for b, v in branches.items()}
-    out = collect_steps(d, spec, vec)
-    return out.select(spec.entity, F.struct(*[F.col(b) for b in branches]).alias("branches"))
+    g = period_map(_ffill_present(_last_in_period(df, spec), spec, cols), spec, cols)
+    out = [spec.entity]
+    for b, cs in branches.items():
+        def vec(s: Step, cs=cs):
+            return [F.when(~s.present, F.lit(MISSING_STATEMENT))
+                     .otherwise(F.coalesce(s.v(c), F.lit(float(med[c]) if med[c] is not None else 0.0))) for c in cs]
+        out.append(steps(spec, vec).alias(b))
+    g = g.select(*out)
+    return g.select(spec.entity, F.struct(*[F.col(b) for b in branches]).alias("branches"))
 
 
 def sequence_capped(df: DataFrame, spec: PanelSpec, bounds: dict[str, tuple], cols=None,
@@ -144,18 +177,19 @@ def sequence_capped(df: DataFrame, spec: PanelSpec, bounds: dict[str, tuple], co
     cols = list(cols or spec.num)
     flag_cols = list(flag_cols or [])
     df = df.withColumns({f"__isnull_{c}": F.col(c).isNull() for c in flag_cols})
-    clip = {}
-    for c, (lo, hi) in bounds.items():
-        clip[c] = F.when(F.col(c).isNull(), None).otherwise(F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)))
+    clip = {c: F.when(F.col(c).isNull(), None).otherwise(F.least(F.greatest(F.col(c), F.lit(lo)), F.lit(hi)))
+            for c, (lo, hi) in bounds.items()}
     df = df.withColumns(clip)
-    d = dense_calendar(df, spec)
-    vec = [F.when(~F.col("present"), F.lit(MISSING_STATEMENT)).otherwise(F.coalesce(_dbl(F.col(c)), F.lit(RANDOM_NULL)))
-           for c in cols] + [_dbl(F.col(i)) for i in INDICATORS]
-    nulls = [F.coalesce(F.col(f"__isnull_{c}"), F.lit(True)) for c in flag_cols]
-    vectors = {"seq": vec}
-    if nulls:
-        vectors["null_flags"] = nulls
-    return collect_steps(d, spec, vectors)
+    g = period_map(_last_in_period(df, spec), spec, cols + [f"__isnull_{c}" for c in flag_cols])
+
+    def vec(s: Step):
+        return ([F.when(~s.present, F.lit(MISSING_STATEMENT)).otherwise(F.coalesce(_dbl(s.v(c)), F.lit(RANDOM_NULL)))
+                 for c in cols]
+                + [_dbl(s.vmax), _dbl(s.seqnum), _dbl(s.pre.cast("int")), _dbl(s.missing.cast("int")), _dbl(s.a)])
+    out = [spec.entity, steps(spec, vec).alias("seq")]
+    if flag_cols:
+        out.append(steps(spec, lambda s: [F.coalesce(s.v(f"__isnull_{c}"), F.lit(True)) for c in flag_cols]).alias("null_flags"))
+    return g.select(*out)
 
 
 def sequence_p2_first(df: DataFrame, spec: PanelSpec, bounds: dict[str, tuple], first: str = "p_2", cols=None) -> DataFrame:
@@ -170,18 +204,22 @@ def sequence_ordinal_cats(df: DataFrame, spec: PanelSpec, dictionary: DataFrame
     0 = missing statement) first, numerics (-3 missing, -1 null) after, and
     ``days_ago`` (days since the entity's last statement, -3 when missing)."""
     from .encode import ordinal_dictionary
+    from .relational import join_small
     cats, nums = list(spec.cat), list(cols or spec.num)
     df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("999")) for c in cats})
     df = H.days_ago(df, spec, "days_ago")
     dic = dictionary if dictionary is not None else ordinal_dictionary(df, cats)
     for c in cats:
         m = dic.where(F.col("feature") == c).select(F.col("value").alias(c), (F.col("code") + 1).alias(f"__code_{c}"))
-        df = df.join(F.broadcast(m), c, "left")
-    d = dense_calendar(df, spec)
-    vec = ([F.when(~F.col("present"), F.lit(0.0)).otherwise(F.coalesce(_dbl(F.col(f"__code_{c}")), F.lit(0.0))) for c in cats]
-           + [F.when(~F.col("present"), F.lit(MISSING_STATEMENT)).otherwise(F.coalesce(_dbl(F.col(c)), F.lit(RANDOM_NULL))) for c in nums]
-           + [F.when(~F.col("present"), F.lit(MISSING_STATEMENT)).otherwise(_dbl(F.col("days_ago")))])
-    return collect_steps(d, spec, {"seq": vec})
+        df = join_small(df, m, c, "left")
+    keep = [f"__code_{c}" for c in cats] + nums + ["days_ago"]
+    g = period_map(_last_in_period(df, spec), spec, keep)
+
+    def vec(s: Step):
+        return ([F.when(~s.present, F.lit(0.0)).otherwise(F.coalesce(_dbl(s.v(f"__code_{c}")), F.lit(0.0))) for c in cats]
+                + [F.when(~s.present, F.lit(MISSING_STATEMENT)).otherwise(F.coalesce(_dbl(s.v(c)), F.lit(RANDOM_NULL))) for c in nums]
+                + [F.when(~s.present, F.lit(MISSING_STATEMENT)).otherwise(_dbl(s.v("days_ago")))])
+    return g.select(spec.entity, steps(spec, vec).alias("seq"))
 
 
 # ------------------------------------------------------------------ array operators
