@@ -132,20 +132,24 @@ def char_vectors(docs: DataFrame, key: str, doc: str, tfidf: bool = False) -> Da
     """char_count_vector / char_tfidf_vector: character unigram counts with a
     sorted vocabulary (column ``{doc}_cv_{i}``), or smooth TF-IDF
     tf * (ln((1+n)/(1+df)) + 1), L2-normalised per document (``{doc}_tfidf_{i}``).
-    The vocabulary (distinct characters) is tiny and collected once."""
+
+    One small job yields the vocabulary with document frequencies (bounded by
+    the alphabet); the counts of a document are gathered into one map per key
+    in the same aggregate that computes its norm -- no pivot, no window."""
     cnt = _char_counts(docs, key, doc)
-    vocab = [r[0] for r in cnt.select("ch").distinct().orderBy("ch").collect()]
+    voc = cnt.groupBy("ch").agg(F.count(F.lit(1)).alias("df")).orderBy("ch").collect()
+    vocab = [r["ch"] for r in voc]
+    tag = "tfidf" if tfidf else "cv"
     if tfidf:
         n = docs.count()
-        dfreq = cnt.groupBy("ch").agg(F.count(F.lit(1)).alias("__df"))
-        cnt = join_small(cnt, dfreq, "ch").withColumn(
-            "tf", F.col("tf") * (F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("__df"))) + 1))
-        norm = F.sqrt(F.sum(F.col("tf") * F.col("tf")).over(Window.partitionBy(key)))
-        cnt = cnt.withColumn("tf", F.col("tf") / norm)
-    tag = "tfidf" if tfidf else "cv"
-    wide = cnt.groupBy(key).pivot("ch", vocab).agg(F.first("tf"))
-    return docs.select(key).join(wide, key, "left").select(
-        key, *[F.coalesce(F.col(f"`{v}`"), F.lit(0.0)).alias(f"{doc}_{tag}_{i}") for i, v in enumerate(vocab)])
+        idf = F.create_map(*[x for r in voc for x in (F.lit(r["ch"]), F.lit(math.log((1.0 + n) / (1.0 + r["df"])) + 1.0))])
+        cnt = cnt.withColumn("tf", F.col("tf") * F.element_at(idf, F.col("ch")))
+    m = cnt.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ch", "tf"))).alias("__m"),
+                             F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("__norm"))
+    scale = F.col("__norm") if tfidf else F.lit(1.0)
+    out = docs.select(key).join(m, key, "left")
+    return out.select(key, *[F.coalesce(F.try_element_at(F.col("__m"), F.lit(v)) / scale, F.lit(0.0)).alias(f"{doc}_{tag}_{i}")
+                             for i, v in enumerate(vocab)])
 
 
 # ---------------------------------------------------------------- SVD of category history

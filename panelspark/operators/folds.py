@@ -23,12 +23,12 @@ def shuffle_key(key: str, seed: int = SEED):
 
 
 def stratified_folds(labels: DataFrame, key: str, stratum: str = "target", k: int = N_FOLDS,
-                     seed: int = SEED, out: str = "val_fold_n") -> DataFrame:
+                     seed: int = SEED, out: str = "val_fold_n", max_strata: int | None = None) -> DataFrame:
     """Shuffled stratified folds: within each stratum, entities in md5 order
     are dealt round-robin to folds, so per-class fold sizes differ by <= 1.
     (Same guarantee as a shuffled StratifiedKFold, not the same assignment.)"""
     d = labels.withColumns({"__h": shuffle_key(key, seed), "__one": F.lit(1.0)})
-    r = running_sums(d, [F.col("__h").asc(), F.col(key).asc()], ["__one"], by=(stratum,))
+    r = running_sums(d, [F.col("__h").asc(), F.col(key).asc()], ["__one"], by=(stratum,), max_groups=max_strata)
     return r.withColumn(out, (F.pmod(F.col("cum___one").cast("long") - 1, F.lit(k))).cast("int")).drop(
         "__h", "__one", "cum___one")
 

@@ -115,7 +115,7 @@ register("metric_logloss_auc", W(O.SCORES, "r AS (SELECT target, rank() OVER (OR
 
 
 def _folds(spark, sf):
-    return FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target", k=5, seed=28)
+    return FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target", k=5, seed=28, max_strata=2)
 
 
 register("stratified_folds", W(O.CUSTOMER_LABELS, final="SELECT customer_id, target, CAST((row_number() OVER (PARTITION BY target ORDER BY md5(CAST(customer_id AS VARCHAR) || ':28'), customer_id) - 1) % 5 AS INTEGER) AS val_fold_n FROM labels_c"))(_folds)

@@ -26,7 +26,7 @@ def training_frames(spark, sf):
     """Flat features + labels + stratified folds; train = 'train' split, test = 'test' split."""
     p = panel_orders(spark, sf)
     f = feat.null_handled_agg_features(p, SP).select("customer_id", *FEATS)
-    lab = FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target")
+    lab = FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target", max_strata=2)
     split = p.select("customer_id", "dset").distinct()
     base = f.join(split, "customer_id")
     train = base.where("dset = 'train'").join(lab, "customer_id").drop("dset")
@@ -47,7 +47,7 @@ register("train_cv_oof")(_cv)
 def _days_labels(spark, sf):
     d = panel_days(spark, sf)
     lab = d.groupBy("customer_id").agg((F.count("d_39") >= 8).cast("int").alias("target"))
-    return FO.stratified_folds(lab, "customer_id", "target", k=3)
+    return FO.stratified_folds(lab, "customer_id", "target", k=3, max_strata=2)
 
 
 def _cv_seq(spark, sf):
@@ -193,7 +193,7 @@ register("impute_ffill", "WITH " + O.PANEL_ORDERS + ", pc AS (SELECT customer_id
 def _caps(spark, sf):
     """cap_bounds_from_trees: GBT on last statements -> split-histogram edges."""
     p = feat.clean_sentinels(panel_orders(spark, sf), SP.num, SP.sentinel)
-    last = H.tail_n(p, SP, 1).join(FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target"), "customer_id")
+    last = H.tail_n(p, SP, 1).join(FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target", max_strata=2), "customer_id")
     b = MD.cap_bounds_from_trees(spark, last, list(SP.num))
     return spark.createDataFrame([(k, *v) for k, v in sorted(b.items())], "feature string, s0 double, s1 double, s2 double, s3 double")
 
