@@ -83,23 +83,34 @@ def _recent_rank(df: DataFrame, spec: PanelSpec, name: str = "__rd") -> DataFram
     return df.withColumn(name, F.row_number().over(spec.window(desc=True)))
 
 
+def recent_stats(df: DataFrame, spec: PanelSpec, cols, n: int, funcs, tag: str | None = None) -> DataFrame:
+    """Statistics of the last ``n`` statements per entity.  ``row_number() <= n``
+    is a top-n filter, so Spark inserts a partial WindowGroupLimit below the
+    exchange: at most n rows per entity and map task are shuffled, and a hot
+    entity cannot overload one reducer."""
+    tag = tag or f"{n}sts"
+    last = _recent_rank(df, spec).where(F.col("__rd") <= n)
+    return last.groupBy(spec.entity).agg(*agg_exprs(list(cols), list(funcs), fmt="{c}_" + tag + "_{f}"))
+
+
 def refined_agg_features(df: DataFrame, spec: PanelSpec, full_cols=None, last_cols=None,
                          fit_df: DataFrame | None = None, recent: int = 5) -> DataFrame:
     """-1 -> NULL; full aggregates for low-null columns, ``last`` only for
     >=90%-missing ones (decided on ``fit_df``, e.g. the train split); mean/std
-    of the last ``recent`` statements as FILTERed aggregates in the same
-    groupBy; cat {last,first,nunique}; 4 differences."""
+    of the last ``recent`` statements; cat {last,first,nunique}; 4 differences.
+
+    Plan: a partial hash aggregate over all rows (skew-safe) and a top-n
+    branch for the recent statistics (WindowGroupLimit), joined on the entity
+    (both sides already hash-partitioned by it)."""
     num = list(spec.num)
     if full_cols is None or last_cols is None:
         full_cols, last_cols = split_cols_by_null_rate(fit_df if fit_df is not None else df, num,
                                                        0.90, spec.sentinel)
-    df = with_order_key(_recent_rank(clean_sentinels(df, num, spec.sentinel), spec), spec)
-    rec = F.col("__rd") <= recent
+    df = with_order_key(clean_sentinels(df, num, spec.sentinel), spec)
     s = f"{recent}sts"
     aggs = (agg_exprs(full_cols, NUM_AGGS) + agg_exprs(last_cols, ["last"])
-            + agg_exprs(full_cols, ["mean", "std"], fmt="{c}_" + s + "_{f}", where=rec)
             + agg_exprs(list(spec.cat), ["last", "first", "nunique"]))
-    g = df.groupBy(spec.entity).agg(*aggs)
+    g = df.groupBy(spec.entity).agg(*aggs).join(recent_stats(df, spec, full_cols, recent, ["mean", "std"]), spec.entity)
     d = {}
     for c in full_cols:
         last = F.col(f"{c}_last")
@@ -112,18 +123,21 @@ def refined_agg_features(df: DataFrame, spec: PanelSpec, full_cols=None, last_co
 
 def refined_agg_features_median_3_7(df: DataFrame, spec: PanelSpec, full_cols=None, last_cols=None,
                                     fit_df: DataFrame | None = None) -> DataFrame:
-    """As refined, with median and last-3 / last-7 statement windows; 6 differences."""
+    """As refined, with median and last-3 / last-7 windows; 6 differences.
+    The last-3 statistics come from the last-7 rows (one top-n branch)."""
     num = list(spec.num)
     if full_cols is None or last_cols is None:
         full_cols, last_cols = split_cols_by_null_rate(fit_df if fit_df is not None else df, num,
                                                        0.90, spec.sentinel)
-    df = with_order_key(_recent_rank(clean_sentinels(df, num, spec.sentinel), spec), spec)
+    df = with_order_key(clean_sentinels(df, num, spec.sentinel), spec)
     funcs = ["median", "std", "min", "max", "last", "first"]
     aggs = (agg_exprs(full_cols, funcs) + agg_exprs(last_cols, ["last"])
-            + agg_exprs(full_cols, ["median", "std"], fmt="{c}_3sts_{f}", where=F.col("__rd") <= 3)
-            + agg_exprs(full_cols, ["median", "std"], fmt="{c}_7sts_{f}", where=F.col("__rd") <= 7)
             + agg_exprs(list(spec.cat), ["last", "first", "nunique"]))
-    g = df.groupBy(spec.entity).agg(*aggs)
+    last7 = _recent_rank(df, spec).where(F.col("__rd") <= 7)
+    rec = last7.groupBy(spec.entity).agg(
+        *agg_exprs(full_cols, ["median", "std"], fmt="{c}_3sts_{f}", where=F.col("__rd") <= 3),
+        *agg_exprs(full_cols, ["median", "std"], fmt="{c}_7sts_{f}"))
+    g = df.groupBy(spec.entity).agg(*aggs).join(rec, spec.entity)
     d = {}
     for c in full_cols:
         last, med = F.col(f"{c}_last"), F.col(f"{c}_median")
@@ -266,7 +280,9 @@ def diff_agg_features(df: DataFrame, spec: PanelSpec, fill=-1.0) -> DataFrame:
     num = list(spec.num)
     df = clean_sentinels(df, num, spec.sentinel)
     w = spec.window()
-    df = df.withColumn("__rd", F.row_number().over(spec.window(desc=True)))
+    # keep the last max_periods rows first (top-n: partial WindowGroupLimit),
+    # then lag inside those bounded rows; the oldest kept row only feeds a lag
+    df = _recent_rank(df, spec).where(F.col("__rd") <= spec.max_periods)
     d = {f"{c}_diff1": F.col(c) - F.lag(c).over(w) for c in num}
     df = df.withColumns(d).where(F.col("__rd") < spec.max_periods)
     if fill is not None:
