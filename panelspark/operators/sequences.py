@@ -30,42 +30,33 @@ RANDOM_NULL = -1.0
 INDICATORS = ("months_ago_valid_max", "customer_sequence_num", "pre_history", "missing_statement", "months_ago")
 
 
-def dense_calendar(df: DataFrame, spec: PanelSpec, pre_cols: dict[str, Column] | None = None) -> DataFrame:
-    """Calendar-complete panel as rows: one row per entity x periods-ago
-    0..n-1 with ``present``, ``missing_statement`` (gap inside history),
-    ``pre_history``, ``months_ago_valid_max`` and ``customer_sequence_num``.
-
-    (Row form, used by the calendar operators; the sequence builders use the
-    single-aggregate form of :func:`period_map`.)"""
-    n = spec.max_periods
-    rows = _last_in_period(df, spec, pre_cols)
-    rows = rows.withColumn("__present", F.lit(True))
-    cal = rows.select(spec.entity).distinct().select(
-        spec.entity, F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("months_ago"))
-    d = cal.join(rows, [spec.entity, "months_ago"], "left")
-    d = d.withColumn("present", F.coalesce(F.col("__present"), F.lit(False))).drop("__present")
-    vmax = F.max(F.when(F.col("present"), F.col("months_ago"))).over(spec.whole())
-    d = d.withColumn("months_ago_valid_max", vmax)
-    return d.withColumns({
-        "missing_statement": ((~F.col("present")) & (F.col("months_ago") < F.col("months_ago_valid_max"))).cast("int"),
-        "pre_history": ((~F.col("present")) & (F.col("months_ago") > F.col("months_ago_valid_max"))).cast("int"),
-        "customer_sequence_num": (F.col("months_ago_valid_max") - F.col("months_ago")).cast("int"),
-    })
-
-
-def _last_in_period(df: DataFrame, spec: PanelSpec, pre_cols: dict[str, Column] | None = None) -> DataFrame:
-    """Rows of the last ``max_periods`` periods, one per period (the last).
-
-    periods-ago never increases along (ts, tiebreak), so a row is the last of
-    its period iff the next row's period differs: ``lead`` over the entity
-    window -- the same partitioning as every other window here, no
-    (entity, period) repartition."""
-    rows = H.months_ago(df, spec, "months_ago")
-    if pre_cols:
-        rows = rows.withColumns(pre_cols)
-    nxt = F.lead("months_ago").over(spec.window())
-    rows = rows.withColumn("__lastp", F.coalesce(nxt != F.col("months_ago"), F.lit(True)))
-    return rows.where(F.col("__lastp") & (F.col("months_ago") < spec.max_periods)).drop("__lastp")
+def _last_in_period(df: DataFrame, spec: PanelSpec, seen_cols=()) -> DataFrame:
+    """One row per (entity, period) for the last ``max_periods`` periods: the
+    last statement of the period, columns ``months_ago`` + the panel columns.
+
+    Skew-safe plan (no unbounded window over an entity's history):
+      1. per entity (partial aggregate): last period, last ts, and for each
+         ``seen_cols`` column the order key of its first non-null value;
+      2. joined back on the entity (AQE splits a hot entity's partition);
+      3. rows of the last max_periods periods reduced per (entity, period) by
+         ``max_by(row, order key)`` -- a partial aggregate, so each entity
+         keeps at most max_periods rows whatever its raw history length.
+    ``__seen_<c>`` = a non-null value of c exists at or before the row."""
+    ok = spec.order_key()
+    p = spec.period_index()
+    base = df.withColumns({"__p": p, "__ok": ok})
+    per = base.groupBy(spec.entity).agg(
+        F.max("__p").alias("__pmax"), F.max(spec.ts).alias("__tsmax"),
+        *[F.min(F.when(F.col(c).isNotNull(), F.col("__ok"))).alias(f"__first_{c}") for c in seen_cols])
+    rows = base.join(per, spec.entity).withColumn("months_ago", F.col("__pmax") - F.col("__p"))
+    rows = rows.where(F.col("months_ago") < spec.max_periods)
+    keep = [c for c in rows.columns if c not in (spec.entity, "months_ago")]
+    red = rows.groupBy(spec.entity, "months_ago").agg(F.max_by(F.struct(*keep), F.col("__ok")).alias("__r"))
+    out = red.select(spec.entity, "months_ago", "__r.*")
+    if seen_cols:
+        out = out.withColumns({f"__seen_{c}": F.coalesce(F.col(f"__first_{c}") <= F.col("__ok"), F.lit(False))
+                               for c in seen_cols})
+    return out
 
 
 class Step:
@@ -106,9 +97,8 @@ def sequence_v1(df: DataFrame, spec: PanelSpec, cols=None) -> DataFrame:
     """-3 missing statement, -2 null before the first non-null of that feature
     (over the whole history), -1 other nulls; categories first."""
     cols = list(cols or (list(spec.cat) + list(spec.num)))
-    w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    pre = {f"__seen_{c}": F.count(F.col(c)).over(w) > 0 for c in cols}
-    g = period_map(_last_in_period(df, spec, pre), spec, cols + list(pre))
+    pre = [f"__seen_{c}" for c in cols]
+    g = period_map(_last_in_period(df, spec, seen_cols=cols), spec, cols + pre)
 
     def vec(s: Step):
         return [F.when(~s.present, F.lit(MISSING_STATEMENT)).when(s.v(c).isNotNull(), _dbl(s.v(c)))
@@ -135,8 +125,10 @@ def column_stats(df: DataFrame, cols, k_missing: float = 2.0, k_leading: float =
 
 
 def _ffill_present(rows: DataFrame, spec: PanelSpec, cols) -> DataFrame:
-    """Forward fill over the kept (present, one-per-period) rows only."""
-    w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Forward fill over the kept (present, one-per-period) rows only
+    (at most max_periods rows per entity)."""
+    w = Window.partitionBy(spec.entity).orderBy(F.col("months_ago").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
     return rows.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
 
 
@@ -207,13 +199,13 @@ def sequence_ordinal_cats(df: DataFrame, spec: PanelSpec, dictionary: DataFrame
     from .relational import join_small
     cats, nums = list(spec.cat), list(cols or spec.num)
     df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("999")) for c in cats})
-    df = H.days_ago(df, spec, "days_ago")
     dic = dictionary if dictionary is not None else ordinal_dictionary(df, cats)
     for c in cats:
         m = dic.where(F.col("feature") == c).select(F.col("value").alias(c), (F.col("code") + 1).alias(f"__code_{c}"))
         df = join_small(df, m, c, "left")
+    rows = _last_in_period(df, spec).withColumn("days_ago", F.datediff(F.col("__tsmax"), F.col(spec.ts)))
     keep = [f"__code_{c}" for c in cats] + nums + ["days_ago"]
-    g = period_map(_last_in_period(df, spec), spec, keep)
+    g = period_map(rows, spec, keep)
 
     def vec(s: Step):
         return ([F.when(~s.present, F.lit(0.0)).otherwise(F.coalesce(_dbl(s.v(f"__code_{c}")), F.lit(0.0))) for c in cats]
