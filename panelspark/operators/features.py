@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions.scalar import ratio, sentinel_to_null, stable_float
 from ..spec import PanelSpec
 from .aggregates import OK, agg_exprs, with_order_key
+from .ordered import entity_scan
 
 NUM_AGGS = ["mean", "std", "min", "max", "last", "first"]
 CAT_AGGS = ["mode", "last", "first", "nunique"]
@@ -159,18 +160,18 @@ def after_pay_agg_features(df: DataFrame, spec: PanelSpec, b_cols, p_cols) -> Da
 
 
 # ---------------------------------------------------------------- null patterns
-def first_streak_exprs(flags, rn: str = "__rn", n: str = "__n") -> tuple[dict, list]:
+def first_streak_exprs(flags, rn: str = "__rn", cnt: str = "__fc_{}") -> tuple[dict, list]:
     """agg_first_streak: length of the first run of True in statement order.
 
-    With ``p`` = position of the first True (window min over the entity) the
-    run ends at the first False after ``p``: length = q - p, or n - p + 1 if
-    no False follows; 0 if no True.  Returns (window columns, aggregates)."""
-    win = {}
-    aggs = []
-    for c in flags:
-        win[f"__p_{c}"] = F.min(F.when(F.col(c), F.col(rn)))
-        aggs.append((c, F.min(F.when(~F.col(c) & (F.col(rn) > F.col(f"__p_{c}")), F.col(rn)))))
-    return win, aggs
+    From the ordered scan: ``rn`` (row number) and ``cnt`` (number of True up
+    to the row).  With p = first True position, the run ends at q = the first
+    False that has a True before it (cnt > 0): length = q - p, or n - p + 1
+    if no such False follows; 0 if no True.  Plain aggregates, no
+    whole-entity window.  Returns (scan inputs, (flag, p, q) aggregates)."""
+    scan = {cnt.format(c): F.when(F.col(c), F.lit(1)) for c in flags}
+    aggs = [(c, F.min(F.when(F.col(c), F.col(rn))),
+             F.min(F.when(~F.col(c) & (F.col(cnt.format(c)) > 0), F.col(rn)))) for c in flags]
+    return scan, aggs
 
 
 def na_agg_features(df: DataFrame, spec: PanelSpec, features=None) -> DataFrame:
@@ -183,16 +184,16 @@ def na_agg_features(df: DataFrame, spec: PanelSpec, features=None) -> DataFrame:
              for c in feats}
     df = df.select(spec.entity, *[F.col(c) for c in ([spec.ts] + ([spec.tiebreak] if spec.tiebreak else []))],
                    *[v.alias(k) for k, v in flags.items()])
-    df = df.withColumn("__rn", F.row_number().over(spec.window()))
-    win, streak_aggs = first_streak_exprs(list(flags))
-    df = df.withColumns({k: v.over(spec.whole()) for k, v in win.items()})
+    scan, streak_aggs = first_streak_exprs(list(flags))
+    df = entity_scan(df.withColumns({f"__in{k}": v for k, v in scan.items()}), spec, row_number="__rn",
+                     count_nonnull={k: f"__in{k}" for k in scan})
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in flags:
         fl = F.col(c).cast("int")
         aggs += [F.avg(fl).alias(f"{c}_mean"), F.sum(fl).cast("long").alias(f"{c}_sum"),
-                 F.max_by(fl, F.col("__rn")).alias(f"{c}_last"),
-                 F.min(F.col(f"__p_{c}")).alias(f"__p_{c}")]
-    aggs += [a.alias(f"__q_{c}") for c, a in streak_aggs]
+                 F.max_by(fl, F.col("__rn")).alias(f"{c}_last")]
+    for c, p, q in streak_aggs:
+        aggs += [p.alias(f"__p_{c}"), q.alias(f"__q_{c}")]
     g = df.groupBy(spec.entity).agg(*aggs)
     d = {}
     for c in flags:
@@ -239,7 +240,8 @@ def date_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
     {count,sum,max,std,mean,last}, last - mean; missing -> -1 (sum/count 0)."""
     m = F.month(spec.ts)
     df = df.select(spec.entity, spec.ts, *([spec.tiebreak] if spec.tiebreak else []))
-    gap = F.pmod(m - F.lag(m).over(spec.window()), F.lit(12))
+    df = entity_scan(df.withColumn("__m", m), spec, lag={"__pm": "__m"})
+    gap = F.pmod(F.col("__m") - F.col("__pm"), F.lit(12))
     df = df.withColumn("month_gap", F.when(gap == 0, 12).otherwise(gap) - 1)
     df = with_order_key(df, spec)
     g = df.groupBy(spec.entity).agg(*agg_exprs(["month_gap"], ["count", "sum", "max", "std", "mean", "last"]))
@@ -355,8 +357,8 @@ def flat_history_features(df: DataFrame, spec: PanelSpec, cols, drop_last_slot:
 
 def months_ago(df: DataFrame, spec: PanelSpec, name: str = "months_ago") -> DataFrame:
     """win_months_ago: calendar periods between a statement and the entity's last one."""
-    p = spec.period_index()
-    return df.withColumn(name, F.max(p).over(spec.whole()) - p)
+    from .history import months_ago as _ma
+    return _ma(df, spec, name)
 
 
 def flatten_full_history(df: DataFrame, spec: PanelSpec, cols=None, fill=-1.0) -> DataFrame:

@@ -13,17 +13,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
+from .ordered import entity_scan
+
+
+def per_entity(df: DataFrame, spec: PanelSpec, aggs: dict) -> DataFrame:
+    """Whole-history per-entity aggregates on every row: a partial
+    ``groupBy(entity)`` joined back (AQE splits a hot entity's join partition;
+    a window would put the whole entity into one task)."""
+    g = df.groupBy(spec.entity).agg(*[v.alias(k) for k, v in aggs.items()])
+    return df.join(g, spec.entity)
 
 
 def last_broadcast(df: DataFrame, spec: PanelSpec, col: str | None = None, name: str = "last_ts") -> DataFrame:
     """win_last_broadcast: the entity's last ``ts`` on every row."""
-    return df.withColumn(name, F.max(col or spec.ts).over(spec.whole()))
+    return per_entity(df, spec, {name: F.max(col or spec.ts)})
 
 
 def lag_diff(df: DataFrame, spec: PanelSpec, cols, suffix: str = "_diff") -> DataFrame:
-    """win_lag_diff: c - previous row's c (NULL on the first row)."""
-    w = spec.window()
-    return df.withColumns({f"{c}{suffix}": F.col(c) - F.lag(c).over(w) for c in cols})
+    """win_lag_diff: c - previous row's c (NULL on the first row); ordered
+    scan, so a hot entity is split over range partitions."""
+    out = entity_scan(df, spec, lag={f"__lag_{c}": c for c in cols})
+    return out.withColumns({f"{c}{suffix}": F.col(c) - F.col(f"__lag_{c}") for c in cols}).drop(
+        *[f"__lag_{c}" for c in cols])
 
 
 def rank_desc(df: DataFrame, spec: PanelSpec, name: str = "rd") -> DataFrame:
@@ -43,41 +54,54 @@ def tail_n(df: DataFrame, spec: PanelSpec, n: int) -> DataFrame:
 def ffill(df: DataFrame, spec: PanelSpec, cols, within: Column | None = None) -> DataFrame:
     """win_ffill: forward fill within the entity (last non-null up to the row).
     ``within`` restricts the sources (e.g. present statements only)."""
-    w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    src = (lambda c: F.col(c)) if within is None else (lambda c: F.when(within, F.col(c)))
-    return df.withColumns({c: F.last(src(c), ignorenulls=True).over(w) for c in cols})
+    if within is not None:
+        df = df.withColumns({f"__src_{c}": F.when(within, F.col(c)) for c in cols})
+    src = (lambda c: c) if within is None else (lambda c: f"__src_{c}")
+    out = entity_scan(df, spec, ffill={f"__ff_{c}": src(c) for c in cols})
+    out = out.withColumns({c: F.col(f"__ff_{c}") for c in cols}).drop(*[f"__ff_{c}" for c in cols])
+    return out if within is None else out.drop(*[f"__src_{c}" for c in cols])
 
 
 def leading_null_flags(df: DataFrame, spec: PanelSpec, cols, suffix: str = "_leading_null") -> DataFrame:
     """win_leading_null: True for NULLs before the entity's first non-null value."""
-    w = spec.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.withColumns({f"{c}{suffix}": F.count(F.col(c)).over(w) == 0 for c in cols})
+    out = entity_scan(df, spec, count_nonnull={f"__nn_{c}": c for c in cols})
+    return out.withColumns({f"{c}{suffix}": F.col(f"__nn_{c}") == 0 for c in cols}).drop(
+        *[f"__nn_{c}" for c in cols])
 
 
 def months_ago(df: DataFrame, spec: PanelSpec, name: str = "months_ago") -> DataFrame:
     """win_months_ago: calendar periods between a row and the entity's last row
     (whole months by year*12+month, not months_between)."""
     p = spec.period_index()
-    return df.withColumn(name, F.max(p).over(spec.whole()) - p)
+    out = per_entity(df.withColumn("__pi", p), spec, {"__pmax": F.max("__pi")})
+    return out.withColumn(name, F.col("__pmax") - F.col("__pi")).drop("__pi", "__pmax")
 
 
 def days_ago(df: DataFrame, spec: PanelSpec, name: str = "days_ago") -> DataFrame:
     """win_days_ago: days between a row and the entity's last row."""
-    return df.withColumn(name, F.datediff(F.max(spec.ts).over(spec.whole()), F.col(spec.ts)))
+    out = per_entity(df, spec, {"__tsmax": F.max(spec.ts)})
+    return out.withColumn(name, F.datediff(F.col("__tsmax"), F.col(spec.ts))).drop("__tsmax")
 
 
 def sequence_num(df: DataFrame, spec: PanelSpec, ago: str = "months_ago", name: str = "sequence_num") -> DataFrame:
     """win_sequence_num: position from the first period inside the history
     window: max valid periods-ago minus periods-ago (negative before history)."""
-    vmax = F.max(F.when(F.col(ago) < spec.max_periods, F.col(ago))).over(spec.whole())
-    return df.withColumn(name, vmax - F.col(ago))
+    out = per_entity(df, spec, {"__vmax": F.max(F.when(F.col(ago) < spec.max_periods, F.col(ago)))})
+    return out.withColumn(name, F.col("__vmax") - F.col(ago)).drop("__vmax")
 
 
 def except_last(df: DataFrame, spec: PanelSpec, n: int = 1) -> DataFrame:
     """except_last: drop every row on the entity's last date, n times
-    (= keep rows whose date dense-rank from the end is > n)."""
-    r = F.dense_rank().over(Window.partitionBy(spec.entity).orderBy(F.col(spec.ts).desc()))
-    return df.withColumn("__dr", r).where(F.col("__dr") > n).drop("__dr")
+    (= keep rows older than the entity's n-th last distinct date).
+
+    The n last distinct dates come from a top-n (partial WindowGroupLimit, at
+    most n dates per entity and map task are shuffled); the cut is joined back.
+    An entity with fewer than n+1 distinct dates loses all rows."""
+    dates = df.select(spec.entity, spec.ts).distinct()
+    top = dates.withColumn("__r", F.row_number().over(Window.partitionBy(spec.entity).orderBy(F.col(spec.ts).desc())))
+    cut = (top.where(F.col("__r") <= n).groupBy(spec.entity)
+           .agg(F.min(spec.ts).alias("__cut"), F.count(F.lit(1)).alias("__nd")).where(F.col("__nd") == n))
+    return df.join(cut, spec.entity).where(F.col(spec.ts) < F.col("__cut")).drop("__cut", "__nd")
 
 
 def last_n_statements(df: DataFrame, spec: PanelSpec, n: int = 1) -> DataFrame:
