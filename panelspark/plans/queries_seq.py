@@ -217,9 +217,32 @@ def _aug(spark, sf, eligible=None, all_=False):
     return Q.augment_shift(seqs, "seq", n_features=3, eligible=eligible)
 
 
-register("augment_shift")(lambda spark, sf: _aug(spark, sf))
-register("augment_shift_flag")(lambda spark, sf: _aug(spark, sf, eligible=F.element_at(F.element_at(F.col("seq"), 1), 7) == 1))
-register("augment_shift_all")(lambda spark, sf: _aug(spark, sf, all_=True))
+def _aug_sql(eligible: str, repair: bool) -> str:
+    """Shift augmentation in DuckDB list functions (lambda index is 1-based)."""
+    k = len(DN)
+    items = ", ".join(f"CAST({v} AS DOUBLE)" for v in CAP_VEC)
+    ctes = [*_cap_ctes(), f"s0 AS (SELECT cid AS customer_id, list([{items}] ORDER BY ma DESC) AS seq FROM d GROUP BY cid)",
+            "sh AS (SELECT customer_id, list_concat([list_transform(seq[1], lambda y: CAST(-3 AS DOUBLE))], "
+            f"list_slice(seq, 1, len(seq) - 1)) AS seq FROM s0 WHERE {eligible})"]
+    if repair:
+        ma = f"(x[{k + 5}] - 1)"
+        step = (f"list_concat(list_slice(x, 1, {k}), [vm, CASE WHEN i = 1 THEN vm - 12 ELSE vm - {ma} END, "
+                f"CASE WHEN i = 1 THEN 1.0 ELSE x[{k + 3}] END, CASE WHEN i = 1 THEN 0.0 ELSE x[{k + 4}] END, "
+                f"CASE WHEN i = 1 THEN 12.0 ELSE {ma} END])")
+        ctes.append(f"sf AS (SELECT customer_id, list_transform(seq, lambda x, i: {step}) AS seq "
+                    f"FROM (SELECT *, seq[-1][{k + 1}] - 1 AS vm FROM sh) t)")
+    else:
+        ctes.append("sf AS (SELECT * FROM sh)")
+    return W(*ctes, final=f"SELECT customer_id, {O.seq_report('seq')}, 0 AS aug FROM s0 "
+                          f"UNION ALL SELECT customer_id, {O.seq_report('seq')}, 1 AS aug FROM sf")
+
+
+_K = len(DN)
+register("augment_shift", _aug_sql(f"list_sum(list_transform(seq, lambda x: x[{_K + 3}] + x[{_K + 4}])) <= 11", True))(
+    lambda spark, sf: _aug(spark, sf))
+register("augment_shift_flag", _aug_sql(f"seq[1][{_K + 4}] = 1", True))(
+    lambda spark, sf: _aug(spark, sf, eligible=F.element_at(F.element_at(F.col("seq"), 1), _K + 4) == 1))
+register("augment_shift_all", _aug_sql("TRUE", False))(lambda spark, sf: _aug(spark, sf, all_=True))
 
 
 # ------------------------------------------------------------------ encoders (orders panel)
