@@ -124,10 +124,25 @@ def category_documents(df: DataFrame, spec: PanelSpec, cats) -> DataFrame:
 
 
 def _char_counts(docs: DataFrame, key: str, doc: str) -> DataFrame:
-    return (docs.select(key, F.explode(F.split(F.lower(F.col(doc)), "")).alias("ch"))
+    return (docs.select(key, F.explode(F.split(F.lower(F.col(doc)), "")).alias("ch")).where(F.col("ch") != "")
                 .groupBy(key, "ch").agg(F.count(F.lit(1)).cast("double").alias("tf")))
 
 
+def document_char_counts(df: DataFrame, spec: PanelSpec, c: str) -> DataFrame:
+    """Character counts of the ``category_documents`` document of ``c``
+    without building it: the document is the values joined by single spaces,
+    so its counts are the values' character counts plus (rows - 1) spaces.
+    Values are counted per (entity, value) first (partial aggregate: a hot
+    entity shrinks to its distinct values), then their characters exploded."""
+    v = F.lower(F.coalesce(F.col(c).cast("string"), F.lit("nan")))
+    per_val = df.groupBy(spec.entity, v.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    chars = per_val.select(spec.entity, F.explode(F.split("__v", "")).alias("ch"), "__n").where(F.col("ch") != "")
+    spaces = (per_val.groupBy(spec.entity).agg((F.sum("__n") - 1).alias("__n")).where(F.col("__n") > 0)
+              .select(spec.entity, F.lit(" ").alias("ch"), "__n"))
+    return (chars.unionByName(spaces).groupBy(spec.entity, "ch")
+            .agg(F.sum("__n").cast("double").alias("tf")))
+
+
 def char_vectors(docs: DataFrame, key: str, doc: str, tfidf: bool = False) -> DataFrame:
     """char_count_vector / char_tfidf_vector: character unigram counts with a
     sorted vocabulary (column ``{doc}_cv_{i}``), or smooth TF-IDF
@@ -136,18 +151,22 @@ def char_vectors(docs: DataFrame, key: str, doc: str, tfidf: bool = False) -> Da
     One small job yields the vocabulary with document frequencies (bounded by
     the alphabet); the counts of a document are gathered into one map per key
     in the same aggregate that computes its norm -- no pivot, no window."""
-    cnt = _char_counts(docs, key, doc)
+    return char_vectors_from_counts(_char_counts(docs, key, doc), docs.select(key), key, doc, tfidf)
+
+
+def char_vectors_from_counts(cnt: DataFrame, keys: DataFrame, key: str, doc: str, tfidf: bool = False) -> DataFrame:
+    """``char_vectors`` from (key, ch, tf) counts; ``keys`` = one row per document."""
     voc = cnt.groupBy("ch").agg(F.count(F.lit(1)).alias("df")).orderBy("ch").collect()
     vocab = [r["ch"] for r in voc]
     tag = "tfidf" if tfidf else "cv"
     if tfidf:
-        n = docs.count()
+        n = keys.count()
         idf = F.create_map(*[x for r in voc for x in (F.lit(r["ch"]), F.lit(math.log((1.0 + n) / (1.0 + r["df"])) + 1.0))])
         cnt = cnt.withColumn("tf", F.col("tf") * F.element_at(idf, F.col("ch")))
     m = cnt.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("ch", "tf"))).alias("__m"),
                              F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("__norm"))
     scale = F.col("__norm") if tfidf else F.lit(1.0)
-    out = docs.select(key).join(m, key, "left")
+    out = keys.join(m, key, "left")
     return out.select(key, *[F.coalesce(F.try_element_at(F.col("__m"), F.lit(v)) / scale, F.lit(0.0)).alias(f"{doc}_{tag}_{i}")
                              for i, v in enumerate(vocab)])
 

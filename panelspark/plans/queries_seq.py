@@ -324,10 +324,6 @@ register("encode_onehot_drop_first", W(O.PANEL_ORDERS, final="SELECT customer_id
     + [f'CAST(coalesce(d_64 = \'{v}\', false) AS INTEGER) AS "d_64_{v}"' for v in D64_LEVELS[1:]]) + " FROM panel"))(_onehot)
 
 
-def _docs(spark, sf):
-    return E.category_documents(panel_orders(spark, sf), SP, ["d_64"])
-
-
 VOCAB = sorted(set(" ".join(D64_LEVELS).lower()) | {" "})
 
 
@@ -346,8 +342,16 @@ def _char_sql(tfidf: bool) -> str:
     return W(*ctes, final=O.report([f"d_64_doc_tfidf_{i}" for i in range(n)], ["customer_id"]))
 
 
-register("char_count_vector", _char_sql(False))(lambda spark, sf: E.char_vectors(_docs(spark, sf), "customer_id", "d_64_doc"))
-register("char_tfidf_vector", _char_sql(True))(lambda spark, sf: E.char_vectors(_docs(spark, sf), "customer_id", "d_64_doc", tfidf=True))
+def _char_vec(spark, sf, tfidf: bool):
+    """Character vectors of the d_64 history document, counted from the rows
+    (the document itself is never built)."""
+    p = panel_orders(spark, sf)
+    return E.char_vectors_from_counts(E.document_char_counts(p, SP, "d_64"), p.select("customer_id").distinct(),
+                                      "customer_id", "d_64_doc", tfidf)
+
+
+register("char_count_vector", _char_sql(False))(lambda spark, sf: _char_vec(spark, sf, False))
+register("char_tfidf_vector", _char_sql(True))(lambda spark, sf: _char_vec(spark, sf, True))
 
 
 def _svd(spark, sf):

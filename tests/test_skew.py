@@ -79,3 +79,12 @@ def test_history_ops_on_hot_entity(spark, hot, force_scan):
     _same(H.except_last(hot, SP, 2).select("seq"), hot.withColumn("r", r).where("r > 2").select("seq"))
     _same(H.days_ago(hot, SP).select("seq", "days_ago"),
           hot.select("seq", F.datediff(F.max("s_2").over(SP.whole()), F.col("s_2")).alias("days_ago")))
+
+
+def test_char_counts_without_documents(spark, hot):
+    """Row-based character counts equal the counts of the joined document."""
+    from panelspark.operators import encode as E
+    docs = E.category_documents(hot, SP, ["s"])
+    a = E.document_char_counts(hot, SP, "s").select("customer_id", "ch", "tf")
+    b = E._char_counts(docs, "customer_id", "s_doc").select("customer_id", "ch", "tf")
+    _same(a, b)
