@@ -17,8 +17,9 @@ running-sum plan (``metrics.running_sums``):
    across partitions, and the carry-in is broadcast back to the rows of each
    partition's first entity.
 
-The summary and the rows come from the same plan, so they share one reused
-range exchange and the partition ids line up.
+The partitioned rows are pinned by a reliable checkpoint before the two
+consumers (rows, partition edges) read them, so the partition ids line up
+whatever the planner does with the exchange.
 """
 
 from __future__ import annotations
@@ -126,6 +127,21 @@ def _none(v):
         return v
 
 
+def pinned_range_partitions(d: DataFrame) -> DataFrame:
+    """Attach ``__pid`` to range-partitioned, sorted rows and pin them with a
+    reliable ``checkpoint()`` into the session's shared checkpoint folder.
+
+    The partition ids are consumed by several branches (rows, partition
+    edges).  Each branch planning its own range exchange would re-sample the
+    bounds (it happens when the input is cached, or exchange reuse is off),
+    and the ids would disagree; read from one checkpoint they cannot.  The
+    checkpoint also cuts the lineage, so a lost executor does not recompute
+    the shuffle."""
+    from ..spec import ensure_checkpoint_dir
+    ensure_checkpoint_dir(d.sparkSession)
+    return d.withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+
+
 # Session setting: the most rows of one entity that a plain entity window may
 # hold in one task.  Above it the range-split scan runs.  0 forces the scan.
 WINDOW_MAX_ROWS_CONF = "panelspark.scan.windowMaxRows"
@@ -180,8 +196,9 @@ def entity_scan(df: DataFrame, spec: PanelSpec, lag: dict | None = None, ffill:
     ent = spec.entity
     rn = row_number or "__rn_scan"
     keys = [F.col(ent).asc(), F.col("__ok").asc()]
-    d = (df.withColumn("__ok", spec.order_key()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-           .drop("__ok").withColumn("__pid", F.spark_partition_id()))
+    d = pinned_range_partitions(
+        df.withColumn("__ok", spec.order_key()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+          .drop("__ok"))
     src = {f.name: f.dataType for f in d.schema.fields}
     fields = list(d.schema.fields)
     fields += [T.StructField(o, src[c]) for o, c in lag.items()]

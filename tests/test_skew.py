@@ -62,8 +62,9 @@ def test_hot_entity_spans_partitions(spark, hot):
 def test_scan_plan_has_no_entity_window(spark, hot, force_scan):
     out = entity_scan(hot, SP, ffill={"fx": "x"})
     plan = out._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan
-    assert "Window [" not in plan.split("BroadcastExchange")[0]  # only the partitions-sized carry window
+    rows_branch = plan.split("BroadcastExchange")[0]
+    assert "ExistingRDD" in rows_branch  # the pinned (checkpointed) range partitions
+    assert "Window [" not in rows_branch and "Exchange" not in rows_branch  # only the edge table has a window
 
 
 def test_history_ops_on_hot_entity(spark, hot, force_scan):
@@ -88,3 +89,13 @@ def test_char_counts_without_documents(spark, hot):
     a = E.document_char_counts(hot, SP, "s").select("customer_id", "ch", "tf")
     b = E._char_counts(docs, "customer_id", "s_doc").select("customer_id", "ch", "tf")
     _same(a, b)
+
+
+def test_large_dictionary_codes(spark, hot):
+    """Above the size limit the codes come from the two-level running sum."""
+    from panelspark.operators import encode as E
+    d = hot.select(F.lit("f").alias("feature"), F.col("seq").cast("string").alias("value")).distinct().unionByName(
+        hot.select(F.lit("g").alias("feature"), F.col("s").alias("value")).where("value IS NOT NULL").distinct())
+    a = E.number_dictionary(d, max_rows=10).select("feature", "value", "code")
+    b = E.number_dictionary(d).select("feature", "value", "code")
+    _same(a, b)
