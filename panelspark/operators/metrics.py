@@ -109,10 +109,9 @@ def topk_weighted_fraction(df: DataFrame, score: str = "prediction", target: str
                            idcol: str = "id", frac: float = TOP_FRACTION) -> DataFrame:
     """topk_weighted_fraction: rows in score order while the running weight is
     <= floor(frac * total weight)."""
-    c = _cum(df.withColumn("__k", F.lit(0)), score, target, idcol, ("__k",))
-    tot = c.groupBy("__k").agg(F.sum("__w").alias("__wsum"))
-    cut = F.floor(F.lit(frac) * F.col("__wsum"))
-    return c.join(F.broadcast(tot), "__k").where(F.col("cum___w") <= cut).select(idcol, score, target)
+    c = _cum(df, score, target, idcol)
+    wsum = _weighted(df.select(target), target).agg(F.sum("__w")).scalar()  # scalar subquery, no join
+    return c.where(F.col("cum___w") <= F.floor(F.lit(frac) * wsum)).select(idcol, score, target)
 
 
 def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast: bool = False,
@@ -124,19 +123,18 @@ def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast:
       gini = sum_i w_i cumPos_i / P - (W^2 + Q) / (2 W)
       gini_max (positives first, w = 1) = (P + 1)/2 + 20 N - (W^2 + Q) / (2 W)
     which equals the closed form 10 N (P + 20 N - 19) / (P + 20 N)."""
-    if not by:
-        max_groups = 1
-    by = tuple(by) or ("__k",)
-    d = df.select(*[c for c in by if c != "__k"], idcol, score, target)
-    if by == ("__k",):
-        d = d.withColumn("__k", F.lit(0))
-    d = _weighted(d, target)
-    tot = d.groupBy(*by).agg(F.sum("__w").alias("W"), F.sum(F.col("__w") * F.col("__w")).alias("Q"),
-                             F.sum("__t").alias("n_pos"), F.count(F.lit(1)).alias("n"))
+    by = tuple(by)
+    d = _weighted(df.select(*by, idcol, score, target), target)
+    totals = {"W": F.sum("__w"), "Q": F.sum(F.col("__w") * F.col("__w")), "n_pos": F.sum("__t"),
+              "n": F.count(F.lit(1))}
     c = running_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__t"], by=by, max_groups=max_groups)
-    from .relational import BROADCAST_MAX_ROWS, join_small
-    c = (c.join(F.broadcast(tot), list(by)) if max_groups is not None and max_groups <= BROADCAST_MAX_ROWS
-         else join_small(c, tot, list(by)))
+    if by:
+        tot = d.groupBy(*by).agg(*[v.alias(k) for k, v in totals.items()])
+        from .relational import BROADCAST_MAX_ROWS, join_small
+        c = (c.join(F.broadcast(tot), list(by)) if max_groups is not None and max_groups <= BROADCAST_MAX_ROWS
+             else join_small(c, tot, list(by)))
+    else:  # global totals as scalar subqueries (merged into one aggregate), no join
+        c = c.withColumns({k: d.agg(v.alias(k)).scalar() for k, v in totals.items()})
     if fast:
         cond = F.col("cum___w") / F.col("W") <= F.lit(TOP_FRACTION)
     else:

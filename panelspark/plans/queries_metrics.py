@@ -103,8 +103,7 @@ register("rank_average", W(O.SCORES, "g AS (SELECT id, ((rank() OVER (ORDER BY p
 
 def _logloss_auc(spark, sf):
     s = scores(spark, sf)
-    return M.logloss(s).withColumn("__k", F.lit(0)).join(
-        M.auc_exact(s).withColumn("__k", F.lit(0)), "__k").drop("__k")
+    return M.logloss(s).withColumn("auc", M.auc_exact(s).scalar())  # one-row results: scalar subquery
 
 
 register("metric_logloss_auc", W(O.SCORES, "r AS (SELECT target, rank() OVER (ORDER BY prediction) + (count(*) OVER (PARTITION BY prediction) - 1) / 2.0 AS rk, "
