@@ -55,10 +55,11 @@ def _local_scan(ent: str, lag: dict, ffill: dict, cnt: dict, rn: str | None):
         cont = firstpos < 0
         out = {}
         for o, c in lag.items():
-            prev = pdf[c].shift(1)
+            s = pdf[c]
+            prev = (s.astype("Int64") if s.dtype.kind in "iu" else s).shift(1)  # exact ints, no float detour
             prev[start] = None
             if not start[0]:
-                prev = prev.astype(object) if st["last"][c] is not None and prev.dtype.kind in "iub" else prev
+                prev = prev.astype(object) if st["last"][c] is not None and prev.dtype.kind == "b" else prev
                 prev.iloc[0] = st["last"][c]
             out[o] = prev
         for o, c in ffill.items():

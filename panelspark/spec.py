@@ -100,6 +100,8 @@ def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # wide feature plans: keep codegen on for many aggregate expressions
         "spark.sql.codegen.maxFields": "2000",
+        # pinned range partitions are checkpointed per call: remove them once unreferenced
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
 
 

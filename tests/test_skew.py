@@ -40,14 +40,14 @@ def _same(a, b):
 
 @pytest.mark.parametrize("parts", [8, 29])
 def test_scan_matches_windows(spark, hot, force_scan, parts):
-    out = entity_scan(hot, SP, lag={"lx": "x", "ls": "s"}, ffill={"fx": "x", "fs": "s"},
+    out = entity_scan(hot, SP, lag={"lx": "x", "ls": "s", "lq": "seq"}, ffill={"fx": "x", "fs": "s"},
                       count_nonnull={"nx": "x"}, row_number="rn", n_parts=parts)
     w = SP.window()
     wu = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ref = hot.select("seq", F.lag("x").over(w).alias("lx"), F.lag("s").over(w).alias("ls"),
+    ref = hot.select("seq", F.lag("x").over(w).alias("lx"), F.lag("s").over(w).alias("ls"), F.lag("seq").over(w).alias("lq"),
                      F.last("x", True).over(wu).alias("fx"), F.last("s", True).over(wu).alias("fs"),
                      F.count("x").over(wu).alias("nx"), F.row_number().over(w).cast("long").alias("rn"))
-    _same(out.select("seq", "lx", "ls", "fx", "fs", "nx", "rn"), ref)
+    _same(out.select("seq", "lx", "ls", "lq", "fx", "fs", "nx", "rn"), ref)
 
 
 def test_hot_entity_spans_partitions(spark, hot):
