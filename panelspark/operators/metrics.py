@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .ordered import pinned_range_partitions
+from .ordered import pin
 
 # Fixed values of the ranking metric.
 NEG_WEIGHT = 20.0
@@ -47,7 +47,7 @@ def running_sums(df: DataFrame, order: list[Column], cols: list[str], by: tuple[
     keys = [F.col(b).asc() for b in by] + list(order)
     allc = list(cols) + (["__one"] if by and "__one" not in cols else [])
     d = df.withColumn("__one", F.lit(1.0)) if by else df
-    d = pinned_range_partitions(d.repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    d = d.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("__pid", F.spark_partition_id())
     loc_names = [f"__loc_{c}" for c in allc]
     schema = T.StructType(d.schema.fields + [T.StructField(x, T.DoubleType()) for x in loc_names])
 
@@ -62,10 +62,10 @@ def running_sums(df: DataFrame, order: list[Column], cols: list[str], by: tuple[
                 out[x] = cum[:, j] if len(pdf) else pd.Series(dtype="float64")
             yield out
 
-    loc = d.mapInPandas(local, schema)
-    # Partition totals and local sums read the same pinned partitions
-    # (``pinned_range_partitions``): a separately planned range exchange would
-    # re-sample its bounds and the partition ids would not line up.
+    # Partition totals and local sums read the same pinned result (``pin``): a
+    # separately planned range exchange would re-sample its bounds and the
+    # partition ids would not line up.
+    loc = pin(d.mapInPandas(local, schema))
     tot = loc.groupBy("__pid").agg(*[F.sum(F.col(c).cast("double")).alias(f"__tot_{c}") for c in allc])
     w = Window.partitionBy().orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     off = tot.select("__pid", *[F.coalesce(F.sum(f"__tot_{c}").over(w), F.lit(0.0)).alias(f"__off_{c}") for c in allc])

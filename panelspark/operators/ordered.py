@@ -17,9 +17,10 @@ running-sum plan (``metrics.running_sums``):
    across partitions, and the carry-in is broadcast back to the rows of each
    partition's first entity.
 
-The partitioned rows are pinned by a reliable checkpoint before the two
-consumers (rows, partition edges) read them, so the partition ids line up
-whatever the planner does with the exchange.
+The scan output (with the partition ids taken in the same stage) is pinned
+by a reliable checkpoint before its two consumers (rows, partition edges)
+read it: one shuffle, one Python pass, and the ids line up whatever the
+planner does with the exchange.
 """
 
 from __future__ import annotations
@@ -128,19 +129,26 @@ def _none(v):
         return v
 
 
-def pinned_range_partitions(d: DataFrame) -> DataFrame:
-    """Attach ``__pid`` to range-partitioned, sorted rows and pin them with a
-    reliable ``checkpoint()`` into the session's shared checkpoint folder.
+def pin(d: DataFrame) -> DataFrame:
+    """Materialise a per-partition result with a reliable ``checkpoint()``
+    into the session's shared checkpoint folder.
+
+    Used on the output of a scan over range partitions, whose ``__pid`` was
+    taken in the same stage.  Several branches (rows, partition edges) read
+    it.  Re-planned separately, each branch would run the Python pass again,
+    and its range exchange could re-sample the bounds (when the input is
+    cached, or exchange reuse is off).  The ids would then disagree; read from
+    one checkpoint they cannot.  The checkpoint also cuts the lineage, so a
+    lost executor does not recompute the shuffle."""
+    from pyspark import StorageLevel
 
-    The partition ids are consumed by several branches (rows, partition
-    edges).  Each branch planning its own range exchange would re-sample the
-    bounds (it happens when the input is cached, or exchange reuse is off),
-    and the ids would disagree; read from one checkpoint they cannot.  The
-    checkpoint also cuts the lineage, so a lost executor does not recompute
-    the shuffle."""
     from ..spec import ensure_checkpoint_dir
     ensure_checkpoint_dir(d.sparkSession)
-    return d.withColumn("__pid", F.spark_partition_id()).checkpoint(eager=True)
+    # persisted first: otherwise the checkpoint write recomputes the whole pass
+    d = d.persist(StorageLevel.MEMORY_AND_DISK)
+    out = d.checkpoint(eager=True)
+    d.unpersist()
+    return out
 
 
 # Session setting: the most rows of one entity that a plain entity window may
@@ -197,9 +205,8 @@ def entity_scan(df: DataFrame, spec: PanelSpec, lag: dict | None = None, ffill:
     ent = spec.entity
     rn = row_number or "__rn_scan"
     keys = [F.col(ent).asc(), F.col("__ok").asc()]
-    d = pinned_range_partitions(
-        df.withColumn("__ok", spec.order_key()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-          .drop("__ok"))
+    d = (df.withColumn("__ok", spec.order_key()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+           .drop("__ok").withColumn("__pid", F.spark_partition_id()))
     src = {f.name: f.dataType for f in d.schema.fields}
     fields = list(d.schema.fields)
     fields += [T.StructField(o, src[c]) for o, c in lag.items()]
@@ -208,7 +215,7 @@ def entity_scan(df: DataFrame, spec: PanelSpec, lag: dict | None = None, ffill:
     fields += [T.StructField(rn, T.LongType()),
                T.StructField("__head", T.BooleanType()), T.StructField("__first", T.BooleanType()),
                T.StructField("__tail", T.BooleanType())]
-    loc = d.mapInPandas(_local_scan(ent, lag, ffill, cnt, rn), T.StructType(fields))
+    loc = pin(d.mapInPandas(_local_scan(ent, lag, ffill, cnt, rn), T.StructType(fields)))
 
     # Carry-in from the partition edges (first and last row of every
     # partition: a partitions-sized table, one consumer of ``loc``).  Same-entity
