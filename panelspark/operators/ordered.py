@@ -48,9 +48,10 @@ def _local_scan(ent: str, lag: dict, ffill: dict, cnt: dict, rn: str | None):
     def scan_batch(pdf: pd.DataFrame, st: dict | None):
         n = len(pdf)
         e = pdf[ent].to_numpy()
+        na = pdf[ent].isna().to_numpy()  # NULL entities form one group, as in a window
         start = np.empty(n, dtype=bool)
-        start[0] = st is None or e[0] != st["ent"]
-        start[1:] = e[1:] != e[:-1]
+        start[0] = st is None or not _same_key(e[0], st["ent"])
+        start[1:] = ~((e[1:] == e[:-1]) | (na[1:] & na[:-1]))
         idx = np.arange(n)
         firstpos = np.maximum.accumulate(np.where(start, idx, -1))
         cont = firstpos < 0
@@ -106,7 +107,7 @@ def _local_scan(ent: str, lag: dict, ffill: dict, cnt: dict, rn: str | None):
             res, st_new = scan_batch(pdf, st)
             for k, v in res.items():
                 pdf[k] = v
-            pdf["__head"] = (pdf[ent] == first_ent).to_numpy()
+            pdf["__head"] = (pdf[ent].isna() if _none(first_ent) is None else pdf[ent] == first_ent).to_numpy()
             pdf["__first"] = False
             if st is None:
                 pdf.iloc[0, pdf.columns.get_loc("__first")] = True
@@ -122,6 +123,12 @@ def _local_scan(ent: str, lag: dict, ffill: dict, cnt: dict, rn: str | None):
     return local
 
 
+def _same_key(a, b) -> bool:
+    """Entity equality with NULL == NULL (window partition semantics)."""
+    a, b = _none(a), _none(b)
+    return (a is None and b is None) or (a is not None and b is not None and a == b)
+
+
 def _none(v):
     try:
         return None if pd.isna(v) else v

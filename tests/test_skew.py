@@ -99,3 +99,18 @@ def test_large_dictionary_codes(spark, hot):
     a = E.number_dictionary(d, max_rows=10).select("feature", "value", "code")
     b = E.number_dictionary(d).select("feature", "value", "code")
     _same(a, b)
+
+
+def test_scan_null_and_string_entities(spark, force_scan):
+    """NULL entities form one group (window semantics); string keys work."""
+    o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
+    df = o.select(F.when(F.col("o_orderkey") % 4 == 0, F.lit(None)).when(F.col("o_orderkey") % 4 == 1, F.lit("hot"))
+                  .otherwise(F.col("o_custkey").cast("string")).alias("customer_id"),
+                  F.col("o_orderdate").cast("timestamp").alias("s_2"), F.col("o_orderkey").alias("seq"),
+                  F.when(F.col("o_orderkey") % 5 == 0, None).otherwise(F.col("o_totalprice")).alias("x"))
+    out = entity_scan(df, SP, lag={"lx": "x"}, ffill={"fx": "x"}, count_nonnull={"nx": "x"}, row_number="rn", n_parts=23)
+    w = SP.window()
+    wu = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = df.select("seq", F.lag("x").over(w).alias("lx"), F.last("x", True).over(wu).alias("fx"),
+                    F.count("x").over(wu).alias("nx"), F.row_number().over(w).cast("long").alias("rn"))
+    _same(out.select("seq", "lx", "fx", "nx", "rn"), ref)
