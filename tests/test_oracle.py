@@ -25,3 +25,12 @@ def test_matches_duckdb(spark, duck, key):
     from check_oracle import compare
     r = compare(spark, duck, key, QS[key], SQL[key], SF_SMALL)
     assert r.get("ok") is True, r
+
+
+@pytest.mark.parametrize("key", sorted(SQL))
+def test_plan_has_no_cross_join_or_row_udf(spark, key):
+    """No registered query plans a cartesian product, a nested-loop join or
+    a row-at-a-time Python UDF (global totals are scalar subqueries)."""
+    plan = QS[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"):
+        assert bad not in plan, (key, bad)
