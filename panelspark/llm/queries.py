@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op3_bpe, op8_decontam, op10_toxicity
+from . import op3_bpe, op6_suffix_dedup, op8_decontam, op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -33,6 +33,12 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_bpe.encode(docs, tokenizer_path(), decoded=True).select("doc_id", *op3_bpe.digests())
 
 
+@query
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op6_suffix_dedup.dedup(docs).select("doc_id", *op6_suffix_dedup.digests())
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
