@@ -226,12 +226,12 @@ def runs(flag: np.ndarray) -> list[int]:
 
 
 # -- Spark -----------------------------------------------------------------------------
-def distinct_texts(docs: DataFrame, text: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
-    """(documents with the key k1, k2 of their text; table of key, text and copies, bucketed by key)."""
+def distinct_texts(docs: DataFrame, text: str, scratch: Scratch, *more) -> tuple[DataFrame, DataFrame]:
+    """(documents with the key k1, k2 of their text; table of key, text, copies and more, bucketed by key)."""
     spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.withColumns({"__k1": F.xxhash64(body), "__k2": F.xxhash64(F.lit("k2"), body)})
-    one = keyed.select("__k1", "__k2", body.alias("__text")).groupBy("__k1", "__k2").agg(F.first("__text").alias("__text"), F.count("*").alias("__copies"))
+    one = keyed.groupBy("__k1", "__k2").agg(F.first(body).alias("__text"), F.count("*").alias("__copies"), *more)
     path = scratch.path("texts")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op3_bpe, op6_suffix_dedup, op8_decontam, op10_toxicity
+from . import op3_bpe, op6_suffix_dedup, op7_minhash, op8_decontam, op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -39,6 +39,12 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_suffix_dedup.dedup(docs).select("doc_id", *op6_suffix_dedup.digests())
 
 
+@query
+def op7_chosen_path_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op7_minhash.classify(docs).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
