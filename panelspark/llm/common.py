@@ -177,3 +177,15 @@ def map_blocks(df: DataFrame, text: str, fields: str, start, limit: int = BLOCK_
                 yield pa.RecordBatch.from_arrays([rows.column(here.index(n)) for n in names] + made, names=names + types.names)
 
     return df.select([f"`{c}`" for c in here]).mapInArrow(run, StructType([*kept, *new]))
+
+
+def ship(spark: SparkSession, thing):
+    """Broadcast an object's state; the returned function rebuilds it in a worker (its class travels with the function)."""
+    kind, state = type(thing), spark.sparkContext.broadcast(vars(thing))
+
+    def load():
+        got = object.__new__(kind)
+        got.__dict__.update(state.value)
+        return got
+
+    return load

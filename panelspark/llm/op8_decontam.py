@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_blocks
+from .common import Words, map_blocks, ship
 
 WINDOW = 10
 GRAM = 4
@@ -169,13 +169,15 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: i
     out, found = docs, []
     for k in range(parts):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k).collect() if total else []
-        tests = spark.sparkContext.broadcast(TestSuffixes([r.id for r in block], [r.text for r in block], window))
+        load = ship(spark, TestSuffixes([r.id for r in block], [r.text for r in block], window))
         name = "matches" if parts == 1 else f"__matches_{k}"
 
-        def start(tests=tests):
+        def start(load=load):
+            tests = load()
+
             def rows(batch, buf, offs):
                 words = Words(buf, offs, IS_WORD)
-                by_row = shard_matches(words, tests.value)
+                by_row = shard_matches(words, tests)
                 return [pa.array(np.diff(words.first), pa.int64()), [by_row.get(i, []) for i in range(batch.num_rows)]]
             return rows
 

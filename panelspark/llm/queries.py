@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op3_bpe, op6_suffix_dedup, op7_minhash, op8_decontam, op10_toxicity
+from . import op3_bpe, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -51,6 +51,12 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8_decontam.flag(docs, table(spark, sf_dir, "benchmark")).select("doc_id", *op8_decontam.digests())
 
 
+@query
+def op9_hash_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return op9_forest.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 @query
 def op10_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
