@@ -228,15 +228,10 @@ def runs(flag: np.ndarray) -> list[int]:
 # -- Spark -----------------------------------------------------------------------------
 def distinct_texts(docs: DataFrame, text: str, scratch: Scratch, *more) -> tuple[DataFrame, DataFrame]:
     """(documents with the key k1, k2 of their text; table of key, text, copies and more, bucketed by key)."""
-    spark = docs.sparkSession
     body = F.coalesce(F.col(text), F.lit(""))
     keyed = docs.withColumns({"__k1": F.xxhash64(body), "__k2": F.xxhash64(F.lit("k2"), body)})
     one = keyed.groupBy("__k1", "__k2").agg(F.first(body).alias("__text"), F.count("*").alias("__copies"), *more)
-    path = scratch.path("texts")
-    name = path.rsplit("/", 1)[1].replace("-", "_")
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    one.write.option("compression", "zstd").bucketBy(n, "__k1", "__k2").option("path", path).saveAsTable(name)
-    return keyed, spark.table(name)
+    return keyed, scratch.write_bucketed(one, "texts", "__k1", "__k2")
 
 
 def _segments(docs: DataFrame, length: int) -> DataFrame:
@@ -333,9 +328,9 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = LENGTH, hot
             .agg(F.flatten(F.collect_list(F.expr(f"transform(runs, (x, i) -> x + a + if(i % 2 = 1, {length - 1}, 0))"))).alias("spans")))
 
 
-def _cut(rows: DataFrame, length: int) -> DataFrame:
+def _cut(rows: DataFrame, length: int, as_text: bool) -> DataFrame:
     """Cut the spans out of each text."""
-    fields = "n_bytes bigint, n_removed bigint, n_spans bigint, removed array<struct<start: bigint, stop: bigint>>, kept binary"
+    fields = "n_bytes bigint, n_removed bigint, n_spans bigint, removed array<struct<start: bigint, stop: bigint>>, kept " + ("string" if as_text else "binary")
 
     def start():
         def cut(batch, buf, offs):
@@ -356,20 +351,23 @@ def _cut(rows: DataFrame, length: int) -> DataFrame:
                 else:
                     gone = []
                 left = b"".join(data[x:y].tobytes() for x, y in zip([0, *(y for _, y in gone)], [*(x for x, _ in gone), n]))
-                out.append((n, n - len(left), len(gone), [{"start": x, "stop": y} for x, y in gone], left))
+                out.append((n, n - len(left), len(gone), [{"start": x, "stop": y} for x, y in gone], left.decode("utf-8", "ignore") if as_text else left))
             return [list(x) for x in zip(*out)]
         return cut
 
     return map_blocks(rows, "__text", fields, start, keep=["__k1", "__k2", "spans", "__copies"]).drop("spans", "__copies")
 
 
-def dedup(docs: DataFrame, text: str = "text", length: int = LENGTH, hot: int = HOT, scratch: Scratch | None = None) -> DataFrame:
-    """``docs`` with n_bytes, n_removed, n_spans (long), removed (byte spans) and kept (remaining bytes)."""
+def dedup(docs: DataFrame, text: str = "text", length: int = LENGTH, hot: int = HOT, as_text: bool = False, scratch: Scratch | None = None) -> DataFrame:
+    """``docs`` with n_bytes, n_removed, n_spans (long), removed (byte spans) and kept (remaining bytes).
+
+    as_text: ``kept`` is text, without the remains of characters that a cut went through.
+    """
     scratch = scratch or Scratch(docs.sparkSession)
     made = {"n_bytes", "n_removed", "n_spans", "removed", "kept"}
     keyed, texts = distinct_texts(docs, text, scratch)
     spans = repeated_spans(texts, scratch, length, hot)
-    done = _cut(texts.join(spans, ["__k1", "__k2"], "left"), length)
+    done = _cut(texts.join(spans, ["__k1", "__k2"], "left"), length, as_text)
     rest = [f"`{c}`" for c in docs.columns if c.lower() not in made]
     return keyed.select(*rest, "__k1", "__k2").join(done, ["__k1", "__k2"]).drop("__k1", "__k2")
 

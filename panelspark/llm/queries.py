@@ -62,3 +62,9 @@ def op10_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = op10_toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return op10_toxicity.score(docs, model).select("doc_id", op10_toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
