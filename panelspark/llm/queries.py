@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op3_bpe, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity
+from . import op2_chat, op3_bpe, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,12 +27,61 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionAll(probe)
+    formatted = op2_chat.format_turns(op2_chat.canonical_turns(op2_chat.pack(rows)))
+    return op2_chat.read_back(formatted.select("conv_id", "formatted", "loss_runs")).select("conv_id", *op2_chat.digests())
+
+
+ORACLE["op2_chat_format"] = r"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+m AS (
+  SELECT *, length(replace(replace(role, '%', '%25'), chr(10), '%0A'))
+      + len(regexp_extract_all(role || chr(10) || text, '[<\[]\\*(\||/?s>|/?INST\]|</?SYS>)')) + length(text) + 13 + 11 AS chars FROM r)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), '')) AS loss_sha256,
+  sum(chars)::BIGINT AS formatted_chars
+FROM m GROUP BY conv_id"""
+
+
 @query
 def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return op3_bpe.encode(docs, tokenizer_path(), decoded=True).select("doc_id", *op3_bpe.digests())
 
 
+@query
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def _notices() -> str:
+    return ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(op5_license.NOTICES))
+
+
+ORACLE["op5_license_scan"] = f"""
+WITH t0 AS (SELECT template, license, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM (VALUES {_notices()}) v(template, license, text)),
+t AS (SELECT template, license, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS tb FROM t0 WHERE len(w) > 1),
+l AS (
+  SELECT doc_id, unnest(list_zip(range(1, len(string_split(text, chr(10))) + 1), string_split(text, chr(10)))) AS x FROM documents WHERE text IS NOT NULL),
+u AS (
+  SELECT doc_id, x[1] AS line, x[2] AS unit FROM l
+  UNION ALL SELECT doc_id, 0, text FROM documents WHERE contains(text, chr(10))),
+w AS (SELECT doc_id, line, regexp_extract_all(lower(unit), '[a-z0-9]+') AS w FROM u),
+b AS (SELECT doc_id, line, len(w) AS n_words, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS ub FROM w WHERE len(w) BETWEEN 2 AND 400),
+d AS (
+  SELECT doc_id, line, license, template, n_words, 2.0::DOUBLE * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) AS dice
+  FROM b JOIN t ON len(ub) BETWEEN len(tb) * 0.6 AND len(tb) * 1.6)
+SELECT doc_id, line::BIGINT AS line, license, template, dice, n_words::BIGINT AS n_words FROM d
+WHERE dice >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, line ORDER BY dice DESC, template) = 1"""
+
+
 @query
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
