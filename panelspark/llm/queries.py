@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op2_chat, op3_bpe, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity
+from . import op1_revisit, op2_chat, op3_bpe, op4_html, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -27,6 +27,36 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = op1_revisit.resolve(op1_revisit.records_of_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
+    lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return out.select("revisit_id", "canonical", "ts", "response_id", "verdict", F.array_join(lines, "\n").alias("headers"), F.sha2("payload", 256).alias("payload_sha256"))
+
+
+ORACLE["op1_warc_revisits"] = r"""
+WITH p AS (SELECT page_id AS i, url, html, '"' || substr(md5(coalesce(html, '')), 1, 16) || '"' AS tag FROM pages),
+s AS (SELECT *, regexp_replace(trim(url), '#.*$', '') AS u, CASE WHEN i % 7 = 0 THEN 10 * i - 5 ELSE 10 * i + 1005 END AS later FROM p),
+b AS (SELECT *, regexp_replace(u, '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM s),
+c AS (SELECT *, regexp_extract(rest, '^([^?]*)', 1) AS front, regexp_extract(rest, '\?(.*)$', 1) AS q FROM b),
+d AS (SELECT *, regexp_replace(lower(regexp_replace(regexp_extract(front, '^([^/]*)', 1), '^.*@', '')), '^www[0-9]*\.', '') AS host,
+  regexp_replace(regexp_extract(front, '^[^/]*(.*)$', 1), '/+$', '') AS path,
+  list_sort(list_filter(string_split(q, '&'), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^(utm_[a-z]+|fbclid|gclid|ref|sessionid|phpsessid|jsessionid|sid)(=|$)'))) AS params FROM c),
+e AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, CASE WHEN lower(u) LIKE 'https://%' THEN ':443$' ELSE ':80$' END, '')
+  || CASE WHEN path = '' THEN '/' ELSE path END || CASE WHEN len(params) > 0 THEN '?' || array_to_string(params, '&') ELSE '' END END AS canonical FROM d),
+j AS (SELECT v.i, v.canonical, v.later, v.tag AS vtag, f.i AS fi, f.html AS fhtml, f.tag AS ftag
+  FROM e v LEFT JOIN e f ON v.canonical = f.canonical AND 10 * f.i < v.later
+  QUALIFY row_number() OVER (PARTITION BY v.i ORDER BY f.i DESC NULLS LAST) = 1),
+k AS (SELECT *, CASE WHEN fi IS NULL THEN 'no_response' WHEN i % 5 = 4 THEN 'no_validator'
+  WHEN i % 5 < 2 AND vtag = ftag OR i % 5 = 2 AND i % 400 = fi % 400 THEN 'resolved' ELSE 'mismatch' END AS verdict FROM j)
+SELECT 2 * i + 1 AS revisit_id, canonical, later AS ts, 2 * fi AS response_id, verdict,
+  CASE WHEN verdict = 'resolved' THEN 'cache-control: max-age=60' || chr(10) || 'content-length: ' || coalesce(strlen(fhtml), 0) || chr(10) || 'content-type: text/html' || chr(10)
+    || 'date: ' || (i + 100) || chr(10) || 'etag: ' || CASE i % 5 WHEN 0 THEN vtag WHEN 1 THEN 'W/' || vtag ELSE ftag END || chr(10) || 'expires: later' || chr(10)
+    || 'last-modified: day ' || CASE WHEN i % 5 = 2 THEN i % 400 ELSE fi % 400 END END AS headers,
+  CASE WHEN verdict = 'resolved' THEN sha256(fhtml) END AS payload_sha256
+FROM k"""
+
+
 @query
 def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
@@ -56,6 +86,11 @@ def op3_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3_bpe.encode(docs, tokenizer_path(), decoded=True).select("doc_id", *op3_bpe.digests())
 
 
+@query
+def op4_html_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select("page_id", "url", "visible_text")
+
+
 @query
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
