@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelspark.llm import op3_bpe, op6_suffix_dedup, op7_minhash, op8_decontam, op10_toxicity
-from panelspark.llm.common import Scratch
+from panelspark.llm.common import Scratch, wrapped
 from panelspark.llm.queries import table, tokenizer_path
 
 _LAST: list[Scratch] = []
@@ -31,8 +31,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects (score of 0.5 or more) go."""
     _scratch(spark)
     model = op10_toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("text"))
-    return op10_toxicity.score(rows, model).where("predicted = 0").select("__row.*")
+    return op10_toxicity.score(wrapped(docs, text="text"), model).where("predicted = 0").select("__row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,9 +41,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte strings of 200 that stand in several places are cut; documents stay, n_chars follows."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("text"))
-    cut = op6_suffix_dedup.dedup(rows, as_text=True, scratch=_scratch(spark))
-    new = {"text": F.when(F.col("__row.text").isNotNull(), F.col("kept")), "n_chars": F.length("kept").cast("long")}
+    cut = op6_suffix_dedup.dedup(wrapped(docs, text="text"), as_text=True, scratch=_scratch(spark))
+    new = {"text": F.when(F.col("text").isNotNull(), F.col("kept")), "n_chars": F.length("kept").cast("long")}
     return cut.select(*[new.get(c, F.col("__row")[c]).alias(c) for c in docs.columns])
 
 

@@ -191,6 +191,22 @@ def map_blocks(df: DataFrame, text: str, fields: str, start, limit: int = BLOCK_
     return df.select([f"`{c}`" for c in here]).mapInArrow(run, StructType([*kept, *new]))
 
 
+def wrapped(df: DataFrame, **cols) -> DataFrame:
+    """The whole row as the struct ``__row``, so that no column of it clashes, and columns of one's own."""
+    from pyspark.sql import functions as F
+
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]) if df.columns else F.struct(F.lit(0).alias("__none"))
+    return df.select(row.alias("__row"), *(F.col(f"`{c}`").alias(k) for k, c in cols.items()))
+
+
+def unwrapped(row_columns: list[str], made: list[str]) -> list:
+    """The columns of ``__row`` that nothing made replaces, then what was made."""
+    from pyspark.sql import functions as F
+
+    taken = {m.lower() for m in made}
+    return [F.col("__row")[c].alias(c) for c in row_columns if c.lower() not in taken] + [F.col(m) for m in made]
+
+
 def ship(spark: SparkSession, thing):
     """Broadcast an object's state; the returned function rebuilds it in a worker (its class travels with the function)."""
     kind, state = type(thing), spark.sparkContext.broadcast(vars(thing))

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import Scratch, blocks, map_blocks, mix, powers, prefix_hash, span_hash, text_bytes
+from .common import Scratch, blocks, map_blocks, mix, powers, prefix_hash, span_hash, text_bytes, unwrapped, wrapped
 
 LENGTH = 200
 GRAM = 32
@@ -364,12 +364,11 @@ def dedup(docs: DataFrame, text: str = "text", length: int = LENGTH, hot: int =
     as_text: ``kept`` is text, without the remains of characters that a cut went through.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    made = {"n_bytes", "n_removed", "n_spans", "removed", "kept"}
-    keyed, texts = distinct_texts(docs, text, scratch)
+    keyed, texts = distinct_texts(wrapped(docs, __t=text), "__t", scratch)
     spans = repeated_spans(texts, scratch, length, hot)
     done = _cut(texts.join(spans, ["__k1", "__k2"], "left"), length, as_text)
-    rest = [f"`{c}`" for c in docs.columns if c.lower() not in made]
-    return keyed.select(*rest, "__k1", "__k2").join(done, ["__k1", "__k2"]).drop("__k1", "__k2")
+    out = keyed.select("__row", "__k1", "__k2").join(done, ["__k1", "__k2"])
+    return out.select(*unwrapped(docs.columns, ["n_bytes", "n_removed", "n_spans", "removed", "kept"]))
 
 
 def digests() -> list:

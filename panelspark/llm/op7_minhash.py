@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import BASE, MASK, Scratch, Words, blocks, mix, text_bytes
+from .common import BASE, MASK, Scratch, Words, blocks, mix, text_bytes, unwrapped, wrapped
 from .op6_suffix_dedup import distinct_texts
 
 SHINGLE = 5
@@ -246,11 +246,13 @@ def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int
 
 def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85, k: int = SHINGLE, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with n_shingles, component_id and kept (doc_id = component_id)."""
-    return _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch or Scratch(docs.sparkSession)).drop("__k1", "__k2", "__copies")
+    out = _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch or Scratch(docs.sparkSession))
+    return out.select(*unwrapped(docs.columns, ["n_shingles", "component_id", "kept"]))
 
 
 def _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch) -> DataFrame:
-    keyed, texts = distinct_texts(docs, text, scratch, F.min(F.col(f"`{doc_id}`")).alias("__doc"))
+    """__row, its text's key and number of copies, n_shingles, component_id, kept."""
+    keyed, texts = distinct_texts(wrapped(docs, __t=text, __id=doc_id), "__t", scratch, F.min("__id").alias("__doc"))
     sketches = scratch.write(_sketches(texts, trees, levels, k).withColumn("cid", F.monotonically_increasing_id()), "sketches")
     links = _links(sketches, texts, scratch, percent, k, trees, levels, leaf)
     roots = connected(links, scratch)
@@ -259,16 +261,16 @@ def _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch) ->
     classes = classes.join(roots, classes.cls == roots.node, "left").select("f1", "f2", F.coalesce("root", "cls").alias("root"), "doc")
     ids = classes.groupBy("root").agg(F.min("doc").alias("component_id"))
     named = classes.join(ids, "root").select("f1", "f2", "component_id")
-    known = scratch.write(facts.join(named, ["f1", "f2"], "left").select("__k1", "__k2", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).alias("component_id")), "known")
-    rest = [f"`{c}`" for c in docs.columns if c.lower() not in {"n_shingles", "component_id", "kept"}]
-    out = keyed.select(*rest, "__k1", "__k2").join(known.join(texts.select("__k1", "__k2", "__copies"), ["__k1", "__k2"]), ["__k1", "__k2"])
-    own = F.col(f"`{doc_id}`")
-    out = out.withColumn("component_id", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(own.cast("long")))
-    return out.withColumn("kept", F.when(F.col("n_shingles") == 0, F.lit(True)).otherwise(own.eqNullSafe(F.col("component_id"))))
+    known = facts.join(named, ["f1", "f2"], "left").join(texts.select("__k1", "__k2", "__copies"), ["__k1", "__k2"])
+    known = scratch.write(known.select("__k1", "__k2", "__copies", F.col("n").alias("n_shingles"), "component_id"), "known")
+    own = F.col("__id").cast("long")
+    out = keyed.select("__row", "__id", "__k1", "__k2").join(known, ["__k1", "__k2"])
+    linked = F.col("n_shingles") > 0
+    return out.withColumn("component_id", F.when(linked, F.col("component_id")).otherwise(own)).withColumn("kept", ~linked | own.eqNullSafe(F.col("component_id")))
 
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """One row of each component, with the columns of ``docs``."""
     out = _classified(docs, text, doc_id, percent, SHINGLE, TREES, LEVELS, LEAF, scratch or Scratch(docs.sparkSession)).where("kept")
     many = (F.col("__copies") > 1) & (F.col("n_shingles") > 0)
-    return out.where(~many).select(docs.columns).unionAll(out.where(many).dropDuplicates(["__k1", "__k2"]).select(docs.columns))
+    return out.where(~many).select("__row.*").unionAll(out.where(many).dropDuplicates(["__k1", "__k2"]).select("__row.*"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, map_blocks, ship
+from .common import Words, map_blocks, ship, wrapped
 
 WINDOW = 10
 GRAM = 4
@@ -200,8 +200,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents without any test window, with their own columns."""
-    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("text"))
-    return flag(inner, benchmark, **options).where(~F.col("contaminated")).select("__row.*")
+    return flag(wrapped(docs, text="text"), benchmark, **options).where(~F.col("contaminated")).select("__row.*")
 
 
 def digests() -> list:
