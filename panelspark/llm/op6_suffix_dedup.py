@@ -318,7 +318,7 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = LENGTH, hot
     """(k1, k2, spans) of the distinct texts: flat [from, to) byte pairs of repeated strings."""
     found = scratch.write(_segments(texts, length), "anchors")
     often = scratch.write(found.groupBy("h").agg(F.count("*").alias("all")).where("all > 1").select("h"), "often")
-    again = found.join(often, "h")
+    again = scratch.write(found.join(often, "h"), "again")  # written, so that a hot anchor's part of the join can be split
     kinds = scratch.write(again.groupBy("h", "s", "n").agg(F.count("*").alias("c"), F.first("__k1").alias("__k1"), F.first("__k2").alias("__k2"), F.first("a").alias("a")), "kinds")
     crowded = kinds.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h", F.lit(True).alias("hot"))
     wanted = kinds.join(crowded, "h", "left").groupBy("__k1", "__k2").agg(F.collect_list(F.struct("h", "s", "a", "n", "c", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("want"))
