@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,15 +61,33 @@ def features(docs: DataFrame, text: str = "text") -> DataFrame:
     return map_blocks(docs, text, "features array<int>", start)
 
 
+class Rows:
+    """Rows of distinct buckets: one flat array, and how many belong to each row."""
+
+    def __init__(self, flat: np.ndarray, size: np.ndarray):
+        self.flat, self.size = flat.astype(np.int32, copy=False), size
+
+    @classmethod
+    def of(cls, rows: list) -> Rows:
+        return cls(np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.empty(0, np.int32), np.array([len(r) for r in rows], np.int64))
+
+    def __len__(self) -> int:
+        return len(self.size)
+
+    def counts(self) -> np.ndarray:
+        return np.bincount(self.flat, minlength=BUCKETS)
+
+
 class Sparse:
-    """Rows of 0/1 features over the columns ``used`` (sorted buckets)."""
+    """The same over the columns ``used`` (sorted buckets) alone."""
 
-    def __init__(self, rows: list, used: np.ndarray):
-        n = np.array([len(r) for r in rows], np.int64)
-        flat = np.concatenate([np.asarray(r, np.int64) for r in rows]) if len(rows) else np.empty(0, np.int64)
-        at = np.minimum(np.searchsorted(used, flat), max(0, len(used) - 1))
-        ok = used[at] == flat if len(used) else np.zeros(len(flat), bool)
-        self.row, self.col, self.n, self.width = np.repeat(np.arange(len(rows)), n)[ok], at[ok], len(rows), len(used)
+    def __init__(self, rows: Rows, used: np.ndarray):
+        place = np.full(BUCKETS, -1, np.int32)
+        place[used] = np.arange(len(used))
+        col = place[rows.flat]
+        ok = col >= 0
+        self.col, self.row = col[ok], np.repeat(np.arange(len(rows), dtype=np.int32), rows.size)[ok]
+        self.n, self.width = len(rows), len(used)
 
     def dot(self, w: np.ndarray) -> np.ndarray:
         return np.bincount(self.row, w[self.col], self.n)
@@ -81,9 +100,9 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def train(positive: list, unlabelled: list, prior: float, steps: int = 400, rate: float = 0.2, l2: float = 2e-5, screen: float = SCREEN, min_positive: int = MIN_POSITIVE) -> dict:
+def train(positive: Rows, unlabelled: Rows, prior: float, steps: int = 400, rate: float = 0.2, l2: float = 2e-5, screen: float = SCREEN, min_positive: int = MIN_POSITIVE) -> dict:
     """Weights by bucket and the bias, by full-batch Adam on the non-negative risk."""
-    in_p, in_u = (np.bincount(np.concatenate([np.asarray(r, np.int64) for r in rows]), minlength=BUCKETS) for rows in (positive, unlabelled))
+    in_p, in_u = positive.counts(), unlabelled.counts()
     share = (in_p + in_u) / (len(positive) + len(unlabelled))
     spread = np.sqrt(share * (1 - share) * (1 / len(positive) + 1 / len(unlabelled))) + 1e-12
     used = np.flatnonzero((in_p >= min(min_positive, max(1, len(positive) // 20))) & (np.abs(in_p / len(positive) - in_u / len(unlabelled)) > screen * spread))
@@ -123,10 +142,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     some = lambda most, of: F.col("draw") < max(1, int(1_000_000 * min(1.0, most / max(1, of))))
     toxic = pool.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi").where(some(max_positive, n.toxic))
     other = pool.where(some(max_unlabelled, rows))
-    got = features(toxic.select("text", F.lit(1).alias("p")).unionAll(other.select("text", F.lit(0).alias("p")))).select("p", "features").toPandas()
+    drawn = features(toxic.select("text", F.lit(1).alias("p")).unionAll(other.select("text", F.lit(0).alias("p"))))
     # copies of one text count once, so that a large group of copies doesn't lead
-    positive, unlabelled = (list({np.asarray(r, np.int32).tobytes(): r for r in got.features[got.p == k]}.values()) for k in (1, 0))
-    return train(positive, unlabelled, float(np.clip(share, 0.001, 0.9)), **options) if positive and unlabelled else None
+    got = drawn.select("p", "features").distinct().orderBy(F.xxhash64("features")).toArrow()
+    sample = []
+    for kind in (1, 0):
+        rows = got.column("features").filter(pc.equal(got.column("p"), kind)).combine_chunks()
+        sample.append(Rows(rows.flatten().to_numpy(), pc.list_value_length(rows).to_numpy()))
+    return train(*sample, float(np.clip(share, 0.001, 0.9)), **options) if all(map(len, sample)) else None
 
 
 def score(docs: DataFrame, model: dict | None, text: str = "text") -> DataFrame:

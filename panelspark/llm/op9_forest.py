@@ -131,8 +131,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 10, key: str = "vec_
         return spark.createDataFrame([], schema).select("query_id", F.lit(0).alias("rank"), "vec_id", "score")
     index, asked = (x.where(F.size("v") == sizes[0]["size"]) for x in (index, asked))
     asked = asked.groupBy("id").agg(F.min("v").alias("v"))
-    drawn = index.orderBy(F.xxhash64(F.lit(9), "id", "v"), "id").limit(sample).toPandas()
-    forest = ship(spark, Forest(np.array(drawn.v.tolist(), np.float64), k=k, **options))
+    drawn = index.orderBy(F.xxhash64(F.lit(9), "id", "v"), "id").limit(sample).toArrow().column("v").combine_chunks()
+    forest = ship(spark, Forest(drawn.flatten().to_numpy().reshape(len(drawn), -1), k=k, **options))
     parts = -(-asked.count() // query_block) or 1
     found = []
     for p in range(parts):
