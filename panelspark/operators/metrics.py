@@ -136,23 +136,24 @@ def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast:
     else:  # global totals as scalar subqueries (merged into one aggregate), no join
         c = c.withColumns({k: d.agg(v.alias(k)).scalar() for k, v in totals.items()})
     if fast:
-        cond = F.col("cum___w") / F.col("W") <= F.lit(TOP_FRACTION)
+        cond = F.try_divide(F.col("cum___w"), F.col("W")) <= F.lit(TOP_FRACTION)
     else:
         cond = F.col("cum___w") <= F.floor(F.lit(TOP_FRACTION) * F.col("W"))
     g = c.groupBy(*by).agg(F.sum(F.col("__w") * F.col("cum___t")).alias("S_tw"),
                            F.sum(F.when(cond, F.col("__t")).otherwise(0.0)).alias("cap_pos"),
                            F.first("W").alias("W"), F.first("Q").alias("Q"), F.first("n_pos").alias("n_pos"),
                            F.first("n").alias("n"))
-    sw = (F.col("W") * F.col("W") + F.col("Q")) / (F.lit(2.0) * F.col("W"))
+    # a group without positives or without rows has no score: NULL, not an error
+    sw = F.try_divide(F.col("W") * F.col("W") + F.col("Q"), F.lit(2.0) * F.col("W"))
     n_neg = F.col("n") - F.col("n_pos")
-    return g.withColumns({"gini": F.col("S_tw") / F.col("n_pos") - sw,
+    return g.withColumns({"gini": F.try_divide(F.col("S_tw"), F.col("n_pos")) - sw,
                           "gini_exact_max": (F.col("n_pos") + 1) / 2.0 + F.lit(NEG_WEIGHT) * n_neg - sw,
-                          "d": F.col("cap_pos") / F.col("n_pos"), "n_neg": n_neg})
+                          "d": F.try_divide(F.col("cap_pos"), F.col("n_pos")), "n_neg": n_neg})
 
 
 def _gini_max(n_pos: Column, n_neg: Column) -> Column:
     """Gini of the perfect order in closed form (positives first)."""
-    return F.lit(10.0) * n_neg * (n_pos + F.lit(20.0) * n_neg - 19) / (n_pos + F.lit(20.0) * n_neg)
+    return F.try_divide(F.lit(10.0) * n_neg * (n_pos + F.lit(20.0) * n_neg - 19), n_pos + F.lit(20.0) * n_neg)
 
 
 def metric_frame(df: DataFrame, score: str = "prediction", target: str = "target", idcol: str = "id",
@@ -161,7 +162,7 @@ def metric_frame(df: DataFrame, score: str = "prediction", target: str = "target
     ``max_groups``: proven bound on the number of groups (e.g. the fold count)."""
     g = _components(df, score, target, idcol, by, fast, max_groups)
     gmax = _gini_max(F.col("n_pos"), F.col("n_neg")) if fast else F.col("gini_exact_max")
-    g = g.withColumn("gini_max", gmax).withColumn("norm_gini", F.col("gini") / F.col("gini_max"))
+    g = g.withColumn("gini_max", gmax).withColumn("norm_gini", F.try_divide(F.col("gini"), F.col("gini_max")))
     return g.select(*by, "gini", "gini_max", "norm_gini", F.col("d").alias("top4"),
                     (F.lit(0.5) * (F.col("norm_gini") + F.col("d"))).alias("score"))
 
@@ -181,10 +182,10 @@ def average_rank(df: DataFrame, col: str, out: str | None = None) -> DataFrame:
     Counts per distinct value (partial aggregation), running counts over the
     distinct values (two-level, no single-task window), joined back by value."""
     out = out or f"{col}_rank"
-    vc = df.groupBy(col).agg(F.count(F.lit(1)).cast("double").alias("__n"))
+    vc = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).cast("double").alias("__n"))
     vc = running_sums(vc, [F.col(col).asc()], ["__n"])
     vc = vc.select(col, (F.col("cum___n") - F.col("__n") + (F.col("__n") + 1) / 2).alias(out))
-    return df.join(vc, col)
+    return df.join(vc, col, "left")  # a NULL value keeps its row and has no rank
 
 
 def rank_average(df: DataFrame, cols: list[str], idcol: str = "id", out: str = "rank_avg") -> DataFrame:
@@ -197,13 +198,13 @@ def rank_average(df: DataFrame, cols: list[str], idcol: str = "id", out: str = "
 
 def auc_exact(df: DataFrame, score: str = "prediction", target: str = "target") -> DataFrame:
     """ROC AUC by the rank-sum formula (ties count one half); exact, distributed."""
-    vc = df.groupBy(score).agg(F.count(F.lit(1)).cast("double").alias("__n"),
+    vc = df.where(F.col(score).isNotNull()).groupBy(score).agg(F.count(F.lit(1)).cast("double").alias("__n"),
                                F.sum(F.col(target).cast("double")).alias("__p"))
     vc = running_sums(vc, [F.col(score).asc()], ["__n"])
     r = vc.select((F.col("__p") * (F.col("cum___n") - F.col("__n") + (F.col("__n") + 1) / 2)).alias("rs"),
                   "__p", "__n")
     a = r.agg(F.sum("rs").alias("rs"), F.sum("__p").alias("P"), F.sum("__n").alias("N"))
-    return a.select(((F.col("rs") - F.col("P") * (F.col("P") + 1) / 2) / (F.col("P") * (F.col("N") - F.col("P")))).alias("auc"))
+    return a.select(F.try_divide(F.col("rs") - F.col("P") * (F.col("P") + 1) / 2, F.col("P") * (F.col("N") - F.col("P"))).alias("auc"))
 
 
 def logloss(df: DataFrame, score: str = "prediction", target: str = "target", eps: float = 1e-15) -> DataFrame:

@@ -150,7 +150,7 @@ def train_cv_oof(train: DataFrame, test: DataFrame | None, key: str, features: l
     return oof, test_pred, log
 
 
-def amex_scores(oof_with_target: DataFrame, key: str = "customer_id", fold_col: str = "val_fold_n") -> dict:
+def oof_scores(oof_with_target: DataFrame, key: str = "customer_id", fold_col: str = "val_fold_n") -> dict:
     """metric_by_fold on an OOF table -> {'Fold k OOF', 'Total OOF score', 'Average OOF score'}."""
     d = oof_with_target.withColumnRenamed("oof_pred", "prediction").withColumnRenamed(key, "id")
     rows = M.score_by_fold(d, fold=fold_col).collect()

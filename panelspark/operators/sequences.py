@@ -244,8 +244,7 @@ def array_concat_features(a: Column, b: Column) -> Column:
 
 def augment_shift(seqs: DataFrame, col: str = "seq", n_features: int | None = None,
                   eligible: Column | None = None, n_steps: int = 13) -> DataFrame:
-    """augment_shift / augment_shift_flag / augment_shift_all: a copy of each
-    eligible sequence without its last statement, a -3 pad step in front
+    """augment_shift: a copy of each eligible sequence without its last statement, a -3 pad step in front
     (``aug = 1`` rows, unioned with the originals as ``aug = 0``).
 
     With ``n_features`` (data features before the five indicators of
@@ -278,6 +277,36 @@ def augment_shift(seqs: DataFrame, col: str = "seq", n_features: int | None = No
     return base.unionByName(sh.withColumn("aug", F.lit(1)))
 
 
+def _set_last(x: Column, *values: Column) -> Column:
+    """The step vector with its last ``len(values)`` features replaced."""
+    return F.concat(F.slice(x, 1, F.size(x) - len(values)), F.array(*values))
+
+
+def augment_shift_flag(seqs: DataFrame, col: str = "seq", flags: str = "null_flags", n_steps: int = 13) -> DataFrame:
+    """augment_shift_flag: as ``augment_shift``, for sequences whose step vectors
+    end in (missing flag, months ago), and their null-flag tensor with them.
+
+    A sequence is eligible unless its second-to-last step is missing.  Both
+    tensors are shifted by one -3 pad step; in the data tensor months ago of
+    the real steps falls by one, and the pad step is missing and the oldest."""
+    seqs = seqs.withColumn(flags, F.transform(flags, lambda x: F.transform(x, lambda v: v.cast("double"))))
+    missing = F.element_at(F.element_at(F.col(col), -2), -2)
+    sh = seqs.where(missing != 1).withColumns({col: shift_pad(F.col(col)), flags: shift_pad(F.col(flags))})
+    real = lambda x: _set_last(x, F.element_at(x, -1) - 1)
+    pad = lambda x: _set_last(x, F.lit(1.0), F.lit(float(n_steps - 1)))
+    sh = sh.withColumn(col, F.transform(F.col(col), lambda x, i: F.when(i == 0, pad(x)).otherwise(real(x))))
+    return seqs.withColumn("aug", F.lit(0)).unionByName(sh.withColumn("aug", F.lit(1)))
+
+
+def augment_shift_all(seqs: DataFrame, branches: list[str]) -> DataFrame:
+    """augment_shift_all: every branch of every sequence shifted by one -3 pad
+    step; months ago, the last feature of the last branch, falls by one on all
+    steps (the pad step too, as in the reference)."""
+    sh = seqs.withColumns({b: shift_pad(F.col(b)) for b in branches})
+    sh = sh.withColumn(branches[-1], F.transform(branches[-1], lambda x: _set_last(x, F.element_at(x, -1) - 1)))
+    return seqs.withColumn("aug", F.lit(0)).unionByName(sh.withColumn("aug", F.lit(1)))
+
+
 def next_value_target(seqs: DataFrame, col: str = "seq", feature: int = 1, name: str = "next_target") -> DataFrame:
     """next_value_target: the last step's value of ``feature`` becomes the
     target and the feature is dropped from the inputs."""

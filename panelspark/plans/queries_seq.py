@@ -209,40 +209,70 @@ register("scale_sequences", W(*V2_CTES,
                               final=f"SELECT customer_id, {O.seq_report('seq')} FROM g"))(_scale)
 
 
-def _aug(spark, sf, eligible=None, all_=False):
-    p = panel_days(spark, sf)
-    seqs = Q.sequence_capped(p, DS, _bounds(p), DN, flag_cols=[]).drop("null_flags")
-    if all_:
-        return Q.augment_shift(seqs, "seq", n_features=None, eligible=F.lit(True))
-    return Q.augment_shift(seqs, "seq", n_features=3, eligible=eligible)
+def _aug(spark, sf):
+    return Q.augment_shift(_capped(spark, sf).drop("null_flags"), "seq", n_features=3)
+
+
+def _aug_all(spark, sf):
+    """The capped sequence as branches: one per feature, the indicators last."""
+    k = len(DN)
+    part = lambda lo, n: F.transform("seq", lambda x: F.slice(x, lo, n))
+    cols = {f"b_{c}": part(i + 1, 1) for i, c in enumerate(DN)} | {"b_steps": part(k + 1, 5)}
+    d = _capped(spark, sf).select("customer_id", *[v.alias(n) for n, v in cols.items()])
+    return Q.augment_shift_all(d, list(cols))
 
 
-def _aug_sql(eligible: str, repair: bool) -> str:
+def _aug_sql(eligible: str) -> str:
     """Shift augmentation in DuckDB list functions (lambda index is 1-based)."""
     k = len(DN)
     items = ", ".join(f"CAST({v} AS DOUBLE)" for v in CAP_VEC)
     ctes = [*_cap_ctes(), f"s0 AS (SELECT cid AS customer_id, list([{items}] ORDER BY ma DESC) AS seq FROM d GROUP BY cid)",
             "sh AS (SELECT customer_id, list_concat([list_transform(seq[1], lambda y: CAST(-3 AS DOUBLE))], "
             f"list_slice(seq, 1, len(seq) - 1)) AS seq FROM s0 WHERE {eligible})"]
-    if repair:
-        ma = f"(x[{k + 5}] - 1)"
-        step = (f"list_concat(list_slice(x, 1, {k}), [vm, CASE WHEN i = 1 THEN vm - 12 ELSE vm - {ma} END, "
-                f"CASE WHEN i = 1 THEN 1.0 ELSE x[{k + 3}] END, CASE WHEN i = 1 THEN 0.0 ELSE x[{k + 4}] END, "
-                f"CASE WHEN i = 1 THEN 12.0 ELSE {ma} END])")
-        ctes.append(f"sf AS (SELECT customer_id, list_transform(seq, lambda x, i: {step}) AS seq "
-                    f"FROM (SELECT *, seq[-1][{k + 1}] - 1 AS vm FROM sh) t)")
-    else:
-        ctes.append("sf AS (SELECT * FROM sh)")
+    ma = f"(x[{k + 5}] - 1)"
+    step = (f"list_concat(list_slice(x, 1, {k}), [vm, CASE WHEN i = 1 THEN vm - 12 ELSE vm - {ma} END, "
+            f"CASE WHEN i = 1 THEN 1.0 ELSE x[{k + 3}] END, CASE WHEN i = 1 THEN 0.0 ELSE x[{k + 4}] END, "
+            f"CASE WHEN i = 1 THEN 12.0 ELSE {ma} END])")
+    ctes.append(f"sf AS (SELECT customer_id, list_transform(seq, lambda x, i: {step}) AS seq "
+                f"FROM (SELECT *, seq[-1][{k + 1}] - 1 AS vm FROM sh) t)")
     return W(*ctes, final=f"SELECT customer_id, {O.seq_report('seq')}, 0 AS aug FROM s0 "
                           f"UNION ALL SELECT customer_id, {O.seq_report('seq')}, 1 AS aug FROM sf")
 
 
 _K = len(DN)
-register("augment_shift", _aug_sql(f"list_sum(list_transform(seq, lambda x: x[{_K + 3}] + x[{_K + 4}])) <= 11", True))(
-    lambda spark, sf: _aug(spark, sf))
-register("augment_shift_flag", _aug_sql(f"seq[1][{_K + 4}] = 1", True))(
-    lambda spark, sf: _aug(spark, sf, eligible=F.element_at(F.element_at(F.col("seq"), 1), _K + 4) == 1))
-register("augment_shift_all", _aug_sql("TRUE", False))(lambda spark, sf: _aug(spark, sf, all_=True))
+register("augment_shift", _aug_sql(f"list_sum(list_transform(seq, lambda x: x[{_K + 3}] + x[{_K + 4}])) <= 11"))(_aug)
+
+
+def _aug_flag_sql() -> str:
+    k = len(DN)
+    items = ", ".join(f"CAST({v} AS DOUBLE)" for v in CAP_VEC)
+    step = (f"CASE WHEN i = 1 THEN list_concat(list_slice(x, 1, {k + 3}), [CAST(1 AS DOUBLE), CAST(12 AS DOUBLE)]) "
+            f"ELSE list_concat(list_slice(x, 1, {k + 4}), [x[{k + 5}] - 1]) END")
+    shift = lambda c: f"list_concat([list_transform({c}[1], lambda y: CAST(-3 AS DOUBLE))], list_slice({c}, 1, len({c}) - 1))"
+    ctes = [*_cap_ctes(),
+            f"s0 AS (SELECT cid AS customer_id, list([{items}] ORDER BY ma DESC) AS seq, "
+            "list([CAST(coalesce(isnull_d_39, true) AS DOUBLE)] ORDER BY ma DESC) AS null_flags FROM d GROUP BY cid)",
+            f"sh AS (SELECT customer_id, {shift('seq')} AS seq, {shift('null_flags')} AS null_flags FROM s0 WHERE seq[12][{k + 4}] <> 1)",
+            f"sf AS (SELECT customer_id, list_transform(seq, lambda x, i: {step}) AS seq, null_flags FROM sh)"]
+    rep = f"{O.seq_report('seq')}, {O.seq_report('null_flags')}"
+    return W(*ctes, final=f"SELECT customer_id, {rep}, 0 AS aug FROM s0 UNION ALL SELECT customer_id, {rep}, 1 AS aug FROM sf")
+
+
+def _aug_all_sql() -> str:
+    ctes = _cap_ctes()
+    lists = [f"list([CAST({v} AS DOUBLE)] ORDER BY ma DESC) AS b_{c}" for c, v in zip(DN, CAP_VEC)]
+    lists.append(f"list([{', '.join(f'CAST({v} AS DOUBLE)' for v in CAP_VEC[len(DN):])}] ORDER BY ma DESC) AS b_steps")
+    names = [*[f"b_{c}" for c in DN], "b_steps"]
+    shift = lambda c: f"list_concat([list_transform({c}[1], lambda y: CAST(-3 AS DOUBLE))], list_slice({c}, 1, len({c}) - 1))"
+    ctes += [f"s0 AS (SELECT cid AS customer_id, {', '.join(lists)} FROM d GROUP BY cid)",
+             f"sh AS (SELECT customer_id, {', '.join(f'{shift(n)} AS {n}' for n in names)} FROM s0)",
+             f"sf AS (SELECT customer_id, {', '.join(names[:-1])}, list_transform(b_steps, lambda x: list_concat(list_slice(x, 1, 4), [x[5] - 1])) AS b_steps FROM sh)"]
+    rep = ", ".join(O.seq_report(n) for n in names)
+    return W(*ctes, final=f"SELECT customer_id, {rep}, 0 AS aug FROM s0 UNION ALL SELECT customer_id, {rep}, 1 AS aug FROM sf")
+
+
+register("augment_shift_flag", _aug_flag_sql())(lambda spark, sf: Q.augment_shift_flag(_capped(spark, sf)))
+register("augment_shift_all", _aug_all_sql())(_aug_all)
 
 
 # ------------------------------------------------------------------ encoders (orders panel)
