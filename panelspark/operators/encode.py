@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
 from . import history as H
-from .relational import BROADCAST_MAX_ROWS, join_small
+from .relational import join_small
 
 
 # ---------------------------------------------------------------- target-like means
@@ -68,15 +68,11 @@ def ordinal_dictionary(df: DataFrame, cats) -> DataFrame:
     return number_dictionary(d)
 
 
-def number_dictionary(d: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def number_dictionary(d: DataFrame) -> DataFrame:
     """code = rank of ``value`` inside ``feature`` (0-based; values distinct).
 
-    The dictionary is measured first: up to ``max_rows`` entries a window per
-    feature is bounded; beyond, the codes come from the two-level running sum
-    (range partitions over (feature, value) + partition offsets), so no task
-    holds a whole large dictionary."""
-    if d.count() <= max_rows:
-        return d.withColumn("code", (F.dense_rank().over(Window.partitionBy("feature").orderBy("value")) - 1).cast("int"))
+    The codes come from the two-level running sum (range partitions over
+    (feature, value) + partition offsets), so no task holds a whole dictionary."""
     from .metrics import running_sums
     r = running_sums(d.withColumn("__one1", F.lit(1.0)), [F.col("value").asc()], ["__one1"], by=("feature",))
     return r.withColumn("code", (F.col("cum___one1") - 1).cast("int")).drop("__one1", "cum___one1")

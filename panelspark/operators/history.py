@@ -14,14 +14,15 @@ from pyspark.sql import functions as F
 
 from ..spec import PanelSpec
 from .ordered import entity_scan
+from .relational import join_small
 
 
 def per_entity(df: DataFrame, spec: PanelSpec, aggs: dict) -> DataFrame:
     """Whole-history per-entity aggregates on every row: a partial
-    ``groupBy(entity)`` joined back (AQE splits a hot entity's join partition;
-    a window would put the whole entity into one task)."""
+    ``groupBy(entity)`` joined back, where AQE can split a hot entity's rows
+    (a window would put the whole entity into one task)."""
     g = df.groupBy(spec.entity).agg(*[v.alias(k) for k, v in aggs.items()])
-    return df.join(g, spec.entity)
+    return join_small(df, g, spec.entity)
 
 
 def last_broadcast(df: DataFrame, spec: PanelSpec, col: str | None = None, name: str = "last_ts") -> DataFrame:

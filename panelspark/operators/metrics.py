@@ -34,14 +34,12 @@ TOP_FRACTION = 0.04
 
 
 def running_sums(df: DataFrame, order: list[Column], cols: list[str], by: tuple[str, ...] = (),
-                 n_parts: int | None = None, prefix: str = "cum_", max_groups: int | None = None) -> DataFrame:
+                 n_parts: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Inclusive running sums of ``cols`` in ``order`` (restarting per ``by`` group).
 
     One global pass ordered by (by, order); a group's sums are the global
     sums minus the global sum just before the group's first row (one row per
-    group).  ``max_groups``: a bound the caller proves (folds, classes) -> the
-    start table is broadcast directly; without it the table is measured
-    first (broadcast under the limit, else a shuffle join)."""
+    group), joined back by ``join_small``."""
     spark = df.sparkSession
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(b).asc() for b in by] + list(order)
@@ -75,11 +73,8 @@ def running_sums(df: DataFrame, order: list[Column], cols: list[str], by: tuple[
         # global sum just before each group's first row (first = smallest global position)
         start = res.groupBy(*by).agg(*[F.min_by(F.col(f"__g_{c}") - F.col(c), F.col("__g___one")).alias(f"__s_{c}")
                                        for c in cols])
-        from .relational import BROADCAST_MAX_ROWS, join_small
-        if max_groups is not None and max_groups <= BROADCAST_MAX_ROWS:
-            res = res.join(F.broadcast(start), list(by))
-        else:
-            res = join_small(res, start, list(by))
+        from .relational import join_small
+        res = join_small(res, start, list(by))
         res = res.withColumns({f"{prefix}{c}": F.col(f"__g_{c}") - F.col(f"__s_{c}") for c in cols})
         res = res.drop(*[f"__s_{c}" for c in cols])
     else:
@@ -93,10 +88,10 @@ def _weighted(df: DataFrame, target: str) -> DataFrame:
                            "__t": t})
 
 
-def _cum(df: DataFrame, score: str, target: str, idcol: str, by=(), max_groups: int | None = None) -> DataFrame:
+def _cum(df: DataFrame, score: str, target: str, idcol: str, by=()) -> DataFrame:
     d = _weighted(df.select(*by, idcol, score, target), target)
     d = d.withColumn("__tw", F.col("__t") * F.col("__w"))
-    return running_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__tw"], by=tuple(by), max_groups=max_groups)
+    return running_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__tw"], by=tuple(by))
 
 
 def cumulative_weight(df: DataFrame, score: str = "prediction", target: str = "target", idcol: str = "id") -> DataFrame:
@@ -114,8 +109,7 @@ def topk_weighted_fraction(df: DataFrame, score: str = "prediction", target: str
     return c.where(F.col("cum___w") <= F.floor(F.lit(frac) * wsum)).select(idcol, score, target)
 
 
-def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast: bool = False,
-                max_groups: int | None = None) -> DataFrame:
+def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast: bool = False) -> DataFrame:
     """Per group: weighted gini, its perfect-order maximum, top-4% capture.
 
     Only one ordered pass is needed.  With W = sum w, Q = sum w^2, P = #positives:
@@ -127,12 +121,11 @@ def _components(df: DataFrame, score: str, target: str, idcol: str, by=(), fast:
     d = _weighted(df.select(*by, idcol, score, target), target)
     totals = {"W": F.sum("__w"), "Q": F.sum(F.col("__w") * F.col("__w")), "n_pos": F.sum("__t"),
               "n": F.count(F.lit(1))}
-    c = running_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__t"], by=by, max_groups=max_groups)
+    c = running_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__t"], by=by)
     if by:
         tot = d.groupBy(*by).agg(*[v.alias(k) for k, v in totals.items()])
-        from .relational import BROADCAST_MAX_ROWS, join_small
-        c = (c.join(F.broadcast(tot), list(by)) if max_groups is not None and max_groups <= BROADCAST_MAX_ROWS
-             else join_small(c, tot, list(by)))
+        from .relational import join_small
+        c = join_small(c, tot, list(by))
     else:  # global totals as scalar subqueries (merged into one aggregate), no join
         c = c.withColumns({k: d.agg(v.alias(k)).scalar() for k, v in totals.items()})
     if fast:
@@ -157,20 +150,19 @@ def _gini_max(n_pos: Column, n_neg: Column) -> Column:
 
 
 def metric_frame(df: DataFrame, score: str = "prediction", target: str = "target", idcol: str = "id",
-                 by=(), fast: bool = False, max_groups: int | None = None) -> DataFrame:
-    """One row per group with gini, gini_max, norm_gini, top4 (d) and score.
-    ``max_groups``: proven bound on the number of groups (e.g. the fold count)."""
-    g = _components(df, score, target, idcol, by, fast, max_groups)
+                 by=(), fast: bool = False) -> DataFrame:
+    """One row per group with gini, gini_max, norm_gini, top4 (d) and score;
+    NULL where a group has no positives."""
+    g = _components(df, score, target, idcol, by, fast)
     gmax = _gini_max(F.col("n_pos"), F.col("n_neg")) if fast else F.col("gini_exact_max")
     g = g.withColumn("gini_max", gmax).withColumn("norm_gini", F.try_divide(F.col("gini"), F.col("gini_max")))
     return g.select(*by, "gini", "gini_max", "norm_gini", F.col("d").alias("top4"),
                     (F.lit(0.5) * (F.col("norm_gini") + F.col("d"))).alias("score"))
 
 
-def score_by_fold(df: DataFrame, fold: str = "val_fold_n", max_folds: int = 100, **kw) -> DataFrame:
-    """metric_by_fold: per fold, the mean of folds and the pooled score
-    (fold ids are a small bounded set: at most ``max_folds``)."""
-    per = metric_frame(df, by=(fold,), max_groups=max_folds, **kw).select(F.col(fold).cast("string").alias("fold"), "score")
+def score_by_fold(df: DataFrame, fold: str = "val_fold_n", **kw) -> DataFrame:
+    """metric_by_fold: per fold, the mean of folds and the pooled score."""
+    per = metric_frame(df, by=(fold,), **kw).select(F.col(fold).cast("string").alias("fold"), "score")
     mean = per.agg(F.avg("score").alias("score")).select(F.lit("mean").alias("fold"), "score")
     pooled = metric_frame(df, **kw).select(F.lit("pooled").alias("fold"), "score")
     return per.unionByName(mean).unionByName(pooled)

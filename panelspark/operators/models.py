@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.scalar import clip, logit
+from .ordered import pin
 from ..spec import ensure_checkpoint_dir
 from . import metrics as M
 
@@ -136,6 +137,9 @@ def train_cv_oof(train: DataFrame, test: DataFrame | None, key: str, features: l
         for x in tests[1:]:
             t = t.unionByName(x)
         test_pred = t.groupBy(key).agg(F.avg("p").alias("prediction"))
+    # the predictions are written before their cached inputs go
+    oof = pin(oof)
+    test_pred = pin(test_pred) if test_pred is not None else None
     # importances averaged over the real number of fits
     if fold_imps and fold_imps[0]:
         agg = {f: float(np.mean([d.get(f, 0.0) for d in fold_imps])) for f in features}
@@ -211,21 +215,20 @@ def impute_model(df: DataFrame, features: list[str], cols: list[str] | None = No
                  max_iter: int = 20, seed: int = 28) -> DataFrame:
     """impute_model: for every column with NULLs fit a regressor on the rows
     where it is present (inputs: the *original* other columns, NULL -> -1) and
-    predict the missing cells.  Each column is one distributed fit; the
-    assembled input is cached once."""
+    predict the missing cells.  Each column is one distributed fit."""
     nulls = df.agg(*[F.sum(F.col(c).isNull().cast("int")).alias(c) for c in features]).first()
     cols = [c for c in (cols or features) if nulls[c]]
-    base = df.withColumn("__rid", F.monotonically_increasing_id()).cache()
-    out = base
+    # inputs are columns of their own on the row, so no prediction is joined back
+    out = df.withColumns({f"__in_{f}": F.coalesce(F.col(f).cast("double"), F.lit(-1.0)) for f in features})
     for c in cols:
-        inputs = [f for f in features if f != c]
-        a = assemble(base, inputs, out="__x")
-        est = (GBTRegressor(featuresCol="__x", labelCol=c, maxIter=max_iter, maxDepth=4, seed=seed)
-               if kind == "gbt" else LinearRegression(featuresCol="__x", labelCol=c))
-        m = est.fit(a.where(F.col(c).isNotNull()))
-        pred = m.transform(a.where(F.col(c).isNull())).select("__rid", F.col("prediction").alias(f"__imp_{c}"))
-        out = out.join(pred, "__rid", "left").withColumn(c, F.coalesce(F.col(c), F.col(f"__imp_{c}"))).drop(f"__imp_{c}")
-    return out.drop("__rid")
+        inputs = [f"__in_{f}" for f in features if f != c]
+        x = VectorAssembler(inputCols=inputs, outputCol="__x", handleInvalid="keep")
+        est = (GBTRegressor(featuresCol="__x", labelCol=c, predictionCol="__imp", maxIter=max_iter, maxDepth=4, seed=seed)
+               if kind == "gbt" else LinearRegression(featuresCol="__x", labelCol=c, predictionCol="__imp"))
+        known = df.where(F.col(c).isNotNull()).withColumns({f"__in_{f}": F.coalesce(F.col(f).cast("double"), F.lit(-1.0)) for f in features})
+        out = est.fit(x.transform(known)).transform(x.transform(out))
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col("__imp"))).drop("__x", "__imp")
+    return out.drop(*[f"__in_{f}" for f in features])
 
 
 # ---------------------------------------------------------------- tree-split capping

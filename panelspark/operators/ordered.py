@@ -3,138 +3,28 @@ non-null count, row number).
 
 ``Window.partitionBy(entity).orderBy(ts)`` puts a whole entity history into
 one task; a hot entity holding a third of the rows would then be one task.
-AQE splits skewed joins, not windows.  The scan here follows the two-level
-running-sum plan (``metrics.running_sums``):
-
-1. ``repartitionByRange(n, entity, order key)`` and a sort inside each
-   partition.  The range bounds include the order key, so a hot entity is cut
-   into ordered, contiguous pieces over many partitions;
-2. one ``mapInPandas`` pass computes every scan per partition, carrying the
-   state across Arrow batches, and flags the first and last row of the
-   partition;
-3. the last rows (one per partition) give each partition's outgoing state.
-   A window over that partitions-sized table chains the state of an entity
-   across partitions, and the carry-in is broadcast back to the rows of each
-   partition's first entity.
-
-The scan output (with the partition ids taken in the same stage) is pinned
-by a reliable checkpoint before its two consumers (rows, partition edges)
-read it: one shuffle, one Python pass, and the ids line up whatever the
-planner does with the exchange.
+AQE splits skewed joins, not windows.  The scan here is one plan for all sizes:
+
+1. ``repartitionByRange(n, entity, order)`` numbers the rows' partitions.  The
+   range bounds include the order, so a hot entity is cut into contiguous
+   pieces, one per partition;
+2. plain windows run over (entity, piece), never over a whole entity;
+3. the result is pinned, and the last row of every piece gives the state it
+   hands on.  A window over these rows (one per piece) chains the pieces of an
+   entity.  Only pieces that continue an entity need the carry: at most one
+   per partition, so that table is broadcast back.
+
+All values stay in the JVM and keep their types (NaN, far timestamps, exact
+integers), and workers need no package.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..spec import PanelSpec
 
-_UNSET = object()
-
-
-def _local_scan(ent: str, lag: dict, ffill: dict, cnt: dict, rn: str | None):
-    """Per-partition scan; ``lag``/``ffill``/``cnt`` map output -> source column.
-
-    Batches arrive sorted by (entity, order).  Everything is vectorised per
-    batch: ``firstpos`` is the index of each row's group start (-1 while the
-    rows continue the previous batch's entity), prefix sums minus the sum
-    before the group start give per-entity counts, and forward fill takes the
-    last non-null index at or after the group start."""
-
-    def scan_batch(pdf: pd.DataFrame, st: dict | None):
-        n = len(pdf)
-        e = pdf[ent].to_numpy()
-        na = pdf[ent].isna().to_numpy()  # NULL entities form one group, as in a window
-        start = np.empty(n, dtype=bool)
-        start[0] = st is None or not _same_key(e[0], st["ent"])
-        start[1:] = ~((e[1:] == e[:-1]) | (na[1:] & na[:-1]))
-        idx = np.arange(n)
-        firstpos = np.maximum.accumulate(np.where(start, idx, -1))
-        cont = firstpos < 0
-        out = {}
-        for o, c in lag.items():
-            s = pdf[c]
-            prev = (s.astype("Int64") if s.dtype.kind in "iu" else s).shift(1)  # exact ints, no float detour
-            prev[start] = None
-            if not start[0]:
-                prev = prev.astype(object) if st["last"][c] is not None and prev.dtype.kind == "b" else prev
-                prev.iloc[0] = st["last"][c]
-            out[o] = prev
-        for o, c in ffill.items():
-            s = pdf[c]
-            last = np.maximum.accumulate(np.where(s.notna().to_numpy(), idx, -1))
-            ok = last >= np.maximum(firstpos, 0)
-            f = s.iloc[np.where(ok, last, 0)].reset_index(drop=True)
-            f.index = s.index
-            f = f.where(ok, None)
-            if cont.any() and st["nn"][c] is not None:
-                fill = cont & ~ok
-                if fill.any():
-                    f = f.astype(object)
-                    f[fill] = st["nn"][c]
-            out[o] = f
-        if cnt:
-            m = pdf[list(cnt.values())].notna().to_numpy().astype(np.int64)
-            cs = np.cumsum(m, axis=0)
-            before = np.where((firstpos > 0)[:, None], cs[np.maximum(firstpos - 1, 0)], 0)
-            k = cs - before
-            if cont.any():
-                k = k + np.where(cont[:, None], np.array([st["cnt"][c] for c in cnt.values()]), 0)
-            for j, o in enumerate(cnt):
-                out[o] = k[:, j]
-        r = np.where(cont, idx + 1 + (st["rn"] if st is not None else 0), idx - firstpos + 1)
-        if rn:
-            out[rn] = r
-        nst = {"ent": e[-1], "rn": int(r[-1]),
-               "last": {c: _none(pdf[c].iloc[-1]) for c in set(lag.values())},
-               "nn": {c: _none(out[o].iloc[-1]) for o, c in ffill.items()},
-               "cnt": {c: int(out[o][-1]) for o, c in cnt.items()}}
-        return out, nst
-
-    def local(batches):
-        st = None
-        first_ent = _UNSET
-        pending = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if first_ent is _UNSET:
-                first_ent = pdf[ent].iloc[0]
-            res, st_new = scan_batch(pdf, st)
-            for k, v in res.items():
-                pdf[k] = v
-            pdf["__head"] = (pdf[ent].isna() if _none(first_ent) is None else pdf[ent] == first_ent).to_numpy()
-            pdf["__first"] = False
-            if st is None:
-                pdf.iloc[0, pdf.columns.get_loc("__first")] = True
-            pdf["__tail"] = False
-            st = st_new
-            if pending is not None:
-                yield pending
-            pending = pdf
-        if pending is not None:
-            pending.iloc[-1, pending.columns.get_loc("__tail")] = True
-            yield pending
-
-    return local
-
-
-def _same_key(a, b) -> bool:
-    """Entity equality with NULL == NULL (window partition semantics)."""
-    a, b = _none(a), _none(b)
-    return (a is None and b is None) or (a is not None and b is not None and a == b)
-
-
-def _none(v):
-    try:
-        return None if pd.isna(v) else v
-    except (TypeError, ValueError):
-        return v
-
 
 def pin(d: DataFrame) -> DataFrame:
     """Materialise a per-partition result with a reliable ``checkpoint()``
@@ -158,36 +48,6 @@ def pin(d: DataFrame) -> DataFrame:
     return out
 
 
-# Session setting: the most rows of one entity that a plain entity window may
-# hold in one task.  Above it the range-split scan runs.  0 forces the scan.
-WINDOW_MAX_ROWS_CONF = "panelspark.scan.windowMaxRows"
-WINDOW_MAX_ROWS_DEFAULT = 2_000_000
-
-
-def window_max_rows(spark) -> int:
-    return int(spark.conf.get(WINDOW_MAX_ROWS_CONF, str(WINDOW_MAX_ROWS_DEFAULT)))
-
-
-def largest_entity(df: DataFrame, spec: PanelSpec) -> int:
-    """Row count of the largest entity: one small eager job (partial
-    aggregate on the entity column only)."""
-    r = df.groupBy(spec.entity).count().agg(F.max("count")).first()
-    return int(r[0] or 0)
-
-
-def _window_scan(df: DataFrame, spec: PanelSpec, lag: dict, ffill: dict, cnt: dict,
-                 row_number: str | None) -> DataFrame:
-    """The same outputs with entity windows: every entity fits one task."""
-    w = spec.window()
-    wu = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = {o: F.lag(c).over(w) for o, c in lag.items()}
-    cols.update({o: F.last(F.col(c), ignorenulls=True).over(wu) for o, c in ffill.items()})
-    cols.update({o: F.count(F.col(c)).over(wu) for o, c in cnt.items()})
-    if row_number:
-        cols[row_number] = F.row_number().over(w).cast("long")
-    return df.withColumns(cols)
-
-
 def entity_scan(df: DataFrame, spec: PanelSpec, lag: dict | None = None, ffill: dict | None = None,
                 count_nonnull: dict | None = None, row_number: str | None = None,
                 n_parts: int | None = None) -> DataFrame:
@@ -198,59 +58,31 @@ def entity_scan(df: DataFrame, spec: PanelSpec, lag: dict | None = None, ffill:
     count_nonnull  {out: col}  number of non-null values at or before the row
     row_number     out name    1-based position in the entity
     Every input row is kept; the output has the input columns plus the outputs.
-
-    Plan choice is measured: when the largest entity has at most
-    ``panelspark.scan.windowMaxRows`` rows the scan is a plain entity window
-    (one hash exchange); otherwise the range-split scan runs, so a hot entity
-    is cut over many tasks.
+    NULL entities form one group, as in a window.
     """
     lag, ffill, cnt = dict(lag or {}), dict(ffill or {}), dict(count_nonnull or {})
-    spark = df.sparkSession
-    if largest_entity(df, spec) <= window_max_rows(spark):
-        return _window_scan(df, spec, lag, ffill, cnt, row_number)
-    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ent = spec.entity
-    rn = row_number or "__rn_scan"
-    keys = [F.col(ent).asc(), F.col("__ok").asc()]
-    d = (df.withColumn("__ok", spec.order_key()).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-           .drop("__ok").withColumn("__pid", F.spark_partition_id()))
-    src = {f.name: f.dataType for f in d.schema.fields}
-    fields = list(d.schema.fields)
-    fields += [T.StructField(o, src[c]) for o, c in lag.items()]
-    fields += [T.StructField(o, src[c]) for o, c in ffill.items()]
-    fields += [T.StructField(o, T.LongType()) for o in cnt]
-    fields += [T.StructField(rn, T.LongType()),
-               T.StructField("__head", T.BooleanType()), T.StructField("__first", T.BooleanType()),
-               T.StructField("__tail", T.BooleanType())]
-    loc = pin(d.mapInPandas(_local_scan(ent, lag, ffill, cnt, rn), T.StructType(fields)))
-
-    # Carry-in from the partition edges (first and last row of every
-    # partition: a partitions-sized table, one consumer of ``loc``).  Same-entity
-    # partitions are contiguous, so the carry into partition p's first entity
-    # is the aggregate over that entity's earlier partition tails: a window
-    # partitioned by entity, ordered by (partition, first row before tail).
-    lag_src = sorted(set(lag.values()))
-    edges = loc.where(F.col("__tail") | F.col("__first")).select(
-        "__pid", ent, rn, "__tail", "__first", *lag_src, *ffill, *cnt)
-    we = Window.partitionBy(ent).orderBy("__pid", "__tail").rowsBetween(Window.unboundedPreceding, -1)
-    t = F.col("__tail")
-    carry = edges.select(
-        "__pid", "__first",
-        F.sum(F.when(t, F.col(rn))).over(we).alias("__cr"),
-        *[F.last(F.when(t, F.struct(F.col(c).alias("v"))), ignorenulls=True).over(we)["v"].alias(f"__tl_{c}")
-          for c in lag_src],
-        *[F.last(F.when(t, F.col(o)), ignorenulls=True).over(we).alias(f"__cf_{o}") for o in ffill],
-        *[F.sum(F.when(t, F.col(o))).over(we).alias(f"__cn_{o}") for o in cnt])
-    carry = carry.where("__first").drop("__first")
-    res = loc.join(F.broadcast(carry), "__pid", "left")  # at most one row per partition
-    h = F.col("__head")
-    upd = {o: F.when(F.col("__first"), F.col(f"__tl_{c}")).otherwise(F.col(o)) for o, c in lag.items()}
-    upd.update({o: F.when(h, F.coalesce(F.col(o), F.col(f"__cf_{o}"))).otherwise(F.col(o)) for o in ffill})
-    upd.update({o: F.col(o) + F.when(h, F.coalesce(F.col(f"__cn_{o}"), F.lit(0))).otherwise(0) for o in cnt})
-    upd[rn] = F.col(rn) + F.when(h, F.coalesce(F.col("__cr"), F.lit(0))).otherwise(0)
-    res = res.withColumns(upd)
-    drop = ["__pid", "__head", "__first", "__tail", "__cr", *[f"__tl_{c}" for c in lag_src],
-            *[f"__cf_{o}" for o in ffill], *[f"__cn_{o}" for o in cnt]]
-    if not row_number:
-        drop.append(rn)
-    return res.drop(*drop)
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ent, rn = spec.entity, row_number or "__rn_scan"
+    w = Window.partitionBy(ent, "__pid").orderBy(*spec.order_cols())
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    loc = pin(
+        df.repartitionByRange(n, F.col(ent).asc(), *spec.order_cols()).withColumn("__pid", F.spark_partition_id())
+        .withColumns({o: F.lag(c).over(w) for o, c in lag.items()}
+                     | {o: F.last(F.col(c), ignorenulls=True).over(upto) for o, c in ffill.items()}
+                     | {o: F.count(F.col(c)).over(upto) for o, c in cnt.items()}
+                     | {rn: F.row_number().over(w).cast("long"), "__tail": F.lead(F.lit(1)).over(w).isNull()}))
+    earlier = Window.partitionBy(ent).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    sources = sorted(set(lag.values()))
+    carry = (loc.where("__tail").select(
+        F.col(ent).alias("__ent"), F.col("__pid").alias("__piece"), F.sum(rn).over(earlier).alias("__rows"),
+        *[F.last(F.struct(F.col(c).alias("v"))).over(earlier)["v"].alias(f"__carry_lag_{c}") for c in sources],
+        *[F.last(o, ignorenulls=True).over(earlier).alias(f"__carry_fill_{o}") for o in ffill],
+        *[F.sum(o).over(earlier).alias(f"__carry_count_{o}") for o in cnt]).where("__rows IS NOT NULL"))
+    out = loc.join(F.broadcast(carry), F.col(ent).eqNullSafe(F.col("__ent")) & (F.col("__pid") == F.col("__piece")), "left")
+    later = F.col("__rows").isNotNull()
+    out = out.withColumns(
+        {o: F.when(later & (F.col(rn) == 1), F.col(f"__carry_lag_{c}")).otherwise(F.col(o)) for o, c in lag.items()}
+        | {o: F.coalesce(F.col(o), F.col(f"__carry_fill_{o}")) for o in ffill}
+        | {o: F.col(o) + F.coalesce(F.col(f"__carry_count_{o}"), F.lit(0)) for o in cnt}
+        | {rn: F.col(rn) + F.coalesce(F.col("__rows"), F.lit(0))})
+    return out.select(*df.columns, *lag, *ffill, *cnt, *([row_number] if row_number else []))

@@ -14,7 +14,6 @@ from ..spec import NON_FEATURES, PanelSpec
 # The reference's exclusion list for sequence inputs.
 DROP_ALWAYS = ("D_103", "D_139", "B_29")
 
-BROADCAST_MAX_ROWS = 2_000_000
 
 
 # ---------------------------------------------------------------- columns
@@ -110,16 +109,23 @@ def learned_bounds(splits: dict[str, list[float]]) -> dict[str, tuple]:
 
 
 # ---------------------------------------------------------------- joins
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Join a data-derived small side, broadcasting it only after measuring it.
-
-    The small side (group statistics, dictionaries) is materialised once
-    (cached) and counted; it is broadcast only under ``max_rows``, otherwise
-    the join stays a shuffle join (AQE may still convert it)."""
-    small = small.cache()
-    n = small.count()
-    return big.join(F.broadcast(small) if n <= max_rows else small, on, how)
+def opaque(df: DataFrame, on) -> DataFrame:
+    """The same rows with keys whose partitioning the planner no longer knows.
+
+    An aggregate joined back on its own key needs no exchange, and AQE splits a
+    hot key's rows only where both sides of a join have one.  Here the (small)
+    side gets its exchange, and the join can be split."""
+    keys = [on] if isinstance(on, str) else list(on)
+    return df.withColumns({k: F.element_at(F.array_repeat(F.col(k), 1), 1) for k in keys})
+
+
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a data-derived side (group statistics, dictionaries).
+
+    No side is broadcast by hand: Spark broadcasts it if its size in bytes, at
+    run time, is below the session's threshold; else the join shuffles, and AQE
+    can split the rows of a hot key."""
+    return big.join(opaque(small, on), on, how)
 
 
 def join_features_outer(dfs: list[DataFrame], key: str) -> DataFrame:

@@ -31,7 +31,6 @@ PANEL_DAYS = """panel AS (
          round(SUM(value), 4) AS p_2, CAST(COUNT(*) AS DOUBLE) AS b_1,
          round(SUM(CASE WHEN event_type = 'purchase' THEN value END), 4) AS d_39
   FROM events
-  WHERE NOT (user_id % 5 = 0 AND ts < TIMESTAMP '2024-01-22 00:00:00')
   GROUP BY user_id, CAST(ts AS DATE))"""
 
 SCORES = """scores AS (

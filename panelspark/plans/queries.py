@@ -332,20 +332,22 @@ def q_flatten(spark, sf):
     return feat.flatten_full_history(panel_orders(spark, sf), ORDERS_SPEC)
 
 
+#: Twelve columns that are null where b_1 is: one cluster above the size rule.
+_WIDE = {f"b_1_x{i}": i for i in range(1, 13)}
 NA_CLUSTERS_SQL = _sql([
     O.PANEL_ORDERS,
     "c AS (" + " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, CAST(sum(CASE WHEN {c} IS NULL OR {c} = -1 THEN 1 ELSE 0 END) AS BIGINT) AS na_count FROM panel"
-        for c in O.NUM) + " UNION ALL " + " UNION ALL ".join(
+        f"SELECT '{n}' AS feature, CAST(sum(CASE WHEN {c} IS NULL OR {c} = -1 THEN 1 ELSE 0 END) AS BIGINT) AS na_count FROM panel"
+        for n, c in [*((c, c) for c in O.NUM), *((n, "b_1") for n in _WIDE)]) + " UNION ALL " + " UNION ALL ".join(
         f"SELECT '{c}' AS feature, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS na_count FROM panel"
         for c in O.CAT) + ")"],
     "SELECT na_count, list(feature ORDER BY feature) AS features, CAST(count(*) AS BIGINT) AS n_features "
-    "FROM c WHERE na_count > 0 GROUP BY na_count HAVING count(*) > 0")
+    "FROM c WHERE na_count > 0 GROUP BY na_count HAVING count(*) > 10")
 
 
 @register("na_clusters", NA_CLUSTERS_SQL)
 def q_na_clusters(spark, sf):
-    """columns grouped by equal null count (cluster size > 0 on the small fixture)."""
-    p = panel_orders(spark, sf)
-    return feat.na_clusters(p.withColumns({c: F.col(c).cast("double") for c in ORDERS_SPEC.num}),
-                            ORDERS_SPEC.features, min_size=0)
+    """columns grouped by equal null count, clusters of more than 10 columns."""
+    p = panel_orders(spark, sf).withColumns({c: F.col(c).cast("double") for c in ORDERS_SPEC.num})
+    wide = p.withColumns({n: F.when(F.col("b_1") != -1, F.col("b_1") * i) for n, i in _WIDE.items()})
+    return feat.na_clusters(wide, [*ORDERS_SPEC.features, *_WIDE])

@@ -26,7 +26,7 @@ def training_frames(spark, sf):
     """Flat features + labels + stratified folds; train = 'train' split, test = 'test' split."""
     p = panel_orders(spark, sf)
     f = feat.null_handled_agg_features(p, SP).select("customer_id", *FEATS)
-    lab = FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target", max_strata=2)
+    lab = FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target")
     split = p.select("customer_id", "dset").distinct()
     base = f.join(split, "customer_id")
     train = base.where("dset = 'train'").join(lab, "customer_id").drop("dset")
@@ -47,7 +47,7 @@ register("train_cv_oof")(_cv)
 def _days_labels(spark, sf):
     d = panel_days(spark, sf)
     lab = d.groupBy("customer_id").agg((F.count("d_39") >= 8).cast("int").alias("target"))
-    return FO.stratified_folds(lab, "customer_id", "target", k=3, max_strata=2)
+    return FO.stratified_folds(lab, "customer_id", "target", k=3)
 
 
 def _cv_seq(spark, sf):
@@ -68,12 +68,17 @@ def _cv_seq(spark, sf):
 register("train_cv_oof_sequences")(_cv_seq)
 
 
+def _everyone(tr, te):
+    """All customers: the training split with its folds, the test split without one."""
+    return tr.unionByName(te, allowMissingColumns=True)
+
+
 def _single(make):
+    """Fit on all folds but the first; predict every customer of both splits."""
     def q(spark, sf):
-        tr, _ = training_frames(spark, sf)
-        a = MD.assemble(tr, FEATS)
-        m = MD.private_outputs(make(tr)).setLabelCol("target").fit(a.where("val_fold_n <> 0"))
-        return m.transform(a.where("val_fold_n = 0")).select("customer_id", MD.positive_probability(None).alias("prediction"))
+        tr, te = training_frames(spark, sf)
+        m = MD.private_outputs(make(tr)).setLabelCol("target").fit(MD.assemble(tr.where("val_fold_n <> 0"), FEATS))
+        return m.transform(MD.assemble(_everyone(tr, te), FEATS)).select("customer_id", MD.positive_probability(None).alias("prediction"))
     return q
 
 
@@ -83,10 +88,10 @@ register("model_logistic_elasticnet")(_single(lambda tr: MD.model_logistic(C=0.0
 
 
 def _mlp(spark, sf):
-    tr, _ = training_frames(spark, sf)
-    a = MD.standard_scaled_vector(tr, FEATS)
+    tr, te = training_frames(spark, sf)
+    a = MD.standard_scaled_vector(_everyone(tr, te), FEATS)
     m = MD.private_outputs(MD.model_mlp(len(FEATS), max_iter=50)).setLabelCol("target").fit(a.where("val_fold_n <> 0"))
-    return m.transform(a.where("val_fold_n = 0")).select("customer_id", MD.positive_probability(None).alias("prediction"))
+    return m.transform(a).select("customer_id", MD.positive_probability(None).alias("prediction"))
 
 
 register("model_mlp")(_mlp)
@@ -193,7 +198,7 @@ register("impute_ffill", "WITH " + O.PANEL_ORDERS + ", pc AS (SELECT customer_id
 def _caps(spark, sf):
     """cap_bounds_from_trees: GBT on last statements -> split-histogram edges."""
     p = feat.clean_sentinels(panel_orders(spark, sf), SP.num, SP.sentinel)
-    last = H.tail_n(p, SP, 1).join(FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target", max_strata=2), "customer_id")
+    last = H.tail_n(p, SP, 1).join(FO.stratified_folds(customer_labels(spark, sf), "customer_id", "target"), "customer_id")
     b = MD.cap_bounds_from_trees(spark, last, list(SP.num))
     return spark.createDataFrame([(k, *v) for k, v in sorted(b.items())], "feature string, s0 double, s1 double, s2 double, s3 double")
 

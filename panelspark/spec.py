@@ -97,6 +97,8 @@ def session_conf(shuffle_partitions: int = 8) -> dict[str, str]:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # split a hot key's rows even if that costs one more exchange above the join
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # wide feature plans: keep codegen on for many aggregate expressions
         "spark.sql.codegen.maxFields": "2000",

@@ -1,15 +1,14 @@
 """Hot-entity panels: the range-split scan and the skew-safe history
 operators against plain entity windows.
 
-The panel is the orders table with one customer owning a third of the rows.
-``panelspark.scan.windowMaxRows=0`` forces the range-split scan."""
+The panel is the orders table with one customer owning a third of the rows."""
 
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from panelspark.operators import history as H
-from panelspark.operators.ordered import WINDOW_MAX_ROWS_CONF, entity_scan
+from panelspark.operators.ordered import entity_scan
 from panelspark.spec import PanelSpec
 
 SP = PanelSpec()
@@ -26,20 +25,13 @@ def hot(spark):
         F.when(F.col("o_orderkey") % 7 < 3, None).otherwise(F.col("o_orderpriority")).alias("s"))
 
 
-@pytest.fixture
-def force_scan(spark):
-    spark.conf.set(WINDOW_MAX_ROWS_CONF, "0")
-    yield
-    spark.conf.unset(WINDOW_MAX_ROWS_CONF)
-
-
 def _same(a, b):
     assert a.count() == b.count()
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
 @pytest.mark.parametrize("parts", [8, 29])
-def test_scan_matches_windows(spark, hot, force_scan, parts):
+def test_scan_matches_windows(spark, hot, parts):
     out = entity_scan(hot, SP, lag={"lx": "x", "ls": "s", "lq": "seq"}, ffill={"fx": "x", "fs": "s"},
                       count_nonnull={"nx": "x"}, row_number="rn", n_parts=parts)
     w = SP.window()
@@ -59,15 +51,29 @@ def test_hot_entity_spans_partitions(spark, hot):
     assert spread >= 4
 
 
-def test_scan_plan_has_no_entity_window(spark, hot, force_scan):
+def test_scan_reads_pinned_pieces(spark, hot):
+    """The rows come from the pinned windows over pieces; only the edge table has a window over entities."""
     out = entity_scan(hot, SP, ffill={"fx": "x"})
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    rows_branch = plan.split("BroadcastExchange")[0]
-    assert "ExistingRDD" in rows_branch  # the pinned (checkpointed) range partitions
-    assert "Window [" not in rows_branch and "Exchange" not in rows_branch  # only the edge table has a window
+    rows_branch = out._jdf.queryExecution().executedPlan().toString().split("BroadcastExchange")[0]
+    assert "ExistingRDD" in rows_branch
+    assert "Window [" not in rows_branch and "Exchange" not in rows_branch
+
+
+def test_scan_keeps_values_and_types(spark):
+    """NaN, far timestamps, exact longs and NULLs are what a window gives, whatever the pieces."""
+    rows = [("a" if i % 3 else None, f"{2000 + i % 8000}-12-31 23:59:59", i, float("nan") if i % 4 == 0 else float(i) if i % 4 < 3 else None, 2**62 + i if i % 5 else None)
+            for i in range(1, 400)] + [("a", None, 1000, 1.0, None)]
+    df = spark.createDataFrame(rows, "customer_id string, s_2 string, seq long, x double, big long").withColumn("s_2", F.col("s_2").cast("timestamp"))
+    out = entity_scan(df, SP, lag={"lx": "x", "lb": "big"}, ffill={"fx": "x", "fb": "big"}, count_nonnull={"nx": "x"}, row_number="rn", n_parts=13)
+    assert out.schema["lb"].dataType.simpleString() == "bigint" and out.columns == [*df.columns, "lx", "lb", "fx", "fb", "nx", "rn"]
+    w = SP.window()
+    wu = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ref = df.select("*", F.lag("x").over(w).alias("lx"), F.lag("big").over(w).alias("lb"), F.last("x", True).over(wu).alias("fx"),
+                    F.last("big", True).over(wu).alias("fb"), F.count("x").over(wu).alias("nx"), F.row_number().over(w).cast("long").alias("rn"))
+    _same(out, ref)
 
 
-def test_history_ops_on_hot_entity(spark, hot, force_scan):
+def test_history_ops_on_hot_entity(spark, hot):
     w = SP.window()
     wu = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     _same(H.lag_diff(hot, SP, ["x"]).select("seq", "x_diff"),
@@ -92,16 +98,16 @@ def test_char_counts_without_documents(spark, hot):
 
 
 def test_large_dictionary_codes(spark, hot):
-    """Above the size limit the codes come from the two-level running sum."""
+    """Codes from the two-level running sum equal ranks inside each feature."""
     from panelspark.operators import encode as E
     d = hot.select(F.lit("f").alias("feature"), F.col("seq").cast("string").alias("value")).distinct().unionByName(
         hot.select(F.lit("g").alias("feature"), F.col("s").alias("value")).where("value IS NOT NULL").distinct())
-    a = E.number_dictionary(d, max_rows=10).select("feature", "value", "code")
-    b = E.number_dictionary(d).select("feature", "value", "code")
+    a = E.number_dictionary(d).select("feature", "value", "code")
+    b = d.select("feature", "value", (F.dense_rank().over(Window.partitionBy("feature").orderBy("value")) - 1).cast("int").alias("code"))
     _same(a, b)
 
 
-def test_scan_null_and_string_entities(spark, force_scan):
+def test_scan_null_and_string_entities(spark):
     """NULL entities form one group (window semantics); string keys work."""
     o = spark.read.parquet("/root/testdata/sf0.01/orders.parquet")
     df = o.select(F.when(F.col("o_orderkey") % 4 == 0, F.lit(None)).when(F.col("o_orderkey") % 4 == 1, F.lit("hot"))
@@ -114,3 +120,28 @@ def test_scan_null_and_string_entities(spark, force_scan):
     ref = df.select("seq", F.lag("x").over(w).alias("lx"), F.last("x", True).over(wu).alias("fx"),
                     F.count("x").over(wu).alias("nx"), F.row_number().over(w).cast("long").alias("rn"))
     _same(out.select("seq", "lx", "fx", "nx", "rn"), ref)
+
+
+def _skew_marks(spark, df):
+    """How many joins AQE split, with small thresholds and broadcast off."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = df()
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString().count("skew=true")
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_per_entity_join_is_split(spark, hot):
+    """A hot entity's rows are split when its aggregate is joined back, also below a groupBy(entity)."""
+    many = hot.repartition(16)  # rows of one map task are never split
+    assert _skew_marks(spark, lambda: H.last_broadcast(many, SP)) > 0
+    assert _skew_marks(spark, lambda: H.months_ago(many, SP)) > 0
+    assert _skew_marks(spark, lambda: H.months_ago(many, SP).groupBy("customer_id").agg(F.max("months_ago"))) > 0
