@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.scalar import ratio, sentinel_to_null, stable_float
+from ..functions.scalar import ratio, sentinel_to_null
 from ..spec import PanelSpec
 from .aggregates import OK, agg_exprs, with_order_key
 from .ordered import entity_scan
@@ -295,7 +295,7 @@ def diff_agg_features(df: DataFrame, spec: PanelSpec, fill=-1.0) -> DataFrame:
 # ---------------------------------------------------------------- group-relative
 def _f32(c: Column) -> Column:
     """float32 storage of a statistic (the reference keeps group stats as float32)."""
-    return stable_float(c).cast("double")
+    return c.cast("float").cast("double")
 
 
 def group_rel_transform(df: DataFrame, spec: PanelSpec, group: Column | str, gname: str, cols,

@@ -253,7 +253,7 @@ def q_diff_agg(spark, sf):
 
 
 def _group_rel_sql() -> str:
-    f32 = lambda e: f"CAST({O.stable(e)} AS DOUBLE)"
+    f32 = lambda e: f"CAST(CAST({e} AS FLOAT) AS DOUBLE)"
     ctes = [O.PANEL_ORDERS, _clean_cte(), f"r AS ({O.ranked('pc')})"]
     # month groups per split, all numerics
     st = ", ".join(f"{f32(f'avg({c})')} AS mu_{c}, {f32(f'stddev_samp({c})')} AS sd_{c}" for c in O.NUM)

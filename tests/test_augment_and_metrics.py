@@ -45,3 +45,14 @@ def test_average_rank_keeps_null_scores(spark):
     assert {r.id: r.p_rank for r in M.average_rank(d, "p").collect()} == {1: 2.5, 2: None, 3: 2.5, 4: 1.0}
     two = d.withColumn("q", F.lit(1.0))
     assert {r.id: r.rank_avg is None for r in M.rank_average(two, ["p", "q"]).collect()} == {1: False, 2: True, 3: False, 4: False}
+
+
+def test_group_statistics_keep_small_values(spark):
+    """Group mean and deviation are float32, not rounded to absolute decimals."""
+    from panelspark.operators import features as feat
+    from panelspark.spec import PanelSpec
+    rows = [(i, f"2024-01-{i:02d}", i, i * 1e-9) for i in range(1, 6)]
+    d = spark.createDataFrame(rows, "customer_id long, s_2 string, seq long, x double").withColumns({"s_2": F.col("s_2").cast("timestamp"), "dset": F.lit("train")})
+    got = feat.group_rel_features(d, PanelSpec(num=("x",), cat=()), important=["x"]).orderBy("customer_id").collect()
+    z = [r["x_rel_s_2_mean_mean"] for r in got]
+    assert all(abs(a - (i - 3) / 2.5 ** 0.5) < 1e-5 for i, a in enumerate(z, 1))
