@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from panelspark.llm import op3_bpe
+from llm_fixtures import docs_of  # noqa: F401
 
 PATH = str(public_tokenizers.path("byte_bpe_50k.json"))
 REF = Tokenizer.from_file(PATH)

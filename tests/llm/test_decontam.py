@@ -8,6 +8,7 @@ import pytest
 
 from panelspark.llm import op8_decontam as op
 from panelspark.llm.common import Words
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def words(s):

@@ -3,6 +3,7 @@
 import re
 
 from panelspark.llm import op5_license as op
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def grams(s):

@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from panelspark.llm import op7_minhash as op
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def brute(rows, percent=85, k=5):

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from panelspark.llm import op6_suffix_dedup as op
+from llm_fixtures import docs_of  # noqa: F401
 
 WORDS = "abcdefgh"
 

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 
 from panelspark.llm import op10_toxicity as op
+from llm_fixtures import docs_of  # noqa: F401
 
 
 def rows_of(words, n, rng, extra=()):
