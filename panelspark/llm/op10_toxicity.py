@@ -35,7 +35,7 @@ from .op8_decontam import IS_WORD
 
 BUCKETS = 1 << 20
 MAX_POSITIVE = 4000
-MAX_UNLABELLED = 12000
+MAX_UNLABELLED = 8000
 MIN_POSITIVE = 5
 #: A word is used if its share of toxic rows is so many standard errors off its share of the others.
 SCREEN = 4.5
@@ -149,6 +149,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     for kind in (1, 0):
         rows = got.column("features").filter(pc.equal(got.column("p"), kind)).combine_chunks()
         sample.append(Rows(rows.flatten().to_numpy(), pc.list_value_length(rows).to_numpy()))
+    del got
+    pa.default_memory_pool().release_unused()
     return train(*sample, float(np.clip(share, 0.001, 0.9)), **options) if all(map(len, sample)) else None
 
 
