@@ -20,7 +20,7 @@ connected, all pairs of pieces that may still hold links are compared.
 Groups of copies stay small: equal texts are collapsed before branching, and parts that overlap
 are compared as one block, as long as that stays within ``LEAF`` sets.  Every
 compared block yields a spanning forest of its links, not all pairs, and components come from
-alternating large-star and small-star steps over these.
+alternating small-star and large-star steps over these.
 
 Edge cases: null text and texts without words have an empty set and are linked with nothing;
 shorter texts than 5 words have their whole word sequence as only shingle; equal texts, repeated
@@ -236,7 +236,7 @@ def _compare(members: DataFrame, sketches: DataFrame, texts: DataFrame, percent:
 
 
 def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, root) of all nodes with edges (a, b): alternating large-star and small-star steps.
+    """(node, root) of all nodes with edges (a, b): alternating small-star and large-star steps.
 
     Tables in the shared folder cut the lineage after each round.  Every node ends at the smallest
     node of its component.
@@ -244,14 +244,15 @@ def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
     e = scratch.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
     before = None
     while True:
+        # small star: of every node, the smaller neighbours and itself go to the smallest of them
+        least = e.groupBy("a").agg(F.min("b").alias("m"))
+        small = e.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
+        small = scratch.write(small, "edges")
         # large star: of every node, the larger neighbours go to its smallest neighbour (or itself)
-        both = e.unionAll(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = small.unionAll(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
-        # small star: of every node, the smaller neighbours and itself go to the smallest of them
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
-        e = scratch.write(small, "edges")
+        e = scratch.write(large, "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
