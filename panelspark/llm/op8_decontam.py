@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import _POWERS as POWERS
 from .common import Words, map_blocks, ship, wrapped
 
 WINDOW = 10
@@ -170,6 +171,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: i
     for k in range(parts):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k).collect() if total else []
         load = ship(spark, TestSuffixes([r.id for r in block], [r.text for r in block], window))
+        POWERS.clear()  # else the driver's table of powers would travel with the function
         name = "matches" if parts == 1 else f"__matches_{k}"
 
         def start(load=load):
