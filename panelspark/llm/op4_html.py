@@ -144,13 +144,15 @@ class Table:
                     if span == 1 and not several:
                         size[c] = max(size.get(c, 0), need)
                     elif span > 1 and several:
-                        have = sum(size.get(i, 0) for i in range(c, c + span)) + 2 * (span - 1)
-                        if have < need:
-                            size[c + span - 1] = size.get(c + span - 1, 0) + need - have
-        start, x = {}, 0
-        for c in range(max(size, default=-1) + 1):
+                        last = c + span - 1
+                        before = sum(size[i] + 2 for i in range(c, last) if size.get(i, 0))  # columns without text have no gap
+                        if need > (before + size[last] if size.get(last, 0) else max(0, before - 2)):
+                            size[last] = max(1, need - before)
+        start, x, wide = {}, 0, sorted((c for c, n in size.items() if n), reverse=True)
+        for c in sorted({c for row in grid for c in row}):
+            while wide and wide[-1] < c:
+                x += size[wide.pop()] + 2
             start[c] = x
-            x += size.get(c, 0) + 2 * (size.get(c, 0) > 0)
         out = list(self.captions)
         for row in grid:
             for i in range(max((len(lines) for _, lines in row.values()), default=0)):

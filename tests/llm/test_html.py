@@ -24,6 +24,14 @@ def test_layout(html, text):
     assert op.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<table><tr><td colspan=4>Menu</td></tr></table>", "Menu"), ("<table><tr><td>a</td><tr><td>b<td colspan=3>cd</table>", "a\nb  cd"),
+    ("<table><tr><td colspan=4>Menu</td><td>x</table>", "Menu  x"), ("<table><tr><td>abcd<tr><td colspan=2>abcdef<td>y</table>", "abcd\nabcdef   y"),
+    ("<table><tr><td colspan=3><td colspan=2></table>z", "z"), ("<table><tr><td colspan=1000>a<td colspan=1000>b</table>", "a  b")])
+def test_short_spanning_cells(html, text):
+    assert op.render(html) == text
+
+
 def test_nesting_and_junk_take_linear_time():
     began = time.time()
     assert op.render("<div>" * 100_000 + "x") == "x"
