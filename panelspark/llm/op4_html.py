@@ -4,8 +4,11 @@ One pass over the tags keeps the stack of open elements: start tags imply the en
 hold them (``p`` before a block, ``li`` before ``li``, cells and rows of tables, ...), end tags
 close up to their element if it is open in scope, void elements hold nothing, raw text elements
 hold text only.  Elements that a browser does not render hide all they hold: head, scripts,
-styles, templates, embedded media, closed details and dialogs, ``hidden``, ``display: none`` and
-``visibility: hidden``.
+styles, templates, embedded media and their fallbacks (canvas, object, video, audio, iframe), closed
+details and dialogs, ``hidden``, ``display: none`` and ``visibility: hidden``; of svg all but its
+labels (``text``, ``foreignObject``), of math its annotations and phantoms.  Formulas are written in
+the order of their parts, ``textarea`` with its lines.  Left out on purpose, although browsers show
+them: the option shown by ``select``, placeholders, and text that style sheets add.
 
 What is visible comes out as laid-out text: white space collapses (but not in ``pre``), inline text
 flows, blocks start lines, paragraphs and the like stand between blank lines, ``br`` breaks lines,
@@ -33,7 +36,14 @@ from .common import map_blocks
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript plaintext".split())
-HIDDEN = frozenset("head script style template title noscript iframe noembed noframes object video audio canvas svg math datalist area map param rp select textarea meta link base".split())
+HIDDEN = frozenset("head script style template title noscript iframe noembed noframes object video audio canvas datalist area param rp select meta link base".split())
+HIDDEN_IN = {"svg": frozenset("defs desc metadata symbol clippath mask pattern marker lineargradient radialgradient filter".split()), "math": frozenset("annotation annotation-xml mphantom".split())}
+FOREIGN = frozenset(HIDDEN_IN)
+#: What holds HTML again inside of foreign elements, and the start tags that end these.
+HOLDS_HTML = frozenset("foreignobject desc title annotation-xml mi mo mn ms mtext".split())
+LEAVES = frozenset("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Elements whose parts stand apart, and svg labels.
+APART = frozenset("mfrac mroot msub msup msubsup munder mover munderover mtable mtr mtd".split())
 GAP = frozenset("p h1 h2 h3 h4 h5 h6 blockquote ul ol dl pre table figure fieldset hr menu dir".split())
 BLOCK = GAP | frozenset("address article aside body center dd details dialog div dt figcaption footer form header hgroup html legend li main nav optgroup option search section summary tr caption thead tbody tfoot td th".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary table ul li dd dt".split())
@@ -182,7 +192,14 @@ class Page:
         self.details: list[bool] = []
 
     # -- tree building ----------------------------------------------------------
+    def foreign(self) -> str:
+        """The svg or math element that the next tag is in; '' where HTML is."""
+        at = self.top(FOREIGN)
+        return self.open[at] if at > self.top(HOLDS_HTML) else ""
+
     def start(self, tag: str, rest: str) -> None:
+        while tag in LEAVES and self.foreign():
+            self.end_top()
         if tag in CLOSES_P:
             self.close_within("p", SCOPE | {"button"})
         if tag in HEADINGS and self.open and self.open[-1] in HEADINGS:
@@ -228,7 +245,7 @@ class Page:
 
     # -- rendering ----------------------------------------------------------------
     def push(self, tag: str, a: dict) -> None:
-        hide = tag in HIDDEN or "hidden" in a and a["hidden"].lower() != "until-found" or "style" in a and bool(HIDES.search(a["style"])) or tag == "dialog" and "open" not in a
+        hide = tag in HIDDEN or any(tag in HIDDEN_IN[f] for f in FOREIGN if self.places.get(f)) or "hidden" in a and a["hidden"].lower() != "until-found" or "style" in a and bool(HIDES.search(a["style"])) or tag == "dialog" and "open" not in a
         if tag == "details":
             self.details.append("open" in a)
         elif self.details and not self.details[-1] and tag != "summary" and self.open and self.open[-1] == "details":
@@ -237,9 +254,11 @@ class Page:
         self.open.append(tag)
         self.hides.append(hide)
         self.hidden += hide
+        if tag == "text" or len(self.open) > 1 and self.open[-2] in APART:
+            self.box.space = True
         if tag in BLOCK and not self.hidden:
             self.box.block(tag in GAP and not (tag in LISTS and self.lists))
-        if tag == "pre":
+        if tag in ("pre", "textarea"):
             self.preformatted += 1
         elif tag in LISTS:
             self.lists.append([tag == "ol", int(a["start"]) if re.fullmatch(r"-?\d{1,9}", a.get("start", "")) else 1])
@@ -285,7 +304,9 @@ class Page:
                     self.box.put(line)
         if tag in BLOCK and not self.hidden:
             self.box.block(tag in GAP and not (tag in LISTS and len(self.lists) > 1))
-        if tag == "pre":
+        if tag == "text" or tag in APART:
+            self.box.space = True
+        if tag in ("pre", "textarea"):
             self.preformatted -= 1
         elif tag in LISTS and self.lists:
             self.lists.pop()
@@ -312,6 +333,8 @@ class Page:
             return
         if self.open and self.open[-1] in ("table", "thead", "tbody", "tfoot", "tr") and not s.strip(" \t\n\f\r"):
             return
+        if self.places.get("svg") and self.top({"svg"}) > self.top({"text", "foreignobject"}):
+            return  # svg shows text in its labels only
         if self.preformatted:
             self.box.pre(s.replace("\r\n", "\n"))
         else:
@@ -339,10 +362,14 @@ def render(source: str) -> str:
             page.end(tag)
             continue
         rest = m[3] or m[6] or ""
+        empty = rest.endswith("/") and tag not in VOID and (tag in FOREIGN or tag not in LEAVES and page.foreign())
         page.start(tag, rest)
-        if tag in RAW:
+        if empty:
+            page.end_top()
+        elif tag in RAW:
             close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at) if tag != "plaintext" else None
-            page.text(source[at:close.start() if close else len(source)])
+            text = source[at:close.start() if close else len(source)]
+            page.text(unescape(text).removeprefix("\n") if tag == "textarea" else text)
             page.end_top()
             at = close.end() if close else len(source)
         elif tag == "pre" and source.startswith("\n", at):

@@ -32,6 +32,17 @@ def test_short_spanning_cells(html, text):
     assert op.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ("<p>If <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> then", "If x= 1 2 then"),
+    ("<math><semantics><mi>y</mi><annotation encoding='application/x-tex'>\\y</annotation></semantics></math>z", "yz"),
+    ("<svg><title>t</title><desc>d</desc><defs><text>n</text></defs><g>stray<text x=1>Jan<tspan>uary</tspan></text><rect/><text>May</text></g></svg>end", "January May end"),
+    ("<svg><title/><path d='M0'/></svg>after", "after"), ("<svg><foreignObject><div>in</div></foreignObject></svg>", "in"), ("<svg><path d='x'><p>out", "out"),
+    ("<svg/>a<math/>b", "ab"), ("<textarea>\na &amp; <b>\n  c</textarea>d", "a & <b>\n  cd"), ("<textarea></textarea>d", "d"), ("<canvas>f</canvas><object>f</object>g", "g"),
+    ("<div hidden><svg><text>x</text></svg><textarea>y</textarea></div>z", "z"), ("<map><p>m</p></map>n", "m\n\nn")])
+def test_formulas_labels_and_fields(html, text):
+    assert op.render(html) == text
+
+
 def test_nesting_and_junk_take_linear_time():
     began = time.time()
     assert op.render("<div>" * 100_000 + "x") == "x"
