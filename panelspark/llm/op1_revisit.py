@@ -14,7 +14,8 @@ over from the partitions before.
 Edge cases: a null or empty url has no canonical form, and its revisits stay unresolved; a null
 time is earlier than nothing and follows nothing; null headers are no headers; header names match
 in any case (of names that repeat the last one in order counts); repeated revisits are resolved
-each on its own; other statuses are neither; empty tables give empty results; extra columns are
+each on its own, one row for each; responses that agree in record id, canonical URL and time are
+one response, with the largest headers and payload of these (in that order, null smallest); other statuses are neither; empty tables give empty results; extra columns are
 left aside.
 """
 
@@ -23,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.relational import opaque
 from .common import Scratch
 
 #: Header fields that a 304 response may not replace (body metadata, connection).
@@ -76,18 +78,23 @@ def resolve(records: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     dealt = light.where("canonical is not null and ts is not null").repartitionByRange(n, "canonical", "ts", "full", "record_id")
     rows = scratch.write(dealt.withColumn("part", F.spark_partition_id()), "records")
     # revisits sort before responses of the same time, which are not earlier
-    one = F.when(F.col("full"), F.struct("record_id", "headers"))
+    one = F.when(F.col("full"), F.struct("record_id", F.col("ts").alias("at")))
     within = Window.partitionBy("canonical", "part").orderBy("ts", "full", "record_id")
     last = rows.where("full").groupBy("canonical", "part").agg(F.max(F.struct("ts", "record_id")).alias("l")).select("canonical", "part", F.col("l.record_id").alias("record_id"), F.col("l.ts").alias("ts"))
     ends = rows.groupBy("canonical", "part").agg(F.max("full").alias("any")).join(last, ["canonical", "part"], "left")
     earlier = Window.partitionBy("canonical").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.withColumn("before", F.last(F.when(F.col("any"), F.col("record_id")), ignorenulls=True).over(earlier)).select("canonical", "part", "before")
+    carry = ends.withColumn("before", F.last(F.when(F.col("any"), F.struct("record_id", F.col("ts").alias("at"))), ignorenulls=True).over(earlier)).select("canonical", "part", "before")
     found = (rows.withColumn("here", F.last(one, ignorenulls=True).over(within)).where("not full").drop("full")
              .join(carry, ["canonical", "part"], "left")
-             .withColumn("response_id", F.coalesce("here.record_id", "before")).drop("here", "before", "part"))
-    found = found.unionAll(alone.where("not full").select("canonical", "ts", "record_id", "headers", F.lit(None).cast(light.schema["record_id"].dataType).alias("response_id")))
-    stored = records.where(full).select(F.col("record_id").alias("response_id"), lower_names(F.col("headers")).alias("stored"), "payload")
-    out = found.withColumnRenamed("record_id", "revisit_id").join(stored, "response_id", "left")
+             .withColumn("response_id", F.coalesce("here.record_id", "before.record_id")).withColumn("at", F.when(F.col("here.record_id").isNotNull(), F.col("here.at")).otherwise(F.col("before.at"))).drop("here", "before", "part"))
+    found = found.unionAll(alone.where("not full").select("canonical", "ts", "record_id", "headers", F.lit(None).cast(light.schema["record_id"].dataType).alias("response_id"), F.lit(None).cast(light.schema["ts"].dataType).alias("at")))
+    # copies of a response are one row before they meet the revisits
+    entries = F.array_sort(F.map_entries(lower_names(F.col("headers"))))
+    stored = (records.where(full & F.col("record_id").isNotNull()).select(F.col("record_id").alias("response_id"), canonical_url(F.col("url")).alias("canonical"), F.col("ts").alias("at"), F.struct(entries.alias("h"), F.col("payload").alias("p")).alias("r"))
+              .groupBy("response_id", "canonical", "at").agg(F.max("r").alias("r"))
+              .select("response_id", "canonical", "at", F.map_from_entries("r.h").alias("stored"), F.col("r.p").alias("payload")))
+    # an exchange of its own, so that the revisits of one response can be split
+    out = found.withColumnRenamed("record_id", "revisit_id").join(opaque(stored, ["response_id", "canonical", "at"]), ["response_id", "canonical", "at"], "left")
     tag = lambda h: F.regexp_replace(F.try_element_at(h, F.lit("etag")), "^W/", "")
     since = lambda h: F.try_element_at(h, F.lit("last-modified"))
     a, b, c, d = tag(F.col("stored")), tag(F.col("headers")), since(F.col("stored")), since(F.col("headers"))

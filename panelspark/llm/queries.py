@@ -31,7 +31,10 @@ def tokenizer_path() -> str:
 def op1_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = op1_revisit.resolve(op1_revisit.records_of_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
     lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
-    return out.select("revisit_id", "canonical", "ts", "response_id", "verdict", F.array_join(lines, "\n").alias("headers"), F.sha2("payload", 256).alias("payload_sha256"))
+    out = out.select("revisit_id", "canonical", "ts", "response_id", "verdict", F.array_join(lines, "\n").alias("headers"), F.sha2("payload", 256).alias("payload_sha256"))
+    # a page is one revisit, as in the SQL: of rows that repeat its id the largest
+    rest = out.columns[1:]
+    return out.groupBy("revisit_id").agg(F.max(F.struct(*rest)).alias("r")).select("revisit_id", *(F.col("r")[c].alias(c) for c in rest))
 
 
 ORACLE["op1_warc_revisits"] = r"""

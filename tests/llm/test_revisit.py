@@ -45,6 +45,24 @@ def test_resolution(spark):
     assert op.resolve(records(spark, [])).count() == 0
 
 
+def test_repeated_responses_and_pages(spark, tmp_path):
+    """k copies of a response give one row for each revisit, and k copies of a page one row of the query."""
+    a, b = (1, "http://s/p", 10, 200, {"ETag": '"1"'}, "one"), (3, "http://s/p", 30, 304, {"ETag": '"1"'}, None)
+    other = [(1, "http://s/p", 10, 200, {"etag": '"1"'}, None), (1, "http://t/", 10, 200, {"ETag": '"9"'}, "elsewhere"), (1, "http://s/p", 5, 200, {"ETag": '"1"'}, "older")]
+    got = op.resolve(records(spark, [a] * 50 + other + [b] * 7)).collect()
+    assert [(r.revisit_id, r.response_id, r.verdict, r.payload) for r in got] == [(3, 1, "resolved", "one")] * 7
+
+    import duckdb
+    from panelspark.llm.queries import ORACLE, QUERIES
+    pages = [(i, f"http://h/{i % 4}", f"<p>{i}") for i in range(30)] + [(7, "http://h/3", "<p>7")] * 40
+    spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    want = con.execute(ORACLE["op1_warc_revisits"]).fetchall()
+    mine = [tuple(r) for r in QUERIES["op1_warc_revisits"](spark, str(tmp_path)).collect()]
+    assert len(mine) == 30 and sorted(mine, key=repr) == sorted(want, key=repr)
+
+
 def test_a_hot_url_spans_partitions(spark):
     """One URL with nearly all records: the carry between partitions equals a plain scan."""
     rows = [(i, "http://hot/", 3 * i // 2, 200 if i % 5 == 0 else 304, {"etag": "e"}, str(i) if i % 5 == 0 else None) for i in range(600)]
