@@ -17,7 +17,11 @@ go by role and text; rows with a null conversation id form one conversation; rep
 turns of their own; JSON that does not parse or has no mapping gives null turns and the
 ``mapping`` ``'invalid'`` or ``'unmapped'``, with its fingerprint kept; an array without elements
 gives no turns; empty tables give empty results; extra columns are left aside.  A conversation
-is one value (at most 128 MB of JSON, the size of a parsed value), as its format demands.
+is one value, as its format demands, of any length that a Spark string holds: the fingerprint is
+taken from a skeleton without the texts, and texts are read without the parser's limit on strings.
+A skeleton that is still too long to parse (``MAX_SKELETON``) and a mapped record that cannot be read
+are errors, never nulls.  Names of over 50,000 characters, numbers of over 1,000 digits and nesting
+of over 1,000 levels count as not parsing.
 """
 
 from __future__ import annotations
@@ -33,6 +37,13 @@ START, END = "<|im_start|>", "<|im_end|>\n"
 #: What follows the first character of a control string.
 CONTROL = r"(?=\||/?s>|/?INST\]|</?SYS>)"
 
+#: The inside of a valid JSON string; a string value, or a name (kept as group 1); equal flat elements in a row.
+INSIDE = r'(?:[^"\\\x00-\x1F]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+'
+STRINGS = f'"{INSIDE}"(?!\\s*+:)|"({INSIDE})"'
+EQUAL_RUN = r"(?<=[\[,])\s*+(\{[^{}\[\]]*+\})(?:\s*+,\s*+\1)++"
+#: Characters of a skeleton that are surely parsed.
+MAX_SKELETON = 15_000_000
+
 
 # -- schema fingerprints ----------------------------------------------------------------
 def shape_of(paths: list[str]) -> str:
@@ -48,9 +59,16 @@ def shape_of(paths: list[str]) -> str:
     return "OBJECT<" + ", ".join(f"{k}: {shape_of(v)}" for k, v in sorted(heads.items())) + ">"
 
 
+def skeleton(json: Column) -> Column:
+    """JSON of the same shape with empty string values and without repeated flat elements."""
+    return F.regexp_replace(F.regexp_replace(json, STRINGS, '"$1"'), EQUAL_RUN, "$1")
+
+
 def shape(json: Column) -> Column:
     """The same of a JSON text; null if it does not parse."""
-    of = F.schema_of_variant(F.try_parse_json(json))
+    bones = skeleton(json)
+    of = F.schema_of_variant(F.try_parse_json(bones))
+    of = F.when(of.isNull() & (F.length(bones) > MAX_SKELETON), F.raise_error(F.lit("the skeleton of a JSON text is too long to parse"))).otherwise(of)
     return F.regexp_replace(of, r"(?<=: |<|^)(?!OBJECT<|ARRAY<)[A-Z][A-Z_ ]*(\([0-9,]+\))?(?=,|>|$)", "_")
 
 
@@ -85,7 +103,7 @@ class Mapping:
         return ", ".join(f"`{p}` string" for p in (*self.required, *self.optional))
 
     def canonical(self, json: Column) -> Column:
-        rec = F.from_json(json, self.schema())
+        rec = F.from_json(json, self.schema(), {"mode": "FAILFAST", "maxStringLen": str((1 << 31) - 1)})
         if self.each:
             role, text = self.turns[0]
             named = F.create_map(*(F.lit(x) for x in chain.from_iterable(self.roles))) if self.roles else None

@@ -65,6 +65,32 @@ def test_rows_of_turns(spark):
     assert op.read_back(op.format_turns(op.canonical_turns(op.pack(df.limit(0))))).count() == 0
 
 
+def test_long_texts(spark):
+    """A turn of over 20 million characters (the parser's limit on strings) keeps its result."""
+    df = spark.range(1).select(F.concat(F.lit('{"prompt":"'), F.repeat(F.lit("word\\\\ "), 3_000_000), F.lit('","response":"b"}')).alias("json"))
+    r = op.canonical_turns(df).select("mapping", F.size("turns").alias("n"), F.length(F.col("turns")[0]["text"]).alias("chars")).first()
+    assert tuple(r) == ("prompt_response", 2, 18_000_000)
+    df = spark.range(1).select(F.concat(F.lit('{"prompt":"'), F.repeat(F.lit("word "), 4_200_000), F.lit('","response":"b"}')).alias("json"))
+    r = op.canonical_turns(df).select("mapping", F.size("turns").alias("n"), F.length(F.col("turns")[0]["text"]).alias("chars")).first()
+    assert tuple(r) == ("prompt_response", 2, 21_000_000)
+
+
+@pytest.mark.parametrize("json,same", [
+    ('{"a":"x\\"y:","b":["c","d"]}', '{"a":"","b":["",""]}'), ('{"a:":"b" , "c" : 1}', '{"a:":"" , "c" : 1}'), ('{"a":[{"x":"1"}, {"x":"2"},{"x":"3"}]}', '{"a":[{"x":""}]}'),
+    ('{"a":{"x":""},{"x":""}}', '{"a":{"x":""},{"x":""}}'), ('{"a":"x\\qy"}', '{"a":"x\\qy"}'), ('{"a":"x\ny"}', '{"a":"x\ny"}'), ('"s"', '""')])
+def test_skeleton(spark, json, same):
+    df = spark.createDataFrame([(json,)], "j string")
+    parsed = F.schema_of_variant(F.try_parse_json("j"))
+    r = df.select(op.skeleton(F.col("j")).alias("s"), parsed.alias("a"), F.schema_of_variant(F.try_parse_json(op.skeleton(F.col("j")))).alias("b")).first()
+    assert r.s == same and r.a == r.b
+
+
+def test_what_cannot_be_parsed_is_an_error(spark):
+    long = spark.range(1).select(F.concat(F.lit('{"'), F.repeat(F.lit("k"), op.MAX_SKELETON), F.lit('":1}')).alias("json"))
+    with pytest.raises(Exception, match="too long to parse"):
+        op.canonical_turns(long).select("mapping").collect()
+
+
 def test_plan_has_no_python(spark):
     from panelspark.llm.queries import QUERIES
     for name in ("op2_chat_format", "op5_license_scan"):
