@@ -13,6 +13,13 @@ that no template's bounds admit go first, by their number of words.
 Templates are a table of (license, text), by default the public notices below; it is the stated
 query set, joined by bigram count; it is broadcast if it is small (``MAX_TEMPLATE_BYTES``).
 
+``spans`` finds what lies inside a longer line or document, or goes over several lines.  A window is
+a run of as many bigrams (repeats counted) as a template's bounds admit; each window of the whole
+text that starts at a bigram of the template is compared, with the same Dice over distinct bigrams.
+Hits of one license that overlap are one span, with the best window's template and dice; spans of
+different licenses may overlap.  Its default templates are the notices and ``FULL_TEXTS``.  The
+templates are held by every task.
+
 Edge cases: null and empty texts have no units with bigrams and no matches; a unit or template
 of fewer than two words has no bigrams and matches nothing; of templates with equal dice the one
 with the smallest number wins; repeated rows repeat their matches; empty tables (of documents or
@@ -21,7 +28,11 @@ templates) give no matches; extra columns are left aside.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import math
+import re
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
@@ -46,6 +57,18 @@ NOTICES = (
     ("all-rights-reserved", "All rights reserved."),
 )
 
+_GRANT = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_3 = " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = ' THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.'
+#: Whole licences whose notices above are only their opening paragraphs.
+FULL_TEXTS = (
+    ("MIT", _GRANT + ' The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.'),
+    ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.'),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_3 + _BSD_END),
+)
+
 
 def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("([a-z0-9]+)"), 1)
@@ -84,3 +107,50 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, text: str = "text"
         (2.0 * F.size(F.array_intersect(F.col("ub"), x["tb"])) / (F.col("n") + F.size(x["tb"]))).alias("dice"), (-x["template"]).alias("order"), x["license"].alias("license"), x["template"].alias("template")))
     best = pairs.select(F.col("__key").alias(key), F.col("line").cast("long").alias("line"), "n_words", F.array_max(scored).alias("b"))
     return best.where(F.col("b.dice") >= threshold).select(key, "line", "b.license", "b.template", "b.dice", "n_words")
+
+
+def spans(docs: DataFrame, templates: DataFrame | None = None, text: str = "text", key: str = "doc_id", threshold: float = THRESHOLD) -> DataFrame:
+    """(key, start, end, license, template, dice, n_words): spans of words start <= i < end that hold a template."""
+    if templates is None:
+        rows = [(i, a, b) for i, (a, b) in enumerate((*NOTICES, *FULL_TEXTS))]
+    else:
+        rows = [tuple(r) for r in templates.where(F.col("text").isNotNull()).select("template", "license", "text").collect()]
+    listed = []
+    for number, name, of in rows:
+        w = re.findall("[a-z0-9]+", of.lower())
+        if m := len(tb := sorted({f"{a} {b}" for a, b in zip(w, w[1:])})):
+            listed.append({"template": number, "license": name, "tb": tb, "m": m, "low": max(1, math.ceil(m * threshold / (2 - threshold) - 1e-9)), "high": math.floor(m * (2 - threshold) / threshold + 1e-9)})
+    every = F.from_json(F.lit(json.dumps(sorted({g for t in listed for g in t["tb"]}))), "array<string>")
+    ts = F.from_json(F.lit(json.dumps(listed)), "array<struct<template: int, license: string, tb: array<string>, m: int, low: int, high: int>>")
+    # documents with enough of a template's bigrams, and those templates
+    d = docs.select(F.col(f"`{key}`").alias("__key"), words(F.col(f"`{text}`")).alias("w")).where(F.size("w") > 1)
+    d = d.withColumn("some", F.array_intersect(bigrams(F.col("w")), every)).where(F.size("some") >= min((t["low"] for t in listed), default=1))
+    d = d.withColumn("ts", F.filter(ts, lambda t: F.size(F.array_intersect(F.col("some"), t["tb"])) >= t["low"])).where(F.size("ts") > 0)
+    d = d.withColumn("__id", F.monotonically_increasing_id()).select("__id", "__key", "w", F.explode("ts").alias("t"))
+    d = d.withColumn("g", F.zip_with(F.slice("w", 1, F.size("w") - 1), F.slice("w", 2, F.size("w") - 1), lambda a, b: F.concat_ws(" ", a, b))).drop("w")
+    d = d.withColumn("hit", F.transform("g", lambda x: F.array_contains(F.col("t.tb"), x)))
+    d = d.withColumn("at", F.filter(F.transform("hit", lambda h, i: F.when(h, i)), lambda i: i.isNotNull()))
+    # a start has enough of the template's bigrams before its longest window ends
+    d = d.withColumn("starts", F.filter("at", lambda s, j: F.coalesce(F.get("at", j + F.col("t.low") - 1) - s < F.col("t.high"), F.lit(False)))).where(F.size("starts") > 0)
+    # how far back the same bigram stands (0: not within the longest window)
+    d = d.withColumn("back", F.transform("g", lambda x, i: F.array_position(F.reverse(F.slice("g", F.greatest(i - F.col("t.high"), F.lit(0)) + 1, F.least(i, F.col("t.high")))), x).cast("int")))
+
+    def best(s):
+        """The best window from a start: distinct bigrams n, of them h in the template."""
+        def step(x, i):
+            new = (F.get("back", i) == 0) | (i - F.get("back", i) < s)
+            n, h = x["n"] + new.cast("int"), x["h"] + (new & F.get("hit", i)).cast("int")
+            dice = 2.0 * h / (n + F.col("t.m"))
+            better = dice > x["dice"]
+            return F.struct(n.alias("n"), h.alias("h"), F.when(better, dice).otherwise(x["dice"]).alias("dice"), F.when(better, i).otherwise(x["end"]).alias("end"))
+
+        start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("h"), F.lit(0.0).alias("dice"), s.alias("end"))
+        x = F.aggregate(F.sequence(s, F.least(s + F.col("t.high"), F.size("g")) - 1), start, step)
+        return F.struct(s.alias("start"), x["end"].alias("last"), x["dice"].alias("dice"))
+
+    hits = d.select("__id", "__key", F.col("t.license").alias("license"), F.col("t.template").alias("template"), F.explode(F.transform("starts", best)).alias("b")).select("__id", "__key", "license", "template", "b.*").where(F.col("dice") >= threshold)
+    order = Window.partitionBy("__id", "license").orderBy("start", "last", "template")
+    far = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    hits = hits.withColumn("new", F.coalesce((F.col("start") > far).cast("int"), F.lit(1))).withColumn("span", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    out = hits.groupBy("__id", "license", "span").agg(F.first("__key").alias(key), F.min("start").cast("long").alias("start"), (F.max("last") + 2).cast("long").alias("end"), F.max(F.struct("dice", (-F.col("template")).alias("order"))).alias("b"))
+    return out.select(key, "start", "end", "license", (-F.col("b.order")).alias("template"), "b.dice", (F.col("end") - F.col("start")).alias("n_words"))

@@ -99,6 +99,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op5_license.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+@query
+def op5_license_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op5_license.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _notices() -> str:
     return ", ".join("({}, '{}', '{}')".format(i, a, b.replace("'", "''")) for i, (a, b) in enumerate(op5_license.NOTICES))
 

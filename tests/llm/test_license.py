@@ -48,3 +48,39 @@ def test_templates_of_ones_own(spark, docs_of):
     assert mine(docs_of(rows), templates=t) == brute(rows, [("B", "a b c d"), ("A", "a b c d")])
     assert mine(docs_of(rows), templates=t, threshold=0.3) == brute(rows, [("B", "a b c d"), ("A", "a b c d")], 0.3)
     assert mine(docs_of(rows), templates=t.limit(0)) == []
+
+
+def brute_spans(text, templates, threshold=op.THRESHOLD):
+    """Spans of all windows by plain loops, merged by license."""
+    w = re.findall("[a-z0-9]+", text.lower())
+    g, hits = list(zip(w, w[1:])), {}
+    for name, t in templates:
+        b = grams(t)
+        low, high = len(b) * threshold / (2 - threshold), len(b) * (2 - threshold) / threshold
+        for s in range(len(g)):
+            ends = [(2.0 * len(b & set(g[s:e])) / (len(b) + len(set(g[s:e]))), -e) for e in range(s + 1, min(len(g), int(s + high + 1e-9)) + 1) if e - s >= low - 1e-9]
+            if g[s] in b and ends and max(ends)[0] >= threshold:
+                hits.setdefault(name, []).append((s, 1 - max(ends)[1], max(ends)[0]))
+    out = []
+    for name, found in hits.items():
+        merged = []
+        for s, e, dice in sorted(found):
+            if merged and s < merged[-1][1] - 1:
+                merged[-1] = [merged[-1][0], max(e, merged[-1][1]), max(dice, merged[-1][2])]
+            else:
+                merged.append([s, e, dice])
+        out += [(s, e, name, dice) for s, e, dice in merged]
+    return sorted(out)
+
+
+def test_spans_inside_lines_and_over_lines(docs_of):
+    import textwrap
+    code, cc = "\n".join(f"value{i} = call(value{i + 1})" for i in range(30)), op.NOTICES[3][1]
+    texts = ["/*\n * " + "\n * ".join(textwrap.wrap(op.NOTICES[1][1], 76)) + "\n */\n" + code, "Photos by the author. " + cc + " Please see the notes below for more about this and other things.",
+             "MIT License\n\nCopyright (c) 2020 A B\n\n" + "\n".join(textwrap.wrap(op.FULL_TEXTS[0][1], 70)) + "\n" + code, "all rights reserved " * 9, cc + "\n" + code + "\n" + cc, code, "", "word"]
+    rows = [*enumerate(texts), (90, None), (None, texts[1]), (1, texts[1])]
+    got = sorted(((r.doc_id, r.start, r.end, r.license, r.dice) for r in op.spans(docs_of(rows)).collect()), key=str)
+    want = sorted(((k, *x) for k, t in rows if t for x in brute_spans(t, (*op.NOTICES, *op.FULL_TEXTS))), key=str)
+    assert got == want and {(r[0], r[3]) for r in got} >= {(0, "Apache-2.0"), (1, "CC-BY-4.0"), (None, "CC-BY-4.0"), (2, "MIT"), (3, "all-rights-reserved")}
+    assert max(r[4] for r in got if r[0] == 2) == 1.0 and sum(r[0] == 4 for r in got) == 2
+    assert op.spans(docs_of([])).count() == 0
