@@ -1,11 +1,11 @@
 """Benchmark decontamination with suffix arrays of the training text.
 
 Every task cuts its training documents into shards of about ``SHARD_BYTES``.  For each shard it
-builds a suffix array over words: the word positions, sorted by the words that follow them up to
-the end of their document.  Positions whose first words open no test suffix at all cannot match
-and are left out beforehand (an exact prune on the first ``GRAM`` words).  Every test suffix is
-then binary-searched in every shard; the suffixes that share its first ``window`` words form one
-range of the array.  Ranges give the matching places, and matches that continue each other along
+builds a sparse suffix array over words: only positions whose first ``GRAM`` words open a test
+suffix (by a hash set; the others cannot match), sorted by their next ``window`` words within their
+document and not further.  Of the test suffixes, those whose opening occurs in the shard are
+binary-searched in it; the places that share a suffix's first ``window`` words form one range of the
+array.  Nothing is lost: windows are at most ``window`` words, and longer matches are joined.  Ranges give the matching places, and matches that continue each other along
 one item are joined to the longest verbatim match with its location in document and item.
 
 Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased.  A window is ``window``
