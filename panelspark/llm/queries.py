@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_revisit, op2_chat, op3_bpe, op4_html, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity
+from . import op1_revisit, op2_chat, op3_bpe, op4_html, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity, op11_merkle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -156,6 +156,60 @@ def op10_toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_toxicity.score(docs, model).select("doc_id", op10_toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*op11_merkle.FIELDS)
+    return op11_merkle.manifest(docs, more={"changed": op11_merkle.tampering()}).select("doc_id", *op11_merkle.digests())
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """A tree level per pair of tables, up to 16**levels leaves a source and as many sources."""
+    def climb(name: str, first: str, key: str) -> list[str]:
+        out, at = [], first
+        for k in range(1, levels + 1):
+            out.append(f"""{name}{k} AS (SELECT {key}, i // 16 AS i, any_value(n) AS n,
+  CASE WHEN any_value(n) = 1 THEN any_value(d) ELSE sha256(string_agg(d, '' ORDER BY i)) END AS d, any_value(n) = 1 AS done FROM {at} GROUP BY {key}, i // 16)""")
+            out.append(f"{name}n{k} AS (SELECT {key}, i, count(*) OVER (PARTITION BY {key}) AS n, d, done FROM {name}{k})")
+            at = f"{name}n{k}"
+        return out
+
+    def siblings(name: str, first: str, key: str) -> list[str]:
+        """Of each node and level, the others of its run; before and after it."""
+        out = []
+        for k in range(levels):
+            at = first if k == 0 else f"{name}n{k}"
+            out.append(f"""{name}s{k} AS (SELECT {key}, i, n > 1 AS up,
+  coalesce(string_agg(d, '') OVER (PARTITION BY {key}, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a,
+  coalesce(string_agg(d, '') OVER (PARTITION BY {key}, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b FROM {at})""")
+        return out
+
+    part = lambda c: f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+    leaf = lambda text: "sha256(" + " || ".join(part(text if f == "text" else f) for f in op11_merkle.FIELDS) + ")"
+    lowered = f"translate(text, '{op11_merkle.UPPER}', '{op11_merkle.LOWER}')"
+    ctes = [
+        """o AS (SELECT *, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: list_concat([ascii(ch)::BIGINT], [-1::BIGINT FOR z IN range(8)])))),
+  lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END) AS crc FROM documents)""",
+        f"l AS (SELECT doc_id, source, {leaf('text')} AS leaf, CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN {leaf(lowered)} END AS changed FROM o)",
+        "t AS (SELECT source, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree, doc_id, leaf, changed FROM l)",
+        "x0 AS (SELECT *, tree AS k, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n, leaf AS d FROM t)",
+        *climb("x", "x0", "k"), *siblings("x", "x0", "k"),
+        f"y0 AS (SELECT 0 AS k, k AS i, count(*) OVER () AS n, d FROM xn{levels})",
+        *climb("y", "y0", "k"), *siblings("y", "y0", "k"),
+    ]
+    ctes.append("f0 AS (SELECT doc_id, leaf, k, i, coalesce(changed, leaf) AS d, '' AS p FROM x0)")
+    for n in range(2 * levels):
+        name, k = ("x", n) if n < levels else ("y", n - levels)
+        at = f"s.k = f.k AND s.i = f.i // {16 ** k}" if name == "x" else f"s.i = f.k // {16 ** k}"
+        ctes.append(f"""f{n + 1} AS (SELECT f.* EXCLUDE (d, p), CASE WHEN s.up THEN sha256(s.a || f.d || s.b) ELSE f.d END AS d,
+  p || CASE WHEN s.up THEN s.a || s.b ELSE '' END AS p FROM f{n} f JOIN {name}s{k} s ON {at})""")
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT f.doc_id, f.leaf, x.d AS subroot, y.d AS root, sha256(f.p) AS proof_sha256, f.d AS folded_root, f.d = y.d AS verified
+FROM f{2 * levels} f JOIN xn{levels} x ON x.k = f.k CROSS JOIN yn{levels} y"""
+
+
+ORACLE["op11_merkle_manifest"] = _merkle_sql()
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
