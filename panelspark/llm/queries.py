@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import op1_revisit, op2_chat, op3_bpe, op4_html, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity, op11_merkle
+from . import op12_recompression as op12
+from . import op1_revisit, op2_chat, op3_bpe, op4_html, op5_license, op6_suffix_dedup, op7_minhash, op8_decontam, op9_forest, op10_toxicity, op11_merkle, op13_ranked
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -210,6 +211,48 @@ FROM f{2 * levels} f JOIN xn{levels} x ON x.k = f.k CROSS JOIN yn{levels} y"""
 ORACLE["op11_merkle_manifest"] = _merkle_sql()
 
 
+@query
+def op12_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op12.dedup(docs, made=op12.digests()).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+ORACLE["op12_recompression"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT r, doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+p AS (SELECT r, doc_id, i, array_to_string(w[i:i + 49], ' ') AS g FROM s),
+m AS (SELECT g, min(doc_id) AS f FROM p GROUP BY g),
+h AS (SELECT r, i FROM p JOIN m USING (g) WHERE f < doc_id),
+x AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+c AS (
+  SELECT x.r, x.i, x.word, max(CASE WHEN h.i IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY x.r ORDER BY x.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+  FROM x LEFT JOIN h ON x.r = h.r AND x.i = h.i),
+k AS (SELECT r, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (gone = 0) AS kept FROM c GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (r)"""
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return op13_ranked.search(docs, table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_ranked_search"] = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, '{op11_merkle.UPPER}', '{op11_merkle.LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE text IS NOT NULL),
+x AS (SELECT r, doc_id, w, len(w) AS n FROM d WHERE len(w) > 0),
+s AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS l FROM x),
+u AS (SELECT r, doc_id, n, unnest(w) AS t FROM x),
+tf AS (SELECT r, t, any_value(doc_id) AS doc_id, any_value(n)::BIGINT AS n, count(*)::BIGINT AS tf FROM u GROUP BY r, t),
+df AS (SELECT t, floor(1000 * ln((2 * any_value(nn) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY t),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, '{op11_merkle.UPPER}', '{op11_merkle.LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+c AS (
+  SELECT item_id, r, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // l))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN df USING (t), s GROUP BY item_id, r)
+SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM c WHERE score > 0 QUALIFY rank <= 50"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
