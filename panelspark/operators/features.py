@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalar import ratio, sentinel_to_null
 from ..spec import PanelSpec
-from .aggregates import OK, agg_exprs, with_order_key
+from .aggregates import OK, agg_exprs, entity_agg, with_order_key
 from .ordered import entity_scan
 
 NUM_AGGS = ["mean", "std", "min", "max", "last", "first"]
@@ -34,7 +34,7 @@ def basic_agg_features(df: DataFrame, spec: PanelSpec, clean: bool = False) -> D
     if clean:
         df = clean_sentinels(df, num, spec.sentinel)
     df = with_order_key(df, spec)
-    g = df.groupBy(spec.entity).agg(*agg_exprs(num, NUM_AGGS), *agg_exprs(cat, CAT_AGGS))
+    g = entity_agg(df, spec, [(num, NUM_AGGS), (cat, CAT_AGGS)])
     derived = {}
     for c in num:
         last, mean, first = F.col(f"{c}_last"), F.col(f"{c}_mean"), F.col(f"{c}_first")
@@ -49,7 +49,7 @@ def null_handled_agg_features(df: DataFrame, spec: PanelSpec) -> DataFrame:
     num = list(spec.num)
     df = with_order_key(clean_sentinels(df, num, spec.sentinel), spec)
     na = [(F.count(F.lit(1)) - F.count(F.col(c))).alias(f"{c}_na_count") for c in num]
-    g = df.groupBy(spec.entity).agg(*agg_exprs(num, NUM_AGGS), *agg_exprs(list(spec.cat), CAT_AGGS), *na)
+    g = entity_agg(df, spec, [(num, NUM_AGGS), (spec.cat, CAT_AGGS)], na)
     derived = {}
     for c in num:
         last, mean, first = F.col(f"{c}_last"), F.col(f"{c}_mean"), F.col(f"{c}_first")
@@ -109,9 +109,8 @@ def refined_agg_features(df: DataFrame, spec: PanelSpec, full_cols=None, last_co
                                                        0.90, spec.sentinel)
     df = with_order_key(clean_sentinels(df, num, spec.sentinel), spec)
     s = f"{recent}sts"
-    aggs = (agg_exprs(full_cols, NUM_AGGS) + agg_exprs(last_cols, ["last"])
-            + agg_exprs(list(spec.cat), ["last", "first", "nunique"]))
-    g = df.groupBy(spec.entity).agg(*aggs).join(recent_stats(df, spec, full_cols, recent, ["mean", "std"]), spec.entity)
+    g = entity_agg(df, spec, [(full_cols, NUM_AGGS), (last_cols, ["last"]), (spec.cat, ["last", "first", "nunique"])])
+    g = g.join(recent_stats(df, spec, full_cols, recent, ["mean", "std"]), spec.entity)
     d = {}
     for c in full_cols:
         last = F.col(f"{c}_last")
@@ -132,13 +131,12 @@ def refined_agg_features_median_3_7(df: DataFrame, spec: PanelSpec, full_cols=No
                                                        0.90, spec.sentinel)
     df = with_order_key(clean_sentinels(df, num, spec.sentinel), spec)
     funcs = ["median", "std", "min", "max", "last", "first"]
-    aggs = (agg_exprs(full_cols, funcs) + agg_exprs(last_cols, ["last"])
-            + agg_exprs(list(spec.cat), ["last", "first", "nunique"]))
+    few = ["median", "std"]  # of at most 7 rows
     last7 = _recent_rank(df, spec).where(F.col("__rd") <= 7)
     rec = last7.groupBy(spec.entity).agg(
-        *agg_exprs(full_cols, ["median", "std"], fmt="{c}_3sts_{f}", where=F.col("__rd") <= 3),
-        *agg_exprs(full_cols, ["median", "std"], fmt="{c}_7sts_{f}"))
-    g = df.groupBy(spec.entity).agg(*aggs).join(rec, spec.entity)
+        *agg_exprs(full_cols, few, fmt="{c}_3sts_{f}", where=F.col("__rd") <= 3),
+        *agg_exprs(full_cols, few, fmt="{c}_7sts_{f}"))
+    g = entity_agg(df, spec, [(full_cols, funcs), (last_cols, ["last"]), (spec.cat, ["last", "first", "nunique"])]).join(rec, spec.entity)
     d = {}
     for c in full_cols:
         last, med = F.col(f"{c}_last"), F.col(f"{c}_median")
@@ -302,13 +300,14 @@ def group_rel_transform(df: DataFrame, spec: PanelSpec, group: Column | str, gna
                         by=(), time_aggs=("mean", "std", "last", "min", "max")) -> DataFrame:
     """z-score of each column against its group's mean/std (float32), rows with
     a NULL group dropped, then aggregated over time per entity."""
+    from .relational import join_small
     num = list(cols)
     g = F.col(group) if isinstance(group, str) else group
     base = clean_sentinels(df, num, spec.sentinel).withColumn("__g", g).where(F.col("__g").isNotNull())
     keys = ["__g", *by]
     stats = base.groupBy(*keys).agg(*[_f32(F.avg(c)).alias(f"__mu_{c}") for c in num],
                                     *[_f32(F.stddev_samp(c)).alias(f"__sd_{c}") for c in num])
-    z = base.join(stats, keys)
+    z = join_small(base, stats, keys)
     rel = {f"{c}_rel_{gname}_mean": F.try_divide(F.col(c) - F.col(f"__mu_{c}"), F.col(f"__sd_{c}")) for c in num}
     z = with_order_key(z.withColumns(rel), spec)
     return z.groupBy(spec.entity).agg(*agg_exprs(list(rel), list(time_aggs)))
@@ -365,20 +364,19 @@ def flatten_full_history(df: DataFrame, spec: PanelSpec, cols=None, fill=-1.0) -
     """Every column x periods-ago 0..max_periods-1 (month-aligned, holes kept),
     missing -> fill.  The last row of each period wins.
 
-    One ``groupBy(entity)`` collects at most ``max_periods`` (period, order,
-    values) structs per entity; the period lookup happens on that bounded
-    array (no pivot, no SortAggregate on string buffers)."""
+    The last row of each (entity, period) comes from a partial ``max_by``, so at most
+    ``max_periods`` structs per entity are collected; the period lookup happens on that
+    bounded array (no pivot)."""
     cols = list(cols or spec.features)
     n = spec.max_periods
     df = months_ago(df, spec, "__ma").where(F.col("__ma") < n)
-    okey = [F.col(spec.ts)] + ([F.col(spec.tiebreak)] if spec.tiebreak else [])
-    st = F.struct(F.col("__ma").alias("ma"), *[F.struct(*okey).alias("o")], F.struct(*cols).alias("v"))
-    g = df.groupBy(spec.entity).agg(F.array_sort(F.collect_list(st)).alias("__h"))
-    # per period: the entry with the largest order (array is sorted by (ma, o))
+    last = df.groupBy(spec.entity, "__ma").agg(F.max_by(F.struct(*cols), spec.order_key()).alias("v"))
+    g = last.groupBy(spec.entity).agg(F.collect_list(F.struct(F.col("__ma").alias("ma"), "v")).alias("__h"))
+
     def at_period(i):
         return lambda x: x["ma"] == F.lit(i)  # one-argument lambda (two would mean (x, index))
 
-    per = {i: F.try_element_at(F.filter(F.col("__h"), at_period(i)), F.lit(-1))["v"] for i in range(n)}
+    per = {i: F.try_element_at(F.filter(F.col("__h"), at_period(i)), F.lit(1))["v"] for i in range(n)}
     out = [spec.entity]
     for i in range(n):
         for c in cols:
@@ -386,8 +384,3 @@ def flatten_full_history(df: DataFrame, spec: PanelSpec, cols=None, fill=-1.0) -
             x = F.coalesce(x, F.lit(fill)) if c in spec.num else F.coalesce(x, F.lit(str(int(fill))))
             out.append(x.alias(f"{c}_{i}"))
     return g.select(*out)
-
-
-def Window_by(spec: PanelSpec, extra: str):
-    from pyspark.sql import Window
-    return Window.partitionBy(spec.entity, extra).orderBy(*spec.order_cols(desc=True))

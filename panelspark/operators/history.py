@@ -102,7 +102,7 @@ def except_last(df: DataFrame, spec: PanelSpec, n: int = 1) -> DataFrame:
     top = dates.withColumn("__r", F.row_number().over(Window.partitionBy(spec.entity).orderBy(F.col(spec.ts).desc())))
     cut = (top.where(F.col("__r") <= n).groupBy(spec.entity)
            .agg(F.min(spec.ts).alias("__cut"), F.count(F.lit(1)).alias("__nd")).where(F.col("__nd") == n))
-    return df.join(cut, spec.entity).where(F.col(spec.ts) < F.col("__cut")).drop("__cut", "__nd")
+    return join_small(df, cut, spec.entity).where(F.col(spec.ts) < F.col("__cut")).drop("__cut", "__nd")
 
 
 def last_n_statements(df: DataFrame, spec: PanelSpec, n: int = 1) -> DataFrame:

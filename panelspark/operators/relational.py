@@ -67,11 +67,11 @@ def fill_const(df: DataFrame, value, cols=None) -> DataFrame:
 
 def fill_col_stat(df: DataFrame, cols, stat: str = "median", k: float = 0.0, stats_df: DataFrame | None = None):
     """fill_col_stat: fill with a column statistic: median, or min - k*std.
-    Statistics in one global aggregate (partial per task) -> tiny row."""
+    Medians by histogram selection, the rest in one global aggregate."""
+    from .quantiles import exact_quantiles
     src = stats_df if stats_df is not None else df
     if stat == "median":
-        row = src.agg(*[F.median(c).alias(c) for c in cols]).first()
-        vals = {c: row[c] for c in cols}
+        vals = {c: v[0] for c, v in exact_quantiles(src, {c: [0.5] for c in cols}).items()}
     else:
         row = src.agg(*[(F.min(c) - k * F.stddev_samp(c)).alias(c) for c in cols]).first()
         vals = {c: row[c] for c in cols}

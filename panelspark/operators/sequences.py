@@ -22,6 +22,8 @@ from pyspark.sql import types as T
 
 from ..spec import PanelSpec
 from . import history as H
+from .quantiles import exact_quantiles
+from .relational import join_small
 
 # Sentinel codes of the sequence tensors.
 MISSING_STATEMENT = -3.0
@@ -37,7 +39,7 @@ def _last_in_period(df: DataFrame, spec: PanelSpec, seen_cols=()) -> DataFrame:
     Skew-safe plan (no unbounded window over an entity's history):
       1. per entity (partial aggregate): last period, last ts, and for each
          ``seen_cols`` column the order key of its first non-null value;
-      2. joined back on the entity (AQE splits a hot entity's partition);
+      2. joined back on the entity by ``join_small`` (AQE splits a hot entity's rows);
       3. rows of the last max_periods periods reduced per (entity, period) by
          ``max_by(row, order key)`` -- a partial aggregate, so each entity
          keeps at most max_periods rows whatever its raw history length.
@@ -48,7 +50,7 @@ def _last_in_period(df: DataFrame, spec: PanelSpec, seen_cols=()) -> DataFrame:
     per = base.groupBy(spec.entity).agg(
         F.max("__p").alias("__pmax"), F.max(spec.ts).alias("__tsmax"),
         *[F.min(F.when(F.col(c).isNotNull(), F.col("__ok"))).alias(f"__first_{c}") for c in seen_cols])
-    rows = base.join(per, spec.entity).withColumn("months_ago", F.col("__pmax") - F.col("__p"))
+    rows = join_small(base, per, spec.entity).withColumn("months_ago", F.col("__pmax") - F.col("__p"))
     rows = rows.where(F.col("months_ago") < spec.max_periods)
     keep = [c for c in rows.columns if c not in (spec.entity, "months_ago")]
     red = rows.groupBy(spec.entity, "months_ago").agg(F.max_by(F.struct(*keep), F.col("__ok")).alias("__r"))
@@ -95,8 +97,15 @@ def _dbl(c: Column) -> Column:
 
 def sequence_v1(df: DataFrame, spec: PanelSpec, cols=None) -> DataFrame:
     """-3 missing statement, -2 null before the first non-null of that feature
-    (over the whole history), -1 other nulls; categories first."""
+    (over the whole history), -1 other nulls; categories first.  Text categories
+    become their ordinal codes (sorted values, from 0)."""
+    from .encode import ordinal_dictionary
     cols = list(cols or (list(spec.cat) + list(spec.num)))
+    texts = [c for c in cols if df.schema[c].dataType.typeName() == "string"]
+    dic = ordinal_dictionary(df, texts) if texts else None
+    for c in texts:
+        m = dic.where(F.col("feature") == c).select(F.col("value").alias("__v"), F.col("code").alias("__code"))
+        df = join_small(df.withColumn("__v", F.col(c)), m, "__v", "left").withColumn(c, F.col("__code")).drop("__v", "__code")
     pre = [f"__seen_{c}" for c in cols]
     g = period_map(_last_in_period(df, spec, seen_cols=cols), spec, cols + pre)
 
@@ -149,7 +158,7 @@ def sequence_branched(df: DataFrame, spec: PanelSpec, branches: dict[str, list[s
     """Forward fill (present rows), missing steps -3, leading nulls -> column
     median; one array per branch (feature-name prefix) in a struct."""
     cols = [c for v in branches.values() for c in v]
-    med = df.agg(*[F.median(c).alias(c) for c in cols]).first()
+    med = {c: v[0] for c, v in exact_quantiles(df, {c: [0.5] for c in cols}).items()}
     g = period_map(_ffill_present(_last_in_period(df, spec), spec, cols), spec, cols)
     out = [spec.entity]
     for b, cs in branches.items():
@@ -196,7 +205,6 @@ def sequence_ordinal_cats(df: DataFrame, spec: PanelSpec, dictionary: DataFrame
     0 = missing statement) first, numerics (-3 missing, -1 null) after, and
     ``days_ago`` (days since the entity's last statement, -3 when missing)."""
     from .encode import ordinal_dictionary
-    from .relational import join_small
     cats, nums = list(spec.cat), list(cols or spec.num)
     df = df.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit("999")) for c in cats})
     dic = dictionary if dictionary is not None else ordinal_dictionary(df, cats)

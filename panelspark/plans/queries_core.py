@@ -11,6 +11,7 @@ from ..operators import aggregates as A
 from ..operators import features as feat
 from ..operators import history as H
 from ..operators import relational as R
+from ..operators.quantiles import exact_quantiles
 from ..sources.fixtures import ORDERS_SPEC as SP
 from ..sources.fixtures import DAYS_SPEC, customer_labels, panel_days, panel_orders, scores, table
 from . import oracle as O
@@ -157,11 +158,12 @@ register("agg_group_mean_std", W(O.PANEL_ORDERS, PC, "g AS (SELECT CAST(date_tru
 
 
 def _column_profile(spark, sf):
-    """agg_column_profile: whole-table null count, median, min, std per column (one aggregate)."""
+    """agg_column_profile: whole-table null count, median (histogram selection), min, std per column."""
     p = clean_panel(spark, sf)
+    med = exact_quantiles(p, {c: [0.5] for c in SP.num})
     aggs = []
     for c in SP.num:
-        aggs += [(F.count(F.lit(1)) - F.count(c)).alias(f"{c}_na_count"), F.median(c).alias(f"{c}_median"),
+        aggs += [(F.count(F.lit(1)) - F.count(c)).alias(f"{c}_na_count"), F.lit(med[c][0]).cast("double").alias(f"{c}_median"),
                  F.min(c).alias(f"{c}_min"), F.stddev_samp(c).alias(f"{c}_std")]
     return p.agg(*aggs)
 
@@ -383,8 +385,7 @@ register("clip_fixed_bounds", W(O.PANEL_ORDERS, PC, "g AS (SELECT customer_id, s
 def _learned_splits(spark, sf):
     """four split values per feature learned from the data (quartile-like cuts of the train split)."""
     p = clean_panel(spark, sf).where("dset = 'train'")
-    row = p.agg(*[F.percentile(c, [0.05, 0.1, 0.9, 0.95]).alias(c) for c in ("p_2", "b_1")]).first()
-    return {c: list(row[c]) for c in ("p_2", "b_1")}
+    return exact_quantiles(p, {c: [0.05, 0.1, 0.9, 0.95] for c in ("p_2", "b_1")})
 
 
 def _clip_learned(spark, sf):
@@ -445,7 +446,7 @@ register("join_labels", W(O.PANEL_ORDERS, O.CUSTOMER_LABELS, "f AS (SELECT custo
 def _composite(spark, sf):
     p = panel_orders(spark, sf)
     day = p.groupBy("customer_id", "s_2").agg(F.count(F.lit(1)).alias("n_same_day"))
-    return p.join(day, ["customer_id", "s_2"]).select("customer_id", "seq", "n_same_day")
+    return R.join_small(p, day, ["customer_id", "s_2"]).select("customer_id", "seq", "n_same_day")
 
 
 register("join_composite_key", W(O.PANEL_ORDERS, "d AS (SELECT customer_id, s_2, count(*) AS n_same_day FROM panel GROUP BY 1, 2)",

@@ -145,3 +145,39 @@ def test_per_entity_join_is_split(spark, hot):
     assert _skew_marks(spark, lambda: H.last_broadcast(many, SP)) > 0
     assert _skew_marks(spark, lambda: H.months_ago(many, SP)) > 0
     assert _skew_marks(spark, lambda: H.months_ago(many, SP).groupBy("customer_id").agg(F.max("months_ago"))) > 0
+
+
+def test_every_whole_history_join_is_split(spark, hot):
+    """Sequences, the cut of except_last and group statistics are joined back by ``join_small`` too."""
+    from panelspark.operators import features as FT
+    from panelspark.operators import sequences as Q
+    many = hot.repartition(16)
+    spec = SP.with_(num=("x",), cat=("s",))
+    assert _skew_marks(spark, lambda: Q.sequence_v2(many, spec)) > 0
+    assert _skew_marks(spark, lambda: Q.sequence_v1(many, spec)) > 0
+    assert _skew_marks(spark, lambda: H.except_last(many, spec, 1)) > 0
+    assert _skew_marks(spark, lambda: FT.group_rel_transform(many.withColumn("hot", F.col("customer_id") == -1), spec, "hot", "h", ["x"])) > 0
+
+
+def test_flattened_history_is_reduced_before_it_is_collected(spark, hot):
+    """At most max_periods structs of an entity meet in one buffer: the (entity, period) aggregate lies below."""
+    from panelspark.operators import features as FT
+    spec = SP.with_(num=("x",), cat=("s",))
+    plan = FT.flatten_full_history(hot, spec)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("collect_list") < plan.index("max_by")
+    p = H.months_ago(hot, spec, "ago").where("ago < 13")
+    last = p.withColumn("k", F.row_number().over(Window.partitionBy("customer_id", "ago").orderBy(F.desc("s_2"), F.desc("seq")))).where("k = 1")
+    want = {(r.customer_id, r.ago): (-1.0 if r.x is None else float(r.x), "-1" if r.s is None else r.s) for r in last.collect()}
+    for r in FT.flatten_full_history(hot, spec).collect():
+        for i in range(13):
+            x, s = want.get((r.customer_id, i), (-1.0, "-1"))
+            assert (float(r[f"x_{i}"]), r[f"s_{i}"]) == (x, s)
+
+
+def test_text_categories_in_sequence_v1(spark):
+    """Text categories become ordinal codes; the sentinels stay what they are for numbers."""
+    from panelspark.operators import sequences as Q
+    rows = [(1, "2020-01-05", 1, None, None), (1, "2020-02-05", 2, 2.5, "F"), (1, "2020-04-05", 3, None, None), (2, "2020-04-01", 4, 1.0, "M")]
+    df = spark.createDataFrame(rows, "customer_id long, s_2 string, seq long, x double, sex string").withColumn("s_2", F.col("s_2").cast("timestamp"))
+    got = {r.customer_id: r.seq for r in Q.sequence_v1(df, SP.with_(num=("x",), cat=("sex",), max_periods=4)).collect()}
+    assert got == {1: [[-2.0, -2.0], [0.0, 2.5], [-3.0, -3.0], [-1.0, -1.0]], 2: [[-3.0, -3.0]] * 3 + [[1.0, 1.0]]}
