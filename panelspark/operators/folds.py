@@ -7,10 +7,14 @@ each class (half the table or more) into a single task.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .metrics import running_sums
+from .ordered import pin
 
 # Fold count and seed of the reference's fold files.
 N_FOLDS = 5
@@ -33,52 +37,117 @@ def stratified_folds(labels: DataFrame, key: str, stratum: str = "target", k: in
         "__h", "__one", "cum___one")
 
 
+class _Walk:
+    """The greedy walk over one piece of the rows (flags: 0 and 1 are the classes, 2 neither).
+
+    A state is the open bucket's count of each class, at most n (more never matters); both
+    at n is no state, as the bucket closes there."""
+
+    def __init__(self, flags: np.ndarray, n: int):
+        self.n, self.size = n, len(flags)
+        self.at = [np.flatnonzero(flags == k) for k in (0, 1)]
+        self.before = [np.r_[0, np.cumsum(flags == k)] for k in (0, 1)]
+        self.known: dict[int, tuple[int, tuple[int, int]]] = {}
+
+    def close(self, s: int, state: tuple[int, int]) -> int | None:
+        """The row at which the bucket closes that is in ``state`` before row s."""
+        out = s
+        for at, before, have in zip(self.at, self.before, state):
+            need = before[s] + self.n - have
+            if have < self.n:
+                if need > len(at):
+                    return None
+                out = max(out, int(at[need - 1]))
+        return out
+
+    def left(self, s: int, state: tuple[int, int]) -> tuple[int, int]:
+        return tuple(min(self.n, have + int(before[-1] - before[s])) for before, have in zip(self.before, state))
+
+    def leave(self, state: tuple[int, int]) -> tuple[int, tuple[int, int]]:
+        """(buckets closed, state after the last row) for an entering state; walks that meet go on as one."""
+        s, path = 0, []
+        while s not in self.known or not path:
+            end = self.close(s, state if not path else (0, 0))
+            if end is None:
+                tail = (0, self.left(s, state if not path else (0, 0)))
+                break
+            path.append(s)
+            s = end + 1
+        else:
+            tail = self.known[s]
+        if path:
+            self.known.setdefault(s, tail)
+        for k, at in enumerate(reversed(path), 1):
+            if at != path[0]:
+                self.known[at] = (tail[0] + k, tail[1])
+        return tail[0] + len(path), tail[1]
+
+    def buckets(self, state: tuple[int, int]) -> tuple[np.ndarray, int, tuple[int, int]]:
+        """Number of buckets closed before each row, in all, and the state after the last row."""
+        ends, s, now = [], 0, state
+        while (end := self.close(s, now)) is not None:
+            ends.append(end)
+            s, now = end + 1, (0, 0)
+        closed = np.zeros(self.size + 1, np.int64)
+        closed[np.array(ends, np.int64) + 1] = 1
+        return np.cumsum(closed)[:-1], len(ends), self.left(s, now)
+
+
 def greedy_buckets(df: DataFrame, key: str, value: str, target: str = "target", n: int = 10) -> DataFrame:
     """win_greedy_buckets: walk the rows in ``value`` order (descending, NULLs
-    last, then key) and close a bucket as soon as it holds >= n rows of each
-    class -- computed exactly without a sequential loop.
+    last, then key) and close a bucket as soon as it holds >= n rows of each class.
+
+    A scan of composed transition tables, in a number of jobs that does not depend on the rows:
 
-    With prefix class counts C0(s), C1(s) before row s and the positions
-    z[k], o[k] of the k-th zero / one, the bucket opened at s closes at
-    max(z[C0(s)+n], o[C1(s)+n]), so next(s) is two equi-joins on class ranks
-    (unique keys: no skew).  Bucket starts are the orbit of row 0 under next;
-    pointer doubling (J_{k+1} = J_k o J_k, each level checkpointed to the
-    shared folder) finds it in O(log #buckets) joins.  The bucket of a row is
-    the running count of starts up to it, minus one.
+    1. the rows are range-partitioned in walking order and pinned;
+    2. every piece computes, for each of the (n + 1)^2 - 1 states in which the walk may enter it, the
+       state in which it leaves and how many buckets it closed;
+    3. these tables (one row per piece) are composed once in order of the pieces;
+    4. every piece walks on from its entering state and numbers its rows.
 
     Returns key, value, target, pos, bucket (raw greedy id)."""
-    from .metrics import running_sums
     spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     t = F.col(target).cast("int")
-    d = df.select(key, value, target).withColumns({
-        "__z": (t == 0).cast("double"), "__o": (t == 1).cast("double"), "__one": F.lit(1.0)})
-    r = running_sums(d, [F.col(value).desc_nulls_last(), F.col(key).asc()], ["__one", "__z", "__o"])
-    r = r.select(key, value, target, "__z",
-                 (F.col("cum___one") - 1).cast("long").alias("pos"),
-                 (F.col("cum___z") - F.col("__z")).cast("long").alias("c0"),
-                 (F.col("cum___o") - F.col("__o")).cast("long").alias("c1"),
-                 F.col("cum___z").cast("long").alias("kz"), F.col("cum___o").cast("long").alias("ko")).checkpoint()
-    total = r.count()
-    zs = r.where("__z = 1").select(F.col("kz").alias("k"), F.col("pos").alias("zpos"))
-    os_ = r.where("__z = 0").select(F.col("ko").alias("k2"), F.col("pos").alias("opos"))
-    nx = (r.select("pos", (F.col("c0") + n).alias("need0"), (F.col("c1") + n).alias("need1"))
-           .join(zs, F.col("need0") == F.col("k"), "left").join(os_, F.col("need1") == F.col("k2"), "left"))
-    close = F.greatest("zpos", "opos")
-    nx = nx.select("pos", F.when(F.col("zpos").isNotNull() & F.col("opos").isNotNull() & (close + 1 < total),
-                                 close + 1).alias("nxt")).checkpoint()
-    levels = [nx]
-    max_buckets = total // (2 * n) + 1
-    while (1 << len(levels)) <= max_buckets:
-        a, b = levels[-1].alias("a"), levels[-1].alias("b")
-        j = a.join(b, F.col("a.nxt") == F.col("b.pos"), "left").select(F.col("a.pos"), F.col("b.nxt").alias("nxt"))
-        levels.append(j.checkpoint())
-    starts = spark.createDataFrame([(0,)], "pos long")
-    for lvl in reversed(levels):
-        step = starts.join(lvl, "pos").where(F.col("nxt").isNotNull()).select(F.col("nxt").alias("pos"))
-        starts = starts.unionByName(step).distinct().checkpoint()
-    m = r.join(starts.withColumn("__start", F.lit(1.0)), "pos", "left").fillna(0.0, ["__start"])
-    m = running_sums(m, [F.col("pos").asc()], ["__start"])
-    return m.select(key, value, target, "pos", (F.col("cum___start") - 1).cast("long").alias("bucket"))
+    order = [F.col(value).desc_nulls_last(), F.col(key).asc()]
+    flag = F.when(t.isin(0, 1), t).otherwise(2).cast("byte").alias("__flag")
+    d = df.select(key, value, target, flag).repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    d = pin(d.withColumn("__pid", F.spark_partition_id()))
+    states = [(a, b) for a in range(n + 1) for b in range(n + 1) if a < n or b < n]
+
+    def tables(batches):
+        pid, rows, now = None, 0, {s: (0, s) for s in states}
+        for b in batches:
+            if b.num_rows:
+                pid, rows = b.column(1)[0].as_py(), rows + b.num_rows
+                walk = _Walk(b.column(0).to_numpy(), n)
+                step = {s: walk.leave(s) for s in {x for _, x in now.values()}}
+                now = {s: (k + step[x][0], step[x][1]) for s, (k, x) in now.items()}
+        if pid is not None:
+            flat = [v for s in states for v in (now[s][0], *now[s][1])]
+            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([rows], pa.int64()), pa.array([flat], pa.list_(pa.int64()))], names=["pid", "rows", "table"])
+
+    got = d.select("__flag", "__pid").mapInArrow(tables, "pid int, rows bigint, table array<bigint>").collect()  # one row for each piece
+    enter, state, bucket, pos = {}, (0, 0), 0, 0
+    for r in sorted(got, key=lambda r: r.pid):
+        enter[r.pid] = (*state, bucket, pos)
+        i = 3 * states.index(state)
+        bucket, state, pos = bucket + r.table[i], (r.table[i + 1], r.table[i + 2]), pos + r.rows
+    shared = spark.sparkContext.broadcast(enter)  # one entry for each piece
+    fields = [f for f in d.schema if not f.name.startswith("__")]
+    schema = T.StructType([*fields, T.StructField("pos", T.LongType()), T.StructField("bucket", T.LongType())])
+
+    def number(batches):
+        now = None
+        for b in batches:
+            if b.num_rows:
+                pid = b.column(len(fields) + 1)[0].as_py()
+                a, z, bucket, pos = now or shared.value[pid]
+                closed, count, left = _Walk(b.column(len(fields)).to_numpy(), n).buckets((a, z))
+                now = (*left, bucket + count, pos + b.num_rows)
+                yield pa.RecordBatch.from_arrays([*b.columns[:len(fields)], pa.array(pos + np.arange(b.num_rows)), pa.array(bucket + closed)], names=schema.names)
+
+    return d.mapInArrow(number, schema)
 
 
 def bucket_strata(buckets: DataFrame, value: str, target: str = "target") -> DataFrame:

@@ -160,11 +160,73 @@ def metric_frame(df: DataFrame, score: str = "prediction", target: str = "target
                     (F.lit(0.5) * (F.col("norm_gini") + F.col("d"))).alias("score"))
 
 
-def score_by_fold(df: DataFrame, fold: str = "val_fold_n", **kw) -> DataFrame:
-    """metric_by_fold: per fold, the mean of folds and the pooled score."""
-    per = metric_frame(df, by=(fold,), **kw).select(F.col(fold).cast("string").alias("fold"), "score")
+def grouped_sums(df: DataFrame, order: list[Column], cols: list[str], group: str, n_parts: int | None = None) -> DataFrame:
+    """Running sums in one order over all rows (``cum_<c>``) and over each row's own group
+    (``own_<c>``): one range exchange and one pinned pass carry a vector of sums, one entry per group.
+
+    The group domain is small (folds): the offsets are one row for each piece and group."""
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("__pid", F.spark_partition_id())
+    loc = [f"__loc_{c}" for c in cols] + [f"__own_{c}" for c in cols]
+    schema = T.StructType(d.schema.fields + [T.StructField(x, T.DoubleType()) for x in loc])
+
+    def local(batches):
+        total, own = np.zeros(len(cols)), {}
+        for pdf in batches:
+            x = pdf[cols].astype("float64").to_numpy()
+            mine = np.zeros_like(x)
+            codes, names = pd.factorize(pdf[group], use_na_sentinel=False)
+            for k, g in enumerate(names.tolist()):
+                g = None if pd.isna(g) else g
+                at = np.flatnonzero(codes == k)
+                mine[at] = x[at].cumsum(axis=0) + own.get(g, 0.0)
+                own[g] = mine[at[-1]].copy()
+            both = np.hstack([x.cumsum(axis=0) + total, mine])
+            if len(pdf):
+                total = both[-1, :len(cols)]
+            yield pdf.assign(**{c: both[:, j] for j, c in enumerate(loc)})
+
+    rows = pin(d.mapInPandas(local, schema))
+    part = rows.groupBy("__pid", group).agg(*[F.sum(F.col(c).cast("double")).alias(f"__t_{c}") for c in cols])
+    # one row for each piece and group: what lies before the piece, in its group and in all
+    own_before = Window.partitionBy(group).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    all_before = Window.orderBy("__pid").rangeBetween(Window.unboundedPreceding, -1)
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    part = part.select("__pid", F.col(group).alias("__group"), *[zero(F.sum(f"__t_{c}").over(own_before)).alias(f"__ob_{c}") for c in cols],
+                       *[zero(F.sum(f"__t_{c}").over(all_before)).alias(f"__ab_{c}") for c in cols])
+    part = part.withColumnRenamed("__pid", "__piece")
+    out = rows.join(F.broadcast(part), (F.col("__pid") == F.col("__piece")) & F.col(group).eqNullSafe(F.col("__group")))
+    return out.select(*df.columns, *[(F.col(f"__loc_{c}") + F.col(f"__ab_{c}")).alias(f"cum_{c}") for c in cols],
+                      *[(F.col(f"__own_{c}") + F.col(f"__ob_{c}")).alias(f"own_{c}") for c in cols])
+
+
+def score_by_fold(df: DataFrame, fold: str = "val_fold_n", score: str = "prediction", target: str = "target", idcol: str = "id") -> DataFrame:
+    """metric_by_fold: the score of each fold, their mean and the pooled score, from one ordered pass."""
+    d = _weighted(df.select(fold, idcol, score, target), target)
+    c = grouped_sums(d, [F.col(score).desc(), F.col(idcol).asc()], ["__w", "__t"], fold)
+
+    def scores(rows: DataFrame, by: list[str], kind: str) -> DataFrame:
+        # the totals of a group are the largest running sums in it
+        sums = {"W": F.sum("__w"), "Q": F.sum(F.col("__w") * F.col("__w")), "n_pos": F.sum("__t"), "n": F.count(F.lit(1)),
+                "S_tw": F.sum(F.col("__w") * F.col(f"{kind}___t"))}
+        tot = rows.groupBy(*by).agg(*[v.alias(k) for k, v in sums.items()])
+        if by:
+            limit = rows.join(F.broadcast(tot.select(F.col(fold).alias("__f"), "W")), F.col(fold).eqNullSafe(F.col("__f")))  # one row per fold
+        else:
+            limit = rows.withColumn("W", rows.agg(F.sum("__w")).scalar())
+        cap = limit.groupBy(*by).agg(F.sum(F.when(F.col(f"{kind}___w") <= F.floor(F.lit(TOP_FRACTION) * F.col("W")), F.col("__t")).otherwise(0.0)).alias("cap_pos"))
+        if by:
+            g = tot.join(cap.withColumnRenamed(fold, "__f"), F.col(fold).eqNullSafe(F.col("__f")))
+        else:
+            g = tot.withColumn("cap_pos", cap.scalar())
+        sw = F.try_divide(F.col("W") * F.col("W") + F.col("Q"), F.lit(2.0) * F.col("W"))
+        gini = F.try_divide(F.col("S_tw"), F.col("n_pos")) - sw
+        most = (F.col("n_pos") + 1) / 2.0 + F.lit(NEG_WEIGHT) * (F.col("n") - F.col("n_pos")) - sw
+        return g.select(*by, (F.lit(0.5) * (F.try_divide(gini, most) + F.try_divide(F.col("cap_pos"), F.col("n_pos")))).alias("score"))
+
+    per = scores(c, [fold], "own").select(F.col(fold).cast("string").alias("fold"), "score")
     mean = per.agg(F.avg("score").alias("score")).select(F.lit("mean").alias("fold"), "score")
-    pooled = metric_frame(df, **kw).select(F.lit("pooled").alias("fold"), "score")
+    pooled = scores(c, [], "cum").select(F.lit("pooled").alias("fold"), "score")
     return per.unionByName(mean).unionByName(pooled)
 
 
