@@ -10,8 +10,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..spec import PanelSpec
 from . import history as H
@@ -182,48 +185,128 @@ def char_vectors_from_counts(cnt: DataFrame, keys: DataFrame, key: str, doc: str
 
 
 # ---------------------------------------------------------------- SVD of category history
+#: Loadings are broadcast in blocks of columns of at most this size.
+LOADING_BYTES = 64 << 20
+#: Blocks of a Krylov basis before it is restarted from its best vectors.
+KRYLOV_BLOCKS = 8
+
+
+def category_indices(flat: DataFrame, key: str, cat_cols: list[str]) -> tuple[DataFrame, int]:
+    """(key, __ix: the place of each column's level in the one-hot row; number of levels of all columns).
+
+    Levels are numbered by the two-level running sum; neither their list nor a column per level
+    exists anywhere.  NULL is a level."""
+    from .metrics import running_sums
+    from .ordered import pin
+    one = [F.struct(F.lit(i).alias("c"), F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")).alias("v")) for i, c in enumerate(cat_cols)]
+    cells = flat.withColumn("__row", F.monotonically_increasing_id()).select("__row", F.col(key).alias("__key"), F.explode(F.array(*one)).alias("__s"))
+    cells = pin(cells.select("__row", "__key", F.col("__s.c").alias("__c"), F.col("__s.v").alias("__v")))
+    levels = cells.select("__c", "__v").distinct().withColumn("__one", F.lit(1.0))
+    levels = pin(running_sums(levels, [F.col("__c").asc(), F.col("__v").asc()], ["__one"]).select("__c", "__v", (F.col("cum___one") - 1).cast("int").alias("__i")))
+    rows = join_small(cells, levels, ["__c", "__v"]).groupBy("__row").agg(F.first("__key").alias(key), F.sort_array(F.collect_list("__i")).alias("__ix"))
+    return pin(rows.select(key, "__ix")), levels.count()
+
+
+def _gram_times(rows: DataFrame, v: np.ndarray) -> np.ndarray:
+    """X'X v for the one-hot X, without X'X: a task adds up x (x'v) of its rows, and the tasks' sums are added by level."""
+    width, most = v.shape[0], max(1, LOADING_BYTES // (8 * max(1, v.shape[0])))
+    out = np.zeros_like(v)
+    for lo in range(0, v.shape[1], most):
+        block = np.ascontiguousarray(v[:, lo:lo + most])
+        shared = rows.sparkSession.sparkContext.broadcast(block)  # at most LOADING_BYTES, or one column
+
+        def run(batches, n=block.shape[1]):
+            load, total = shared.value, np.zeros((width, n))
+            seen = False
+            for b in batches:
+                ix = b.column(0)
+                size, flat = pc.list_value_length(ix).to_numpy(), ix.flatten().to_numpy()
+                if not len(flat):
+                    continue
+                row, seen = np.repeat(np.arange(len(size)), size), True
+                for j in range(n):
+                    u = np.bincount(row, load[flat, j], len(size))
+                    total[:, j] += np.bincount(flat, u[row], width)
+            if seen:
+                at = np.flatnonzero(total.any(axis=1))
+                for i in range(0, len(at), 4096):
+                    part = at[i:i + 4096]
+                    yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), *(pa.array(total[part, j]) for j in range(n))], names=["i", *(f"z{j}" for j in range(n))])
+
+        names = [f"z{j}" for j in range(block.shape[1])]
+        got = rows.select("__ix").mapInArrow(run, "i int, " + ", ".join(f"{c} double" for c in names)).groupBy("i").agg(*[F.sum(c).alias(c) for c in names]).toArrow()
+        at = got.column("i").to_numpy()
+        for j, c in enumerate(names):
+            out[at, lo + j] = got.column(c).to_numpy()
+        shared.unpersist()
+    return out
+
+
+def leading_vectors(rows: DataFrame, width: int, k: int, tol: float = 1e-10, max_passes: int = 200, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(eigenvalues, vectors) of X'X, the k largest, by a block Krylov iteration: each pass over the
+    rows multiplies one block; orthogonalisation and Rayleigh-Ritz are on width x (blocks of k + 4) numbers.
+
+    Ends when every wanted pair's residual is below ``tol`` of the largest value, or the space is exhausted."""
+    k = min(k, width)
+    p = min(width, k + 4)
+    block = np.linalg.qr(np.random.default_rng(seed).standard_normal((width, p)))[0]
+    basis, image = np.empty((width, 0)), np.empty((width, 0))
+    for _ in range(max_passes):
+        basis, image = np.hstack([basis, block]), np.hstack([image, _gram_times(rows, block)])
+        small = basis.T @ image
+        value, y = np.linalg.eigh((small + small.T) / 2)
+        y = y[:, ::-1]
+        value = value[::-1]
+        top, top_image = basis @ y[:, :p], image @ y[:, :p]
+        gap = np.linalg.norm(top_image[:, :k] - top[:, :k] * value[:k], axis=0)
+        if (gap <= tol * max(value[0], 1e-300)).all() or basis.shape[1] >= width:
+            return value[:k], top[:, :k]
+        fresh = image[:, -block.shape[1]:]
+        if basis.shape[1] + p > KRYLOV_BLOCKS * p:
+            fresh = top_image - top * value[:top.shape[1]]
+            kept = y[:, :max(1, KRYLOV_BLOCKS // 2) * p]
+            basis, image = basis @ kept, image @ kept
+        for _ in range(2):  # twice is enough
+            fresh = fresh - basis @ (basis.T @ fresh)
+        q, r = np.linalg.qr(fresh)
+        block = q[:, np.abs(np.diag(r)) > 1e-12 * max(value[0], 1e-300)][:, :width - basis.shape[1]]
+        block = block - basis @ (basis.T @ block)
+        if not block.shape[1]:
+            return value[:k], top[:, :k]
+        block = np.linalg.qr(block)[0]
+    raise RuntimeError(f"no convergence after {max_passes} passes: residuals {gap / value[0]}")
+
+
 def category_history_svd(flat: DataFrame, key: str, cat_cols: list[str], k: int = 12, name: str = "cat") -> DataFrame:
     """category_history_svd: one-hot of the flattened history columns ->
     truncated SVD (uncentred, like TruncatedSVD), output X V.
 
-    Every row has exactly one active indicator per column, so X'X is built
-    from the row's active indices: explode the index array twice (a constant
-    len(cat_cols)^2 pairs per row) and count per (i, j) -- a partially
-    aggregated job whose result is one-hot width^2, independent of the row
-    count.  Its eigen-decomposition (driver, tiny) gives V; the projection
-    looks the loadings up by index.  Signs: largest |loading| positive."""
-    levels = {}
-    for c in cat_cols:
-        levels[c] = [r[0] for r in flat.select(F.col(c).cast("string").alias("v")).distinct().orderBy("v").collect()]
-    offsets, width = {}, 0
-    for c in cat_cols:
-        offsets[c] = width
-        width += len(levels[c])
-
-    def idx(c):
-        expr = None
-        for j, v in enumerate(levels[c]):
-            cond = F.col(c).cast("string").isNull() if v is None else (F.col(c).cast("string") == F.lit(v))
-            expr = (F.when(cond, F.lit(offsets[c] + j)) if expr is None else expr.when(cond, F.lit(offsets[c] + j)))
-        return expr
-    rows = flat.select(key, F.array(*[idx(c) for c in cat_cols]).alias("__ix"))
-    pairs = (rows.select(F.explode("__ix").alias("i"), "__ix").select("i", F.explode("__ix").alias("j"))
-                 .groupBy("i", "j").agg(F.count(F.lit(1)).alias("n")).collect())
-    g = np.zeros((width, width))
-    for r in pairs:
-        g[r["i"], r["j"]] = r["n"]
-    w, v = np.linalg.eigh(g)
-    order = np.argsort(w)[::-1][:k]
-    v = v[:, order]
-    for j in range(v.shape[1]):
-        if v[np.argmax(np.abs(v[:, j])), j] < 0:
-            v[:, j] = -v[:, j]
-    comps = []
-    for j in range(v.shape[1]):
-        load = F.array(*[F.lit(float(x)) for x in v[:, j]])
-        expr = F.aggregate(F.col("__ix"), F.lit(0.0), lambda acc, i: acc + F.element_at(load, i + 1))
-        comps.append(expr.alias(f"{name}_history_svd_{j}"))
-    return rows.select(key, *comps)
+    The one-hot rows stay lists of places; the vectors come from passes over them (:func:`leading_vectors`),
+    and the projection adds up the loadings of a row's places.  Signs: largest |loading| positive.
+    On the driver: the loadings, width x (k + 4) for each block of the basis."""
+    rows, width = category_indices(flat, key, cat_cols)
+    if not width:
+        return rows.select(key, *[F.lit(0.0).alias(f"{name}_history_svd_{j}") for j in range(k)])
+    _, v = leading_vectors(rows, width, k)
+    v = v * np.where(v[np.abs(v).argmax(axis=0), np.arange(v.shape[1])] < 0, -1.0, 1.0)
+    out, made = rows, []
+    most = max(1, LOADING_BYTES // (8 * width))
+    for lo in range(0, v.shape[1], most):
+        shared = flat.sparkSession.sparkContext.broadcast(np.ascontiguousarray(v[:, lo:lo + most]))
+        names = [f"{name}_history_svd_{j}" for j in range(lo, min(lo + most, v.shape[1]))]
+        schema = T.StructType([*out.schema, *(T.StructField(c, T.DoubleType()) for c in names)])
+
+        def run(batches, shared=shared, place=out.columns.index("__ix"), schema=schema):
+            for b in batches:
+                ix = b.column(place)
+                size, flat_ix = pc.list_value_length(ix).to_numpy(), ix.flatten().to_numpy()
+                row = np.repeat(np.arange(len(size)), size)
+                made = [pa.array(np.bincount(row, shared.value[flat_ix, j], len(size))) for j in range(shared.value.shape[1])]
+                yield pa.RecordBatch.from_arrays([*b.columns, *made], names=schema.names)
+
+        out = out.mapInArrow(run, schema)
+        made += names
+    return out.select(key, *made)
 
 
 # ---------------------------------------------------------------- scaling

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from ..operators import folds as FO
 from ..operators import metrics as M
 from ..sources.fixtures import customer_labels, scores
+from ..spec import ensure_checkpoint_dir
 from . import oracle as O
 from .catalog import register
 
@@ -74,10 +77,8 @@ def _by_fold_sql() -> str:
         for a, b in ren.items():
             if x.startswith(a):
                 x = b + x[len(a):]
-        for a in ("FROM sw", "FROM c ", "FROM cp ", "JOIN tot ", "JOIN gc ", "JOIN gp ", "JOIN cap ", "FROM tot ", "FROM mt", "FROM c\n"):
-            pass
         pooled.append(x)
-    pooled = [p.replace("FROM sw", "FROM sw").replace(" FROM c ", " FROM c0 ").replace("FROM cp ", "FROM cp0 ")
+    pooled = [p.replace(" FROM c ", " FROM c0 ").replace("FROM cp ", "FROM cp0 ")
               .replace("JOIN tot ", "JOIN tot0 ").replace("FROM tot ", "FROM tot0 ").replace("JOIN gc ", "JOIN gc0 ")
               .replace("JOIN gp ", "JOIN gp0 ").replace("JOIN cap ", "JOIN cap0 ").replace("FROM mt", "FROM mt0")
               .replace("FROM c JOIN", "FROM c0 JOIN").replace("gc.s_", "gc0.s_").replace("gp.s_", "gp0.s_")
@@ -121,10 +122,15 @@ register("stratified_folds", W(O.CUSTOMER_LABELS, final="SELECT customer_id, tar
 
 
 def _bag(spark, sf):
-    """bag_predictions: mean over runs and folds per entity (runs = two score columns x 5 folds)."""
+    """bag_predictions: mean over the stored fits (2 runs x 5 folds) that predicted an entity."""
+    from ..operators import models as MD
     s = scores(spark, sf)
-    runs = s.select(F.col("id"), F.col("prediction").alias("p")).unionByName(s.select("id", F.col("prediction_2").alias("p")))
-    return runs.groupBy("id").agg(F.avg("p").alias("prediction"))
+    store = MD.FitStore(spark, f"{ensure_checkpoint_dir(spark)}/fits-{uuid.uuid4().hex}", "two score columns as runs")
+    fits = [(k, run) for k in range(5) for run in range(2)]
+    for k, run in fits:
+        rows = s.where(F.col("val_fold_n") == k).select("id", F.lit("oof").alias("split"), F.col("prediction_2" if run else "prediction").alias("p"))
+        store.write(k, run, rows, {})
+    return MD.bag_predictions(store.predictions(fits), "id")
 
 
 register("bag_predictions", W(O.SCORES, "g AS (SELECT id, avg(p) AS prediction FROM (SELECT id, prediction AS p FROM scores UNION ALL SELECT id, prediction_2 FROM scores) GROUP BY id)",

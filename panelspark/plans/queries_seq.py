@@ -3,12 +3,14 @@ encoders (SURVEY §2.9, §2.10) on the fixture panels."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from ..operators import encode as E
 from ..operators import history as H
 from ..operators import relational as R
 from ..operators import sequences as Q
+from ..operators.quantiles import exact_quantiles
 from ..sources.fixtures import DAYS_SPEC as DS
 from ..sources.fixtures import ORDERS_SPEC as SP
 from ..sources.fixtures import panel_days, panel_orders
@@ -104,8 +106,7 @@ CAP_COLS = ["p_2", "d_39"]
 
 
 def _bounds(df):
-    row = df.agg(*[F.percentile(c, QS).alias(c) for c in CAP_COLS]).first()
-    return R.learned_bounds({c: list(row[c]) for c in CAP_COLS})
+    return R.learned_bounds(exact_quantiles(df, {c: QS for c in CAP_COLS}))
 
 
 def _cap_ctes() -> list[str]:
@@ -339,6 +340,33 @@ def _cat_mode(spark, sf):
 
 register("cat_mode", _ord_sql(0, -1))(_cat_mode)
 
+
+
+# the four modes of the training driver on one frame: dictionaries of the training split alone
+def _coded(spark, sf, mode):
+    from ..operators import models as MD
+    p = panel_orders(spark, sf).select("customer_id", "seq", "dset", "p_2", *SP.cat)
+    out, names = MD.Encoding(p.where("dset = 'train' AND d_64 <> '5-LOW'"), list(SP.cat), mode).transform(p)
+    keep = ["customer_id", "seq", "p_2"]
+    if mode == "onehot":  # the places that are set
+        on = lambda c: F.filter(F.transform(vector_to_array(c), lambda x, i: F.when(x == 1, i)), lambda i: i.isNotNull())
+        return out.select(*keep, *[on(c).alias(c) for c in names])
+    return out.select(*keep, *[F.col(c).cast("int").alias(c) for c in names])
+
+
+def _coded_sql(mode):
+    ctes = [O.PANEL_ORDERS] + [f"dic_{c} AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code, CAST(count(*) OVER () AS INTEGER) AS k "
+                               f"FROM (SELECT DISTINCT {c} AS v FROM panel WHERE dset = 'train' AND d_64 <> '5-LOW' AND {c} IS NOT NULL) t)" for c in O.CAT]
+    one = {"drop": lambda c: [], "label": lambda c: [f"coalesce(dic_{c}.code, -1) AS {c}"],
+           "category": lambda c: [f"coalesce(dic_{c}.code, (SELECT max(k) FROM dic_{c})) AS {c}"],
+           "onehot": lambda c: [f"CASE WHEN coalesce(dic_{c}.code, 0) = 0 THEN CAST([] AS INTEGER[]) ELSE [dic_{c}.code - 1] END AS {c}_onehot"]}[mode]
+    sel = ", ".join(["p.customer_id", "p.seq", f"{O.stable('p.p_2')} AS p_2"] + [x for c in O.CAT for x in one(c)])
+    return W(*ctes, final=f"SELECT {sel} FROM panel p " + " ".join(f"LEFT JOIN dic_{c} ON p.{c} = dic_{c}.v" for c in O.CAT))
+
+
+for _m in ("drop", "label", "category", "onehot"):
+    register(f"cat_mode_{_m}", _coded_sql(_m))(lambda spark, sf, m=_m: _coded(spark, sf, m))
+
 # Category domains of the orders fixture (TPC-H order status / priority).
 D63_LEVELS = ["F", "O", "P"]
 D64_LEVELS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
