@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Iterator
 
@@ -125,22 +126,73 @@ def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix((prefix[end] - prefix[start]) * down[start] + (end - start).astype(U64))
 
 
+# -- words ------------------------------------------------------------------------
+# A word's bytes are taken eight at a time; each step multiplies and folds the state (splitmix64's
+# finaliser), so names have no algebraic structure that crafted words could use, unlike
+# polynomial hashes modulo 2**64.  The two halves are computed by different constants and never from
+# each other.  Words of over LONG bytes take 128 bits of BLAKE2b.
+LONG = 128
+#: Fixed odd constants of the two halves.
+KEYS = ((U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93)), (U64(0xC2B2AE3D27D4EB4F), U64(0xA0761D6478BD642F)))
+
+
+def word_spans(data: np.ndarray, offs: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first): the bytes of each word; the words of row i are first[i]..first[i + 1]."""
+    inside = is_word[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offs] = True
+    start, end = inside.copy(), inside.copy()
+    if len(data):
+        start[1:] &= ~inside[:-1] | edge[1:-1]
+        end[:-1] &= ~inside[1:] | edge[1:-1]
+    start = np.flatnonzero(start)
+    return start, np.flatnonzero(end) + 1, np.searchsorted(start, offs)
+
+
+def names(data: np.ndarray, start: np.ndarray, end: np.ndarray, halves: int = 2) -> list[np.ndarray]:
+    """The halves of the words' names."""
+    if not halves:
+        return []
+    size = end - start
+    padded = np.r_[data, np.zeros(8, np.uint8)]
+    eight = np.ndarray(len(data) + 1, "<u8", padded.data, strides=(1,))
+    out = [mix(size.astype(U64) * keys[0] + keys[1]) for keys in KEYS[:halves]]
+    long = np.flatnonzero(size > LONG)
+    at = np.flatnonzero(size <= LONG) if len(long) else None  # None: all
+    k = 0
+    while True:
+        if k:
+            n = size if at is None else size[at]
+            keep = np.flatnonzero(n > 8 * k)
+            at = keep if at is None else at[keep]
+            if not len(at):
+                break
+        elif not len(size) or (at is not None and not len(at)):
+            break
+        s, n = (start, size) if at is None else (start[at], size[at])
+        chunk = eight[s + 8 * k]
+        rest = np.minimum(n - 8 * k, 8).astype(U64)
+        chunk &= ~U64(0) >> (U64(64) - U64(8) * rest)
+        for h, keys in zip(out, KEYS):
+            if at is None:
+                h[:] = mix((h ^ chunk * keys[1]) * keys[0] + keys[1])
+            else:
+                h[at] = mix((h[at] ^ chunk * keys[1]) * keys[0] + keys[1])
+        k += 1
+    for i in long.tolist():
+        got = np.frombuffer(hashlib.blake2b(data[start[i]:end[i]].tobytes(), digest_size=16).digest(), U64)
+        for h, x in zip(out, got):
+            h[i] = x
+    return out
+
+
 class Words:
     """Words of a block of documents: spans in bytes, hashes, and the first word of each document."""
 
     def __init__(self, buf: np.ndarray, offs: np.ndarray, is_word: np.ndarray):
         low = LOWER[buf]
-        inside = is_word[low]
-        edge = np.zeros(len(buf) + 1, bool)
-        edge[offs] = True
-        start, end = inside.copy(), inside.copy()
-        if len(buf):
-            start[1:] &= ~inside[:-1] | edge[1:-1]
-            end[:-1] &= ~inside[1:] | edge[1:-1]
-        self.start = np.flatnonzero(start)
-        self.end = np.flatnonzero(end) + 1
-        self.first = np.searchsorted(self.start, offs)  # word range of row i: first[i]..first[i + 1]
-        self.hash = span_hash(prefix_hash(low), self.start, self.end)
+        self.start, self.end, self.first = word_spans(low, offs, is_word)  # word range of row i: first[i]..first[i + 1]
+        self.hash = names(low, self.start, self.end, 1)[0]
 
     def window(self, k: int) -> np.ndarray:
         """Hash of the k words from each word on (junk where fewer than k words follow in the block)."""

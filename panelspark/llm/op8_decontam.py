@@ -10,7 +10,7 @@ one item are joined to the longest verbatim match with its location in document
 
 Words are runs of letters, digits and non-ASCII bytes, A-Z lower-cased.  A window is ``window``
 consecutive words of an item; an item of fewer words, but not none, is one window.  Words are
-compared by 64-bit hashes.
+compared by 64-bit names without algebraic structure (``common.names``).
 
 The items are the stated query set: they are searched in blocks of at most ``ITEM_BLOCK_BYTES``
 of text, one pass over the documents for each block, and only one block at a time is collected
@@ -29,13 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _POWERS as POWERS
 from .common import Words, map_blocks, ship, wrapped
 
 WINDOW = 10
 GRAM = 4
 SHARD_BYTES = 4 << 20
 ITEM_BLOCK_BYTES = 16 << 20
+#: Places of a shard times items that hold their window, worked on at a time.
+PAIRS = 1 << 20
 MATCHES = "array<struct<item: string, item_word: int, doc_word: int, words: int>>"
 
 #: Word bytes: 0-9, a-z (after lower-casing) and everything beyond ASCII.
@@ -71,7 +72,7 @@ class TestSuffixes:
         self.keys[np.arange(window)[None, :] >= self.size[:, None]] = 0
         self.item, self.place = row[at].astype(np.int32), (at - words.first[row[at]]).astype(np.int32)
         # equal windows are searched once
-        order = np.lexsort([*self.keys.T[::-1], self.size])
+        order = np.lexsort([self.item, *self.keys.T[::-1], self.size])
         k, s = self.keys[order], self.size[order]
         new = np.r_[True, (k[1:] != k[:-1]).any(1) | (s[1:] != s[:-1])] if len(k) else np.zeros(0, bool)
         self.keys, self.size, self.item, self.place = k[new], s[new], self.item[order], self.place[order]
@@ -125,8 +126,11 @@ def spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return i, np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[i]
 
 
-def shard_matches(words: Words, tests: TestSuffixes) -> dict[int, list[dict]]:
-    """row -> its longest verbatim matches, by the shard's suffix array."""
+def shard_matches(words: Words, tests: TestSuffixes) -> dict[int, tuple[list[dict], list[str]]]:
+    """row -> (its longest verbatim matches, the items whose windows occur), by the shard's suffix array.
+
+    A stretch of words that several items hold is one match, of the first of them: a window that many items
+    share and a document repeats gives a match for each place, and its items once."""
     if not len(tests.keys) or not len(words.hash):
         return {}
     open_ = openings(words, tests.gram)
@@ -142,27 +146,50 @@ def shard_matches(words: Words, tests: TestSuffixes) -> dict[int, list[dict]]:
     which, place = spread(lo, hi)
     if not len(which):
         return {}
-    which, start = want[which], at[place]
-    # one entry for each item and place that the window comes from
-    i, source = spread(tests.group[which], tests.group[which + 1])
-    start, size = start[i], tests.size[which[i]].astype(np.int64)
-    item, from_ = tests.item[source].astype(np.int64), tests.place[source].astype(np.int64)
+    which, start = want[which], at[place]  # at most one window of each length for a place
     row = np.searchsorted(words.first, start, side="right") - 1
     word = start - words.first[row]
-    # windows that continue each other on one diagonal are one longer match
-    order = np.lexsort((word, word - from_, item, row))
-    row, item, from_, word, size = (x[order] for x in (row, item, from_, word, size))
-    new = np.r_[True, (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (word[1:] - from_[1:] != word[:-1] - from_[:-1]) | (word[1:] != word[:-1] + 1)]
-    head = np.flatnonzero(new)
-    length = np.r_[head[1:], len(row)] - head - 1 + size[head]
-    out: dict[int, list[dict]] = {}
-    for r, m, f, w, n in zip(*(x[head].tolist() for x in (row, item, from_, word)), length.tolist()):
-        out.setdefault(r, []).append({"item": tests.ids[m], "item_word": f, "doc_word": w, "words": n})
+    out: dict[int, tuple[list[dict], list[str]]] = {}
+    # items: of every window that a row holds, once
+    key = np.unique(row * np.int64(len(tests.group)) + which)
+    r, g = key // len(tests.group), key % len(tests.group)
+    ends = np.r_[np.flatnonzero(r[1:] != r[:-1]) + 1, len(r)]
+    for k, end in zip(np.r_[0, ends[:-1]].tolist(), ends.tolist()):
+        of = np.unique(np.concatenate([tests.item[tests.group[x]:tests.group[x + 1]] for x in g[k:end].tolist()]))
+        out[int(r[k])] = ([], [tests.ids[i] for i in of.tolist()])
+    # windows that continue each other on one diagonal are one longer match; the items go in slices
+    pairs = int((tests.group[which + 1] - tests.group[which]).sum())
+    slices = -(-pairs // PAIRS)
+    edge = np.linspace(0, len(tests.ids), slices + 1).astype(np.int64)
+    found = [np.empty((0, 5), np.int64)]
+    for first, last in zip(edge[:-1], edge[1:]):
+        a, z = (tests.group[which] + _below(tests, which, x) for x in (first, last))
+        i, source = spread(a, z)
+        if not len(i):
+            continue
+        got = np.stack([row[i], tests.item[source].astype(np.int64), tests.place[source].astype(np.int64), word[i], tests.size[which[i]].astype(np.int64)])
+        r, m, f, w, n = got[:, np.lexsort((got[3], got[3] - got[2], got[1], got[0]))]
+        new = np.r_[True, (r[1:] != r[:-1]) | (m[1:] != m[:-1]) | (w[1:] - f[1:] != w[:-1] - f[:-1]) | (w[1:] != w[:-1] + 1)]
+        head = np.flatnonzero(new)
+        length = np.r_[head[1:], len(r)] - head - 1 + n[head]
+        # row, word, words; then item and its word: the first item of each stretch stays
+        found.append(np.stack([r[head], w[head], length, m[head], f[head]], axis=1))
+        one = np.concatenate(found)
+        one = one[np.lexsort(one.T[::-1])]
+        found = [one[np.r_[True, (one[1:, :3] != one[:-1, :3]).any(1)]]]
+    for r, w, n, m, f in found[0].tolist():
+        out[r][0].append({"item": tests.ids[m], "item_word": f, "doc_word": w, "words": n})
     return out
 
 
+def _below(tests: TestSuffixes, which: np.ndarray, item: int) -> np.ndarray:
+    """How many sources of each window (sorted by item) belong to items before ``item``."""
+    one, back = np.unique(which, return_inverse=True)
+    return np.array([np.searchsorted(tests.item[tests.group[x]:tests.group[x + 1]], item) for x in one.tolist()], np.int64)[back]
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: int = WINDOW, item_block_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
-    """``docs`` with ``n_words`` (long) and ``matches`` (item, its word, the document's word, length)."""
+    """``docs`` with ``n_words`` (long), ``matches`` (an item, its word, the document's word, length) and ``items`` (all that occur)."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("id"), F.col("text").alias("text")).where("text is not null")
     total = items.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
@@ -171,8 +198,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: i
     for k in range(parts):
         block = items.where(F.pmod(F.xxhash64("id", "text"), F.lit(parts)) == k).collect() if total else []
         load = ship(spark, TestSuffixes([r.id for r in block], [r.text for r in block], window))
-        POWERS.clear()  # else the driver's table of powers would travel with the function
-        name = "matches" if parts == 1 else f"__matches_{k}"
+        name, held = ("matches", "items") if parts == 1 else (f"__matches_{k}", f"__items_{k}")
 
         def start(load=load):
             tests = load()
@@ -180,13 +206,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", window: i
             def rows(batch, buf, offs):
                 words = Words(buf, offs, IS_WORD)
                 by_row = shard_matches(words, tests)
-                return [pa.array(np.diff(words.first), pa.int64()), [by_row.get(i, []) for i in range(batch.num_rows)]]
+                none = ([], [])
+                return [pa.array(np.diff(words.first), pa.int64()), *([by_row.get(i, none)[j] for i in range(batch.num_rows)] for j in (0, 1))]
             return rows
 
-        out = map_blocks(out, text, f"n_words bigint, {name} {MATCHES}", start, SHARD_BYTES)
-        found.append(name)
+        out = map_blocks(out, text, f"n_words bigint, {name} {MATCHES}, {held} array<string>", start, SHARD_BYTES)
+        found.append((name, held))
     if parts > 1:
-        out = out.withColumn("matches", F.concat(*found)).drop(*found)
+        out = out.withColumns({"matches": F.concat(*(m for m, _ in found)), "items": F.concat(*(i for _, i in found))}).drop(*(c for f in found for c in f))
     return out
 
 
@@ -196,7 +223,7 @@ def flag(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     n_hit = F.expr("""aggregate(array_sort(transform(matches, m -> struct(m.doc_word as a, m.doc_word + m.words as b))),
         struct(0 as upto, 0L as n),
         (s, m) -> struct(greatest(s.upto, m.b) as upto, s.n + greatest(0, m.b - greatest(s.upto, m.a)) as n), s -> s.n)""")
-    return out.withColumns({"n_hit": n_hit, "items": F.expr("array_sort(array_distinct(matches.item))")}).withColumns(
+    return out.withColumns({"n_hit": n_hit, "items": F.expr("array_sort(array_distinct(items))")}).withColumns(
         {"n_items": F.size("items").cast("long"), "contaminated": F.col("n_hit") > 0})
 
 

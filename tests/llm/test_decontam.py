@@ -41,12 +41,13 @@ def shard(texts, items, window):
     offs = np.r_[0, np.cumsum([len(d) for d in data])].astype(np.int64)
     w = Words(np.frombuffer(b"".join(data), np.uint8), offs, op.IS_WORD)
     got = op.shard_matches(w, tests)
+    none = ([], [])
     out = []
     for i in range(len(texts)):
         hit = set()
-        for m in got.get(i, []):
+        for m in got.get(i, none)[0]:
             hit.update(range(m["doc_word"], m["doc_word"] + m["words"]))
-        out.append((int(w.first[i + 1] - w.first[i]), len(hit), sorted({m["item"] for m in got.get(i, [])})))
+        out.append((int(w.first[i + 1] - w.first[i]), len(hit), sorted(set(got.get(i, none)[1]))))
     return out
 
 
@@ -64,7 +65,7 @@ def test_longest_match_and_its_place():
     tests = op.TestSuffixes(["7"], [item])
     data = ("x y " + item + " z").encode()
     w = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), op.IS_WORD)
-    assert op.shard_matches(w, tests) == {0: [{"item": "7", "item_word": 0, "doc_word": 2, "words": 12}]}
+    assert op.shard_matches(w, tests) == {0: ([{"item": "7", "item_word": 0, "doc_word": 2, "words": 12}], ["7"])}
 
 
 @pytest.mark.parametrize("block", [1 << 20, 60])
@@ -96,3 +97,39 @@ def test_query_on_a_table(spark):
     import hashlib
     assert [(r.n_words, r.n_hit, r.n_items, r.items_sha256) for r in got] == [(n, h, len(i), hashlib.sha256(",".join(i).encode()).hexdigest()) for n, h, i in want]
     assert any(r.contaminated for r in got)
+
+
+def twins(n=10):
+    """A Thue-Morse word of 1,024 letters and its swap: equal under any odd base modulo 2**64."""
+    a = "a"
+    for _ in range(n):
+        a += a.translate(str.maketrans("ab", "ba"))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("n", [10, 11, 12])
+def test_words_that_collide_as_polynomials(n):
+    a, b = twins(n)
+    texts, items = [f"x {b} y", f"x {a} y", b[:-1], a], [(1, a), (2, "q " * 9 + a)]
+    assert shard(texts, items, 10) == brute(texts, items, 10)
+
+
+def test_shared_window_repeated_in_one_text(monkeypatch):
+    """1,000 items share a window that a text holds 1,000 times: a match for each place, the items once."""
+    window = " ".join(f"w{i}" for i in range(10))
+    tests = op.TestSuffixes([str(i) for i in range(1000)], [f"a{i} {window} b{i}" for i in range(1000)])
+    data = " . ".join([f"{window} z"] * 1000).encode()
+    w = Words(np.frombuffer(data, np.uint8), np.array([0, len(data)]), op.IS_WORD)
+    monkeypatch.setattr(op, "PAIRS", 50_000)
+    found, items = op.shard_matches(w, tests)[0]
+    assert len(found) == 1000 and len(items) == 1000
+    assert {(m["item"], m["item_word"], m["words"]) for m in found} == {("0", 1, 10)}
+
+
+def test_slices_of_items_change_nothing(monkeypatch):
+    rnd = random.Random(9)
+    v = ["a", "b", "c"]
+    texts = [" ".join(rnd.choice(v) for _ in range(60)) for _ in range(5)]
+    items = [(i, " ".join(rnd.choice(v) for _ in range(rnd.randint(1, 12)))) for i in range(20)]
+    monkeypatch.setattr(op, "PAIRS", 7)
+    assert shard(texts, items, 4) == brute(texts, items, 4)
