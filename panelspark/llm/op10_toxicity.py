@@ -137,12 +137,14 @@ def fit(docs: DataFrame, labels: DataFrame, max_positive: int = MAX_POSITIVE, ma
     if not n.toxic:
         return None
     share = prior or (n.toxic / n.n if n.toxic < n.n else DEFAULT_PRIOR)
-    pool = docs.where(~held_out()).select("doc_id", "text", F.abs(F.xxhash64(F.lit(10), "doc_id", "text") % 1_000_000).alias("draw"))
+    pool = docs.where(~held_out()).select("doc_id", "text")
     rows = pool.count()
-    some = lambda most, of: F.col("draw") < max(1, int(1_000_000 * min(1.0, most / max(1, of))))
-    toxic = pool.join(known.where("toxic = 1").select("doc_id"), "doc_id", "left_semi").where(some(max_positive, n.toxic))
-    other = pool.where(some(max_unlabelled, rows))
-    drawn = features(toxic.select("text", F.lit(1).alias("p")).unionAll(other.select("text", F.lit(0).alias("p"))))
+    draw = lambda *of: F.abs(F.xxhash64(F.lit(10), *of) % 1_000_000)
+    some = lambda most, of, *by: draw(*by) < max(1, int(1_000_000 * min(1.0, most / max(1, of))))
+    # toxic ids are drawn first, about max_positive of them, so that no text is moved: one scan, without a shuffle
+    ids = F.broadcast(known.where("toxic = 1").where(some(max_positive, n.toxic, "doc_id")).select("doc_id", F.lit(1).alias("toxic")))
+    kinds = F.array_compact(F.array(F.when(F.col("toxic") == 1, 1), F.when(some(max_unlabelled, rows, "doc_id", "text"), 0)))
+    drawn = features(pool.join(ids, "doc_id", "left").select("text", F.explode(kinds).alias("p")))
     # copies of one text count once, so that a large group of copies doesn't lead
     got = drawn.select("p", "features").distinct().orderBy(F.xxhash64("features")).toArrow()
     sample = []
