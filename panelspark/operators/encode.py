@@ -22,39 +22,52 @@ from .relational import join_small
 
 
 # ---------------------------------------------------------------- target-like means
+def category_stats(rows: DataFrame, cats, aggs: list[Column]) -> DataFrame:
+    """(feature, value, aggs) of every value of all categories, in one scan and one exchange;
+    written once, so that the lookups of all categories read it.  NULL is no value."""
+    from .ordered import pin
+    one = [F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in cats]
+    cells = rows.withColumn("__s", F.explode(F.array(*one))).where("__s.v IS NOT NULL")
+    return pin(cells.groupBy(F.col("__s.f").alias("feature"), F.col("__s.v").alias("value")).agg(*aggs))
+
+
+def lookup(df: DataFrame, stats: DataFrame, c: str, names: dict[str, str]) -> DataFrame:
+    """``df`` with columns of ``stats`` (new name -> column) for its value of category ``c``; unknown -> NULL."""
+    m = stats.where(F.col("feature") == c).select(F.col("value").alias("__v"), *(F.col(x).alias(n) for n, x in names.items()))
+    return join_small(df.withColumn("__v", F.col(c).cast("string")), m, "__v", "left").drop("__v")
+
+
 def cat_mean_last(df: DataFrame, spec: PanelSpec, cats, value: str = "p_2", keep=("dset",)) -> DataFrame:
     """encode_cat_mean_last: mean of ``value`` per category over the entities'
     last statements (all splits), mapped onto each entity's last statement.
     NULL category -> NULL."""
     last = H.tail_n(df, spec, 1)
+    stats = category_stats(last, cats, [F.avg(value).alias("mean")])
     out = last.select(spec.entity, *keep, *cats)
     for c in cats:
-        m = last.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(value).alias(f"{c}_p2_mean"))
-        out = join_small(out, m, c, "left")
+        out = lookup(out, stats, c, {f"{c}_p2_mean": "mean"})
     return out.drop(*cats)
 
 
 def cat_mean_all(df: DataFrame, spec: PanelSpec, cats, value: str = "p_2", keep=("dset",)) -> DataFrame:
     """encode_cat_mean_all: same over all statements, keyed by statement."""
     keys = [spec.entity, spec.ts] + ([spec.tiebreak] if spec.tiebreak else [])
+    stats = category_stats(df, cats, [F.avg(value).alias("mean")])
     out = df.select(*keys, *keep, *cats)
     for c in cats:
-        m = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(value).alias(f"{c}_p2_mean"))
-        out = join_small(out, m, c, "left")
+        out = lookup(out, stats, c, {f"{c}_p2_mean": "mean"})
     return out.drop(*cats)
 
 
 def cat_mean_flat(df: DataFrame, spec: PanelSpec, cats, value: str = "p_2") -> DataFrame:
     """encode_cat_mean_flat: last-statement category means on the 13
-    months-ago flattened category columns (encode first, then pivot)."""
-    last = H.tail_n(df, spec, 1)
-    enc = df
+    months-ago flattened category columns: the last row of each period by a partial
+    ``max_by``, then the lookups, then one column per period."""
+    stats = category_stats(H.tail_n(df, spec, 1), cats, [F.avg(value).alias("mean")])
+    rows = H.months_ago(df, spec, "__ma").where(F.col("__ma") < spec.max_periods)
+    enc = rows.groupBy(spec.entity, "__ma").agg(F.max_by(F.struct(*cats), spec.order_key()).alias("__r")).select(spec.entity, "__ma", "__r.*")
     for c in cats:
-        m = last.where(F.col(c).isNotNull()).groupBy(c).agg(F.avg(value).alias(f"__m_{c}"))
-        enc = join_small(enc, m, c, "left")
-    enc = H.months_ago(enc, spec, "__ma").where(F.col("__ma") < spec.max_periods)
-    w = Window.partitionBy(spec.entity, "__ma").orderBy(*spec.order_cols(desc=True))
-    enc = enc.withColumn("__k", F.row_number().over(w)).where("__k = 1")
+        enc = lookup(enc, stats, c, {f"__m_{c}": "mean"})
     return enc.groupBy(spec.entity).agg(*[
         F.max(F.when(F.col("__ma") == i, F.col(f"__m_{c}"))).alias(f"{c}_{i}_p2_mean")
         for c in cats for i in range(spec.max_periods)])
@@ -62,13 +75,8 @@ def cat_mean_flat(df: DataFrame, spec: PanelSpec, cats, value: str = "p_2") -> D
 
 # ---------------------------------------------------------------- ordinal / one-hot
 def ordinal_dictionary(df: DataFrame, cats) -> DataFrame:
-    """(feature, value, code): sorted distinct non-null values -> 0..k-1."""
-    parts = [df.where(F.col(c).isNotNull()).select(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")).distinct()
-             for c in cats]
-    d = parts[0]
-    for p in parts[1:]:
-        d = d.unionByName(p)
-    return number_dictionary(d)
+    """(feature, value, code): sorted distinct non-null values -> 0..k-1, of all categories in one scan."""
+    return number_dictionary(category_stats(df, cats, [F.count(F.lit(1)).alias("__n")]).drop("__n"))
 
 
 def number_dictionary(d: DataFrame) -> DataFrame:

@@ -110,6 +110,20 @@ def last_n_statements(df: DataFrame, spec: PanelSpec, n: int = 1) -> DataFrame:
     return tail_n(df, spec, n)
 
 
+def apply_panel(df: DataFrame, spec: PanelSpec, fn, schema, n: int | None = None) -> DataFrame:
+    """apply_panel: a function pandas frame -> pandas frame per entity, for what no expression can say.
+
+    It sees an entity's last ``n`` rows (``max_periods`` by default) in order: a top-n with a partial
+    WindowGroupLimit below the exchange cuts the history first, so a hot entity is a group like any other,
+    and the groups use the window's partitioning without a further exchange.  A NULL entity is one group."""
+    order = [spec.ts] + ([spec.tiebreak] if spec.tiebreak else [])
+
+    def one(pdf):
+        return fn(pdf.sort_values(order, kind="stable").reset_index(drop=True))
+
+    return tail_n(df, spec, n or spec.max_periods).groupBy(spec.entity).applyInPandas(one, schema)
+
+
 def dedup_keep_first(df: DataFrame, key, order) -> DataFrame:
     """dedup_keep_first: one row per key, the first by ``order``."""
     keys = [key] if isinstance(key, str) else list(key)

@@ -340,8 +340,13 @@ def _isin(spark, sf):
 
 register("filter_isin", W(O.PANEL_ORDERS, final="SELECT customer_id, seq FROM panel WHERE customer_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING')"))(_isin)
 
-register("filter_fold", W(O.SCORES, final="SELECT id, val_fold_n, val_fold_n = 2 AS is_val FROM scores"))(
-    lambda spark, sf: scores(spark, sf).select("id", "val_fold_n", (F.col("val_fold_n") == 2).alias("is_val")))
+def _filter_fold(spark, sf):
+    """filter_fold: the training rows (other folds) and the validation rows (the fold), as two filters."""
+    s = scores(spark, sf).select("id", "val_fold_n")
+    return s.where("val_fold_n <> 2").withColumn("is_val", F.lit(False)).unionByName(s.where("val_fold_n = 2").withColumn("is_val", F.lit(True)))
+
+
+register("filter_fold", W(O.SCORES, final="SELECT id, val_fold_n, val_fold_n = 2 AS is_val FROM scores"))(_filter_fold)
 
 register("sentinel_to_null", W(O.PANEL_ORDERS, PC, final=O.report(["b_1", "d_42"], ["customer_id", "seq"], "pc")))(
     lambda spark, sf: clean_panel(spark, sf).select("customer_id", "seq", "b_1", "d_42"))
@@ -572,12 +577,32 @@ register("except_last", W(O.PANEL_ORDERS, "d AS (SELECT *, dense_rank() OVER (PA
     lambda spark, sf: H.except_last(panel_orders(spark, sf), SP, 1).select("customer_id", "seq"))
 
 
+def _trend(spark, sf):
+    """apply_panel: slope and curvature of p_2 over each customer's last 13 statements, by numpy."""
+    def fit(pdf):
+        import numpy as np
+        import pandas as pd
+        y = pdf["p_2"].to_numpy()
+        x = np.arange(len(y), dtype=float)
+        dx = x - x.mean()
+        slope = float((dx * y).sum() / (dx * dx).sum()) if len(y) > 1 else None
+        return pd.DataFrame({"customer_id": [pdf["customer_id"].iloc[0]], "n": [len(y)], "slope": [slope]})
+
+    return H.apply_panel(panel_orders(spark, sf).select("customer_id", "s_2", "seq", "p_2"), SP, fit, "customer_id long, n long, slope double")
+
+
+register("apply_panel", W(O.PANEL_ORDERS, f"r AS ({O.ranked()})", "l AS (SELECT customer_id, p_2, row_number() OVER (PARTITION BY customer_id ORDER BY s_2, seq) AS x FROM r WHERE rd <= 13)",
+                          "g AS (SELECT customer_id, count(*)::BIGINT AS n, regr_slope(p_2, x) AS slope FROM l GROUP BY customer_id)", final=O.report(["slope"], ["customer_id", "n"])))(_trend)
+
+
 def _halves(spark, sf):
-    e = R.distinct_entities(panel_orders(spark, sf), SP)
-    return e.withColumn("half", F.pmod(F.col("customer_id"), F.lit(2)).cast("int"))
+    """split_half_by_entity: both halves of the panel, each customer whole in one of them."""
+    halves = R.split_half_by_entity(panel_orders(spark, sf), "customer_id")
+    sides = [h.groupBy("customer_id").agg(F.count(F.lit(1)).alias("rows")) for h in halves]
+    return sides[0].unionByName(sides[1])
 
 
-register("split_half_by_entity", W(O.PANEL_ORDERS, final="SELECT DISTINCT customer_id, CAST(((customer_id % 2) + 2) % 2 AS INTEGER) AS half FROM panel"))(_halves)
+register("split_half_by_entity", W(O.PANEL_ORDERS, final="SELECT customer_id, count(*)::BIGINT AS rows FROM panel GROUP BY customer_id"))(_halves)
 
 
 # ------------------------------------------------------------------ §2.8 scalar functions

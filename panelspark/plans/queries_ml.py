@@ -133,7 +133,7 @@ register("model_logistic_elasticnet")(_single(lambda tr: MD.model_logistic(C=0.0
 
 # ------------------------------------------------------------------ optimality certificates
 # Standard-deviation units; a fit away from its optimum shows in the fourth decimal.
-TOL = dict(max_iter=200, tol=1e-12)
+TOL = dict(max_iter=100, tol=1e-12)
 
 
 def _certified(rows, features, C, l1_ratio=0.0):

@@ -181,3 +181,21 @@ def test_text_categories_in_sequence_v1(spark):
     df = spark.createDataFrame(rows, "customer_id long, s_2 string, seq long, x double, sex string").withColumn("s_2", F.col("s_2").cast("timestamp"))
     got = {r.customer_id: r.seq for r in Q.sequence_v1(df, SP.with_(num=("x",), cat=("sex",), max_periods=4)).collect()}
     assert got == {1: [[-2.0, -2.0], [0.0, 2.5], [-3.0, -3.0], [-1.0, -1.0]], 2: [[-3.0, -3.0]] * 3 + [[1.0, 1.0]]}
+
+
+def test_apply_panel_is_bounded_on_a_hot_entity(spark, hot):
+    """The function sees at most max_periods rows, in order, and the history is cut below the exchange."""
+    def see(pdf):
+        import pandas as pd
+        return pd.DataFrame({"customer_id": [pdf["customer_id"].iloc[0]], "n": [len(pdf)], "seqs": [",".join(map(str, pdf["seq"]))]})
+
+    rows = hot.select("customer_id", "s_2", "seq")
+    out = H.apply_panel(rows, SP, see, "customer_id long, n long, seqs string")
+    assert "WindowGroupLimit" in out._jdf.queryExecution().executedPlan().toString()
+    got = {r.customer_id: r.seqs for r in out.collect()}
+    r = F.row_number().over(SP.window(desc=True))
+    last = rows.withColumn("r", r).where("r <= 13").orderBy("s_2", "seq").collect()
+    want = {}
+    for x in last:
+        want.setdefault(x.customer_id, []).append(str(x.seq))
+    assert got == {k: ",".join(v) for k, v in want.items()} and len(want[-1]) == 13
