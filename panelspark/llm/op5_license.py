@@ -8,7 +8,10 @@ With A and B the bigrams of unit and template::
 
 As |A and B| is at most the smaller size, dice >= t needs |B| t / (2 - t) <= |A| <= |B| (2 - t) / t.
 These bounds pick the candidate templates of every unit before anything is intersected; units
-that no template's bounds admit go first, by their number of words.
+that no template's bounds admit go first, by their number of words.  And |A and B| >= |B| t / (2 - t)
+means that a unit holds one of any |B| - that + 1 bigrams of the template (pigeonhole): one regular
+expression over the longest bigrams of all templates, which are rare in other text, lets only those texts and
+then those lines through that may match; nothing is split into words before.
 
 Templates are a table of (license, text), by default the public notices below; it is the stated
 query set, joined by bigram count; it is broadcast if it is small (``MAX_TEMPLATE_BYTES``).
@@ -78,6 +81,20 @@ def bigrams(of: Column) -> Column:
     return F.when(F.size(of) > 1, F.array_distinct(F.zip_with(F.slice(of, 1, F.size(of) - 1), F.slice(of, 2, F.size(of) - 1), lambda a, b: F.concat_ws(" ", a, b)))).otherwise(F.array().cast("array<string>"))
 
 
+def openers(templates: list[list[str]], threshold: float) -> str:
+    """A regular expression that finds, in lower-cased text, one of each template's bigrams that a match must hold some of.
+
+    By the first letter of the first word, so that a place is left after a few comparisons."""
+    chosen = set()
+    for tb in templates:
+        least = math.ceil(len(tb) * threshold / (2 - threshold) - 1e-9)
+        chosen.update(sorted(tb, key=lambda g: (-len(g), g))[:len(tb) - max(1, least) + 1])
+    by_letter: dict[str, list[str]] = {}
+    for g in sorted(chosen):
+        by_letter.setdefault(g[0], []).append(g[1:].replace(" ", "[^a-z0-9]++"))
+    return "(?<![a-z0-9])(?:" + "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in by_letter.items()) + ")(?![a-z0-9])"
+
+
 def notices(spark) -> DataFrame:
     return spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(NOTICES)], "template int, license string, text string")
 
@@ -92,16 +109,22 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, text: str = "text"
     bounds = t.agg(F.min("low").alias("low"), F.max("high").alias("high")).first()
     if bounds.low is None:
         bounds = t.agg(F.lit(1).alias("low"), F.lit(0).alias("high")).first()
+    spread = t.agg(F.coalesce(F.sum((F.col("high") - F.col("low") + 1) * F.octet_length(F.array_join("tb", " "))), F.lit(0)).alias("n")).first().n
+    if 0 < spread <= MAX_TEMPLATE_BYTES:
+        may_match = openers([r.tb for r in t.select("tb").collect()], threshold)
+        docs = docs.where(F.lower(F.col(f"`{text}`")).rlike(may_match))
+    else:
+        may_match = None
     lines = F.split(F.col(f"`{text}`"), "\n")
     several = F.instr(F.col(f"`{text}`"), "\n") > 0
     units = docs.select(F.col(f"`{key}`").alias("__key"), F.posexplode(F.when(several, F.concat(F.array(F.col(f"`{text}`")), lines)).otherwise(F.concat(F.array(F.lit(None).cast("string")), lines))).alias("line", "unit"))
+    units = units.where(F.lower("unit").rlike(may_match)) if may_match else units
     counted = units.where(F.col("unit").isNotNull()).select("__key", "line", words(F.col("unit")).alias("w")).where(F.size("w") > F.lit(bounds.low))
     # distinct bigrams never outnumber the words, but repeated words may make them fewer
     sized = counted.select("__key", "line", F.size("w").cast("long").alias("n_words"), bigrams(F.col("w")).alias("ub")).where(F.size("ub").between(bounds.low, bounds.high))
     sized = sized.withColumn("n", F.size("ub"))
     # the templates whose bounds admit each size, as one row a size
     by_size = t.select(F.explode(F.sequence(F.col("low").cast("int"), F.col("high").cast("int"))).alias("n"), F.struct("template", "license", "tb").alias("t")).groupBy("n").agg(F.collect_list("t").alias("ts"))
-    spread = t.agg(F.coalesce(F.sum((F.col("high") - F.col("low") + 1) * F.octet_length(F.array_join("tb", " "))), F.lit(0)).alias("n")).first().n
     pairs = sized.join(F.broadcast(by_size) if spread <= MAX_TEMPLATE_BYTES else by_size, "n")
     scored = F.transform("ts", lambda x: F.struct(
         (2.0 * F.size(F.array_intersect(F.col("ub"), x["tb"])) / (F.col("n") + F.size(x["tb"]))).alias("dice"), (-x["template"]).alias("order"), x["license"].alias("license"), x["template"].alias("template")))

@@ -118,7 +118,7 @@ u AS (
   SELECT doc_id, x[1] AS line, x[2] AS unit FROM l
   UNION ALL SELECT doc_id, 0, text FROM documents WHERE contains(text, chr(10))),
 w AS (SELECT doc_id, line, regexp_extract_all(lower(unit), '[a-z0-9]+') AS w FROM u),
-b AS (SELECT doc_id, line, len(w) AS n_words, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS ub FROM w WHERE len(w) BETWEEN 2 AND 400),
+b AS (SELECT doc_id, line, len(w) AS n_words, list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) AS ub FROM w WHERE len(w) > 1),
 d AS (
   SELECT doc_id, line, license, template, n_words, 2.0::DOUBLE * len(list_intersect(ub, tb)) / (len(ub) + len(tb)) AS dice
   FROM b JOIN t ON len(ub) BETWEEN len(tb) * 0.6 AND len(tb) * 1.6)
