@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -26,17 +27,19 @@ class Scratch:
     """Parquet tables in the cluster's shared folder (``spark.checkpoint.dir``).
 
     A written table cuts the lineage and survives lost executors.  ``drop`` deletes
-    what was written, once no DataFrame that reads it is needed any more.
+    what was written, once no DataFrame that reads it is needed any more.  A query's result still reads
+    what it wrote, so the query cannot drop it: all of an application's tables lie in one folder and one
+    database of its own, and ``clear_scratch`` removes both once the results are written.
     """
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
-        self.root = ensure_checkpoint_dir(spark).rstrip("/")
+        self.root, self.database = scratch_places(spark)
         self.paths: list[str] = []
         self.tables: list[str] = []
 
     def path(self, name: str) -> str:
-        p = f"{self.root}/llm-{name}-{uuid.uuid4().hex[:12]}"
+        p = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
         self.paths.append(p)
         return p
 
@@ -48,22 +51,39 @@ class Scratch:
     def write_bucketed(self, df: DataFrame, name: str, *keys: str) -> DataFrame:
         """The same as a table bucketed by ``keys``, so that joins on them don't move its rows."""
         p = self.path(name)
-        self.tables.append(p.rsplit("/", 1)[1].replace("-", "_"))
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/database'")
+        self.tables.append(f"{self.database}.{p.rsplit('/', 1)[1].replace('-', '_')}")
         n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         df.write.option("compression", "zstd").bucketBy(n, *keys).option("path", p).saveAsTable(self.tables[-1])
         return self.spark.table(self.tables[-1])
 
     def drop(self) -> None:
-        jvm, conf = self.spark._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
         for p in self.paths:
-            at = jvm.org.apache.hadoop.fs.Path(p)
-            at.getFileSystem(conf).delete(at, True)
+            _delete(self.spark, p)
         for t in self.tables:
             self.spark.sql(f"DROP TABLE IF EXISTS {t}")
         self.paths.clear()
         self.tables.clear()
 
 
+def scratch_places(spark: SparkSession) -> tuple[str, str]:
+    """The application's folder below the shared one, and its database."""
+    app = re.sub("[^A-Za-z0-9]", "_", spark.sparkContext.applicationId)
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm_{app}", f"llm_{app}".lower()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete all that the operators of this application wrote for themselves; results not yet written are lost."""
+    root, database = scratch_places(spark)
+    spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+    _delete(spark, root)
+
+
 # -- blocks of text bytes ---------------------------------------------------------
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string column without copying it row by row; null is empty."""
