@@ -5,14 +5,15 @@ hold them (``p`` before a block, ``li`` before ``li``, cells and rows of tables,
 close up to their element if it is open in scope, void elements hold nothing, raw text elements
 hold text only.  Elements that a browser does not render hide all they hold: head, scripts,
 styles, templates, embedded media and their fallbacks (canvas, object, video, audio, iframe), closed
-details and dialogs, ``hidden``, ``display: none`` and ``visibility: hidden``; of svg all but its
+details and dialogs, ``hidden`` and ``display: none``; ``visibility`` is inherited, so a part of
+a hidden element may be shown again; of svg all but its
 labels (``text``, ``foreignObject``), of math its annotations and phantoms.  Formulas are written in
 the order of their parts, ``textarea`` with its lines.  Left out on purpose, although browsers show
 them: the option shown by ``select``, placeholders, and text that style sheets add.
 
-What is visible comes out as laid-out text: white space collapses (but not in ``pre``), inline text
+What is visible comes out as laid-out text: white space collapses (but not in ``pre`` or where the ``style`` says so), inline text
 flows, blocks start lines, paragraphs and the like stand between blank lines, ``br`` breaks lines,
-list items are indented below their list with ``-`` or their number, and table cells are set in
+list items are indented below their list with ``-`` or their number (downwards in a ``reversed`` list with a start), and table cells are set in
 columns of equal width (spanning cells take their columns, wide characters two places).
 
 Edge cases: null html is the empty page and gives ``''``; broken or unclosed markup gives the text
@@ -70,7 +71,10 @@ SCOPE = frozenset("table td th caption html template".split())
 
 TAG = re.compile(r"<!--(?:>|->|.*?(?:--!?>|\Z))|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-HIDES = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))\b", re.I)
+HIDES = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+VISIBILITY = re.compile(r"(?:^|;)\s*visibility\s*:\s*(hidden|collapse|visible)\b", re.I)
+WHITE_SPACE = re.compile(r"(?:^|;)\s*white-space\s*:\s*(pre|pre-wrap|break-spaces|normal|nowrap)\b(?!-)", re.I)
+COMMENT = re.compile(r"/\*.*?(?:\*/|\Z)", re.S)
 SPACE = re.compile(r"[ \t\n\f\r]+")
 
 
@@ -181,8 +185,10 @@ class Page:
     def __init__(self):
         self.open: list[str] = []
         self.places: dict[str, list[int]] = {}  # of the open elements of each name
-        self.hidden = self.preformatted = 0
+        self.hidden = 0
         self.hides: list[bool] = []
+        self.seen: list[bool] = []  # visibility and kept white space, both inherited
+        self.keeps: list[bool] = []
         self.box = Box()
         self.outer: list[tuple] = []  # boxes around cells and captions
         self.tables: list[Table] = []
@@ -245,7 +251,11 @@ class Page:
 
     # -- rendering ----------------------------------------------------------------
     def push(self, tag: str, a: dict) -> None:
-        hide = tag in HIDDEN or any(tag in HIDDEN_IN[f] for f in FOREIGN if self.places.get(f)) or "hidden" in a and a["hidden"].lower() != "until-found" or "style" in a and bool(HIDES.search(a["style"])) or tag == "dialog" and "open" not in a
+        style = COMMENT.sub("", a["style"]) if "style" in a else ""
+        hide = tag in HIDDEN or any(tag in HIDDEN_IN[f] for f in FOREIGN if self.places.get(f)) or "hidden" in a and a["hidden"].lower() != "until-found" or bool(HIDES.search(style)) or tag == "dialog" and "open" not in a
+        said, space = VISIBILITY.findall(style), WHITE_SPACE.findall(style)
+        self.seen.append(said[-1].lower() == "visible" if said else not self.seen or self.seen[-1])
+        self.keeps.append(space[-1].lower() not in ("normal", "nowrap") if space else tag in ("pre", "textarea") or bool(self.keeps) and self.keeps[-1])
         if tag == "details":
             self.details.append("open" in a)
         elif self.details and not self.details[-1] and tag != "summary" and self.open and self.open[-1] == "details":
@@ -258,10 +268,9 @@ class Page:
             self.box.space = True
         if tag in BLOCK and not self.hidden:
             self.box.block(tag in GAP and not (tag in LISTS and self.lists))
-        if tag in ("pre", "textarea"):
-            self.preformatted += 1
-        elif tag in LISTS:
-            self.lists.append([tag == "ol", int(a["start"]) if re.fullmatch(r"-?\d{1,9}", a.get("start", "")) else 1])
+        if tag in LISTS:
+            start = int(a["start"]) if re.fullmatch(r"-?\d{1,9}", a.get("start", "")) else None
+            self.lists.append([tag == "ol", 1 if start is None else start, -1 if "reversed" in a and start is not None else 1])
         elif tag in ("li", "blockquote", "dd"):
             self.undo.append((self.box.indent, self.box.marker))
             mark = "  "
@@ -269,8 +278,8 @@ class Page:
                 mark = "- "
                 if self.lists and self.lists[-1][0]:
                     n = int(a["value"]) if re.fullmatch(r"-?\d{1,9}", a.get("value", "")) else self.lists[-1][1]
-                    self.lists[-1][1], mark = n + 1, f"{n}. "
-                if not self.hidden:
+                    self.lists[-1][1], mark = n + self.lists[-1][2], f"{n}. "
+                if not self.hidden and self.seen[-1]:
                     self.box.marker = mark
             self.box.indent += " " * len(mark)
         elif tag == "table":
@@ -306,9 +315,7 @@ class Page:
             self.box.block(tag in GAP and not (tag in LISTS and len(self.lists) > 1))
         if tag == "text" or tag in APART:
             self.box.space = True
-        if tag in ("pre", "textarea"):
-            self.preformatted -= 1
-        elif tag in LISTS and self.lists:
+        if tag in LISTS and self.lists:
             self.lists.pop()
         elif tag in ("li", "blockquote", "dd") and self.undo:
             if self.box.marker and not self.hidden:
@@ -317,6 +324,8 @@ class Page:
         elif tag == "details" and self.details:
             self.details.pop()
         self.hidden -= self.hides.pop()
+        self.seen.pop()
+        self.keeps.pop()
 
     def void(self, tag: str, a: dict) -> None:
         if self.hidden or "hidden" in a:
@@ -325,17 +334,17 @@ class Page:
             self.box.end_line(True)
         elif tag == "hr":
             self.box.block(True)
-        elif tag == "input" and a.get("type", "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number") and a.get("value"):
+        elif tag == "input" and (not self.seen or self.seen[-1]) and a.get("type", "text").lower() in ("submit", "button", "reset", "text", "search", "email", "url", "tel", "number") and a.get("value"):
             self.text(a["value"])
 
     def text(self, s: str) -> None:
-        if not s or self.hidden or self.details and not self.details[-1] and self.open[-1] == "details":
+        if not s or self.hidden or self.seen and not self.seen[-1] or self.details and not self.details[-1] and self.open[-1] == "details":
             return
         if self.open and self.open[-1] in ("table", "thead", "tbody", "tfoot", "tr") and not s.strip(" \t\n\f\r"):
             return
         if self.places.get("svg") and self.top({"svg"}) > self.top({"text", "foreignobject"}):
             return  # svg shows text in its labels only
-        if self.preformatted:
+        if self.keeps and self.keeps[-1]:
             self.box.pre(s.replace("\r\n", "\n"))
         else:
             self.box.text(s)

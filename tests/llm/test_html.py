@@ -43,6 +43,16 @@ def test_formulas_labels_and_fields(html, text):
     assert op.render(html) == text
 
 
+@pytest.mark.parametrize("html,text", [
+    ('<div style="visibility:hidden">x<span style="visibility:visible">y</span></div>', "y"), ("<p style='visibility:collapse'>a<b style='visibility: visible !important'>b</b>c</p>d", "b\n\nd"),
+    ("<div style='display:none'>x<span style='visibility:visible'>y</span></div>z", "z"), ("<div style='display:/**/none'>x</div>y", "y"), ("<div style='/* display:none */'>x</div>y", "x\ny"),
+    ("<div style='white-space:pre'>a\n  b</div>", "a\n  b"), ("<pre style='white-space:normal'>a\n  b</pre>", "a b"), ("<div style='white-space: pre-line'>a\n  b</div>", "a b"),
+    ("<ol reversed start=3><li>x<li>y<li>z</ol>", "3. x\n2. y\n1. z"), ("<ul><li style='visibility:hidden'>x<li>y</ul>", "- y"),
+    ("<table><tr><td style='visibility:hidden'>abc<td>d<tr><td>x<td>y</table>", "   d\nx  y")])
+def test_inherited_styles(html, text):
+    assert op.render(html).rstrip() == text
+
+
 def test_nesting_and_junk_take_linear_time():
     began = time.time()
     assert op.render("<div>" * 100_000 + "x") == "x"
