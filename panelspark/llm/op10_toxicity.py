@@ -100,6 +100,22 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
+def risk(p: Sparse, u: Sparse, w: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """(positive part, negative part, step direction) of the risk at weights and bias ``w``.
+
+    The direction is the gradient of the sum of both parts; while the negative part is below 0, that of its opposite alone."""
+    gp, gu = p.dot(w[:-1]) + w[-1], u.dot(w[:-1]) + w[-1]
+    sp, su = sigmoid(gp), sigmoid(gu)
+    positive = prior * np.logaddexp(0, -gp).mean()
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    d_pos, d_neg_u, d_neg_p = prior * (sp - 1) / p.n, su / u.n, -prior * sp / p.n
+    if negative >= 0:
+        dp, du = d_pos + d_neg_p, d_neg_u
+    else:  # the part that must not be negative is pushed back up
+        dp, du = -d_neg_p, -d_neg_u
+    return float(positive), float(negative), np.r_[p.back(dp) + u.back(du), dp.sum() + du.sum()]
+
+
 def train(positive: Rows, unlabelled: Rows, prior: float, steps: int = 400, rate: float = 0.2, l2: float = 2e-5, screen: float = SCREEN, min_positive: int = MIN_POSITIVE) -> dict:
     """Weights by bucket and the bias, by full-batch Adam on the non-negative risk."""
     in_p, in_u = positive.counts(), unlabelled.counts()
@@ -110,15 +126,7 @@ def train(positive: Rows, unlabelled: Rows, prior: float, steps: int = 400, rate
     w, m, v = (np.zeros(len(used) + 1) for _ in range(3))
     w[-1] = np.log(prior / (1 - prior))
     for t in range(1, steps + 1):
-        gp, gu = p.dot(w[:-1]) + w[-1], u.dot(w[:-1]) + w[-1]
-        sp, su = sigmoid(gp), sigmoid(gu)
-        negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        d_pos, d_neg_u, d_neg_p = prior * (sp - 1) / p.n, su / u.n, -prior * sp / p.n
-        if negative >= 0:
-            dp, du = d_pos + d_neg_p, d_neg_u
-        else:  # the part that must not be negative is pushed back up
-            dp, du = -d_neg_p, -d_neg_u
-        grad = np.r_[p.back(dp) + u.back(du), dp.sum() + du.sum()]
+        grad = risk(p, u, w, prior)[2]
         grad[:-1] += l2 * w[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad ** 2
         lr = rate * (1 - (t - 1) / steps)

@@ -28,6 +28,35 @@ def test_non_negative_risk_learns_from_positives_and_unlabelled():
     assert (s[toxic] > 0).mean() > 0.95 and (s[~toxic] > 0).mean() < 0.02
 
 
+def test_risk_and_gradient_equal_plain_loops():
+    """Both parts of the risk by a loop over rows; the direction by finite differences, on both sides of 0."""
+    rng = np.random.default_rng(1)
+    rows = lambda n: [np.unique(rng.choice(8, rng.integers(0, 6))).astype(np.int64) for _ in range(n)]
+    signs = set()
+    for prior in (0.1, 0.5, 0.9):
+        pos, unl = [np.union1d(r, [0]) for r in rows(9)], [np.setdiff1d(r, [0]) for r in rows(14)]
+        p, u = (op.Sparse(op.Rows.of(x), np.arange(8)) for x in (pos, unl))
+        for scale in (0.3, 4.0):
+            w = rng.normal(size=9) * scale - 2.0
+            w[0] = 3 * scale
+
+            def parts(w):
+                g = lambda r: sum(w[int(b)] for b in r) + w[-1]
+                loss = lambda z: float(np.log1p(np.exp(-z)))
+                neg = sum(loss(-g(r)) for r in unl) / len(unl) - prior * sum(loss(-g(r)) for r in pos) / len(pos)
+                return prior * sum(loss(g(r)) for r in pos) / len(pos), neg
+
+            a, b, direction = op.risk(p, u, w, prior)
+            assert np.allclose([a, b], parts(w))
+            signs.add(b >= 0)
+            total = (lambda w: sum(parts(w))) if b >= 0 else (lambda w: -parts(w)[1])
+            for j in range(9):
+                e = np.zeros(9)
+                e[j] = 1e-6
+                assert np.isclose((total(w + e) - total(w - e)) / 2e-6, direction[j], atol=1e-7)
+    assert signs == {True, False}
+
+
 def test_held_out_accuracy_on_a_table(spark):
     from panelspark.llm.queries import QUERIES, table
     d = "/root/testdata/sf0.1"
