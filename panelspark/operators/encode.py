@@ -144,6 +144,18 @@ def category_documents(df: DataFrame, spec: PanelSpec, cats) -> DataFrame:
     return df.groupBy(spec.entity).agg(*aggs)
 
 
+def document_chunks(df: DataFrame, spec: PanelSpec, c: str, rows: int = 10_000) -> DataFrame:
+    """agg_concat_doc in pieces: (entity, chunk, text), a chunk for each ``rows`` statements in order; the
+    document is its chunks joined by a space.
+
+    Statement numbers come from the range-split scan, so a hot entity's document is made by many
+    tasks, and none holds more than a chunk.  A sink writes the chunks in order (``sink_documents``)."""
+    numbered = H.entity_scan(df.select(spec.entity, spec.ts, *([spec.tiebreak] if spec.tiebreak else []), c), spec, row_number="__rn")
+    v = F.struct("__rn", F.coalesce(F.col(c).cast("string"), F.lit("nan")).alias("v"))
+    g = numbered.groupBy(spec.entity, F.floor((F.col("__rn") - 1) / rows).alias("chunk")).agg(F.array_sort(F.collect_list(v)).alias("__s"))
+    return g.select(spec.entity, "chunk", F.array_join(F.transform("__s", lambda x: x["v"]), " ").alias("text"))
+
+
 def _char_counts(docs: DataFrame, key: str, doc: str) -> DataFrame:
     return (docs.select(key, F.explode(F.split(F.lower(F.col(doc)), "")).alias("ch")).where(F.col("ch") != "")
                 .groupBy(key, "ch").agg(F.count(F.lit(1)).cast("double").alias("tf")))

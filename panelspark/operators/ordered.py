@@ -36,16 +36,11 @@ def pin(d: DataFrame) -> DataFrame:
     and its range exchange could re-sample the bounds (when the input is
     cached, or exchange reuse is off).  The ids would then disagree; read from
     one checkpoint they cannot.  The checkpoint also cuts the lineage, so a
-    lost executor does not recompute the shuffle."""
-    from pyspark import StorageLevel
-
+    lost executor does not recompute the shuffle.  An eager checkpoint runs its plan once
+    (``tests/test_skew.py`` counts), so nothing is persisted for it."""
     from ..spec import ensure_checkpoint_dir
     ensure_checkpoint_dir(d.sparkSession)
-    # persisted first: otherwise the checkpoint write recomputes the whole pass
-    d = d.persist(StorageLevel.MEMORY_AND_DISK)
-    out = d.checkpoint(eager=True)
-    d.unpersist()
-    return out
+    return d.checkpoint(eager=True)
 
 
 def entity_scan(df: DataFrame, spec: PanelSpec, lag: dict | None = None, ffill: dict | None = None,

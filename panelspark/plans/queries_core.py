@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as S
 from ..operators import aggregates as A
+from ..operators import encode as E
 from ..operators import features as feat
 from ..operators import history as H
 from ..operators import relational as R
@@ -84,6 +85,10 @@ def _concat_doc(spark, sf):
 register("agg_concat_doc", W(O.PANEL_ORDERS, final="SELECT customer_id, string_agg(coalesce(d_63, 'nan'), ' ' ORDER BY s_2, seq) AS d_63_doc FROM panel GROUP BY customer_id"))(_concat_doc)
 
 
+register("agg_concat_doc_chunks", W(O.PANEL_ORDERS, f"r AS ({O.ranked()})", final="SELECT customer_id, (rn - 1) // 4 AS chunk, string_agg(coalesce(d_63, 'nan'), ' ' ORDER BY rn) AS text FROM r GROUP BY 1, 2"))(
+    lambda spark, sf: E.document_chunks(panel_orders(spark, sf), SP, "d_63", rows=4))
+
+
 def _null_stats(spark, sf):
     p = A.with_order_key(panel_orders(spark, sf), SP)
     flags = p.select("customer_id", A.OK, *[S.is_null_or_sentinel(c, -1).alias(c) for c in SP.num])

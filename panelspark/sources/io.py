@@ -108,3 +108,10 @@ def sink_sequences(seqs: DataFrame, path: str, mode: str = "overwrite") -> str:
     """sink_sequences: sequences stay keyed rows (key + array columns) in Parquet."""
     seqs.write.mode(mode).parquet(path)
     return path
+
+
+def sink_documents(chunks: DataFrame, path: str, entity: str, mode: str = "overwrite") -> None:
+    """sink of chunked documents: Parquet, range-partitioned and sorted by (entity, chunk), so that a reader streams
+    a document's chunks in order and a document of any length lies in several files."""
+    order = [F.col(entity).asc(), F.col("chunk").asc()]
+    chunks.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).parquet(path)

@@ -199,3 +199,30 @@ def test_apply_panel_is_bounded_on_a_hot_entity(spark, hot):
     for x in last:
         want.setdefault(x.customer_id, []).append(str(x.seq))
     assert got == {k: ",".join(v) for k, v in want.items()} and len(want[-1]) == 13
+
+
+def test_document_chunks_of_a_hot_entity(spark, hot, tmp_path):
+    """The chunks joined are the document; a hot entity's document is made of many, and the sink keeps their order."""
+    from panelspark.operators import encode as E
+    from panelspark.sources import io
+    want = {r.customer_id: r.s_doc for r in E.category_documents(hot, SP, ["s"]).collect()}
+    chunks = E.document_chunks(hot, SP, "s", rows=100)
+    assert chunks.where("customer_id = -1").count() == -(-hot.where("customer_id = -1").count() // 100)
+    io.sink_documents(chunks, str(tmp_path / "docs"), "customer_id")
+    got = {}
+    for r in spark.read.parquet(str(tmp_path / "docs")).orderBy("customer_id", "chunk").collect():
+        got[r.customer_id] = f"{got[r.customer_id]} {r.text}" if r.customer_id in got else r.text
+    assert got == want
+
+
+def test_pin_runs_its_plan_once(spark):
+    from panelspark.operators.ordered import pin
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    out = pin(spark.range(1000).mapInArrow(count, "id long"))
+    assert out.count() == 1000 and seen.value == 1000
