@@ -6,10 +6,10 @@ value under that tree's and level's hash function), so a pair of Jaccard similar
 with probability J.  Nodes of up to ``LEAF`` members are compared exhaustively, first
 by their chosen tokens, then on full sets;
 larger ones branch on, up to ``LEVELS`` levels.  A pair of similarity J is missed by all trees with
-probability (1 - J**d)**TREES if its nodes are small at level d: at J = 0.85 about 1e-13 for d = 1,
-6e-6 for d = 4 and 5e-4 for d = 6.  Sets that meet others in fewer than ``MEET`` trees at the first
-level are left out beforehand: similar sets meet each other in about J * TREES trees, and in fewer
-than ``MEET`` with probability 1e-7 at J = 0.85 and 3e-6 at J = 0.8, while sets that share a common
+probability (1 - J**d)**trees if its nodes are small at level d.  There are as many trees as keep this
+below ``MISSED`` at the threshold and the last level (``trees_for``: 16 at 0.85, 25 at 0.8).  Sets that meet others in fewer
+than ``meets_for`` trees at the first level are left out beforehand: similar sets meet each other in about
+J * trees trees, and in fewer than that with probability below ``PRUNED``, while sets that share a common
 phrase only meet in one or two.  Within a node the same holds for pairs, so only the parts of a node
 that are connected by such pairs are compared on full sets, and a part that several trees found once.
 
@@ -31,21 +31,25 @@ named like an output column are replaced.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.relational import opaque
 from .common import BASE, MASK, Scratch, Words, blocks, mix, text_bytes, unwrapped, wrapped
 from .op6_suffix_dedup import distinct_texts
 
 SHINGLE = 5
-TREES = 16
+TREES = 16  # at least
 LEVELS = 6
 LEAF = 256
-#: Trees in which a set must meet others at the first level to be compared at all.
-MEET = 5
+#: Highest shares of pairs at the threshold that may be missed: by all trees at the last level, and by leaving out sets.
+MISSED = 5.2e-4
+PRUNED = 1e-6
 U64 = np.uint64
 
 #: Word bytes: all but white space.
@@ -53,6 +57,20 @@ IS_WORD = np.ones(256, bool)
 IS_WORD[0x20] = IS_WORD[0x09:0x0E] = False
 
 
+def trees_for(percent: int, levels: int = LEVELS) -> int:
+    """Trees of which all miss a pair at the threshold with a probability of ``MISSED`` at most."""
+    j = percent / 100
+    return max(TREES, math.ceil(math.log(MISSED) / math.log(1 - min(j, 0.999) ** levels)))
+
+
+def meets_for(percent: int, trees: int) -> int:
+    """In how many trees a pair at the threshold shares the first node, but for a probability of ``PRUNED``; at least 1."""
+    j, m, below = percent / 100, 0, 0.0
+    while m < trees and (below := below + math.comb(trees, m) * j ** m * (1 - j) ** (trees - m)) <= PRUNED:
+        m += 1
+    return max(1, m)
+
+
 # -- sets and paths ----------------------------------------------------------------------
 def shingle_sets(buf: np.ndarray, offs: np.ndarray, k: int = SHINGLE):
     """Yield each row's sorted distinct shingle hashes."""
@@ -140,14 +158,13 @@ def block_forest(sets: list[np.ndarray], percent: int) -> list[int]:
         root = new
 
 
-def _agreeing(members: DataFrame, sketches: DataFrame, trees: int) -> DataFrame:
-    """The parts of each block whose sets choose the same first token in ``MEET`` trees, as blocks of their own.
+def _agreeing(members: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
+    """The parts of each block whose sets choose the same first token in ``least`` trees, as blocks of their own.
 
     A part is named after its members, so that one group that several trees found is compared once.
     """
     schema = StructType.fromDDL("block bigint, cls bigint")
     rows = members.join(sketches.select(F.col("cid").alias("cls"), "first"), "cls").select("block", "cls", "first")
-    least = min(MEET, trees)
 
     def parts(cls: np.ndarray, first: np.ndarray):
         cls, at = np.unique(cls, return_index=True)
@@ -182,15 +199,16 @@ def _agreeing(members: DataFrame, sketches: DataFrame, trees: int) -> DataFrame:
                 held.append((c, f))
         yield from flush(held)
 
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, schema).distinct()
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small blocks take long: not merged by their bytes
+    return rows.repartition(n, "block").sortWithinPartitions("block").mapInArrow(run, schema).distinct()
 
 
-def _blocks(members: DataFrame, sketches: DataFrame, scratch: Scratch, trees: int, leaf: int) -> DataFrame:
+def _blocks(members: DataFrame, sketches: DataFrame, scratch: Scratch, least: int, leaf: int) -> DataFrame:
     """(block, cls): what is compared on full sets.
 
     Parts that overlap are united as long as a block stays within ``leaf`` sets, so that most
     texts travel once; the parts of larger unions stay blocks of their own."""
-    parts = scratch.write(_agreeing(members, sketches, trees), "parts")
+    parts = scratch.write(_agreeing(members, sketches, least), "parts")
     low = parts.groupBy("block").agg(F.min("cls").alias("low"))
     union = connected(parts.join(low, "block").select(F.col("cls").alias("a"), F.col("low").alias("b")), scratch)
     whole = scratch.write(union.unionAll(union.select(F.col("root").alias("node"), "root").distinct()), "unions")
@@ -232,7 +250,8 @@ def _compare(members: DataFrame, sketches: DataFrame, texts: DataFrame, percent:
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(y, pa.int64()) for y in zip(*out)], names=["a", "b"])
 
-    return rows.repartition("block").sortWithinPartitions("block").mapInArrow(run, schema).distinct()
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small blocks take long: not merged by their bytes
+    return rows.repartition(n, "block").sortWithinPartitions("block").mapInArrow(run, schema).distinct()
 
 
 def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
@@ -246,12 +265,12 @@ def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
     while True:
         # small star: of every node, the smaller neighbours and itself go to the smallest of them
         least = e.groupBy("a").agg(F.min("b").alias("m"))
-        small = e.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
+        small = e.join(opaque(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
         small = scratch.write(small, "edges")
         # large star: of every node, the larger neighbours go to its smallest neighbour (or itself)
         both = small.unionAll(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
+        large = both.join(opaque(least, "a"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         e = scratch.write(large, "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
@@ -261,11 +280,12 @@ def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 # -- the join ---------------------------------------------------------------------------------
 def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, k: int, trees: int, levels: int, leaf: int) -> DataFrame:
-    compare = lambda m: _compare(_blocks(m, sketches, scratch, trees, leaf), sketches, texts, percent, k)
+    least = meets_for(percent, trees)
+    compare = lambda m: _compare(_blocks(m, sketches, scratch, least, leaf), sketches, texts, percent, k)
     meets = sketches.where("n > 0").select(F.col("cid").alias("cls"), F.explode("first").alias("node"))
     shared = scratch.write(meets.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node"), "shared")
     meets = scratch.write(meets.join(shared, "node"), "meets")
-    busy = scratch.write(meets.groupBy("cls").agg(F.count("*").alias("trees")).where(F.col("trees") >= min(MEET, trees)).select("cls"), "busy")
+    busy = scratch.write(meets.groupBy("cls").agg(F.count("*").alias("trees")).where(F.col("trees") >= least).select("cls"), "busy")
     rows = meets.join(busy, "cls").select("cls", F.array("node").alias("path"))
     parts = []
     for d in range(levels):
@@ -319,9 +339,9 @@ def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int
     return first.unionAll(compare(second))
 
 
-def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85, k: int = SHINGLE, trees: int = TREES, levels: int = LEVELS, leaf: int = LEAF, scratch: Scratch | None = None) -> DataFrame:
+def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85, k: int = SHINGLE, trees: int | None = None, levels: int = LEVELS, leaf: int = LEAF, scratch: Scratch | None = None) -> DataFrame:
     """``docs`` with n_shingles, component_id and kept (doc_id = component_id)."""
-    out = _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch or Scratch(docs.sparkSession))
+    out = _classified(docs, text, doc_id, percent, k, trees or trees_for(percent, levels), levels, leaf, scratch or Scratch(docs.sparkSession))
     return out.select(*unwrapped(docs.columns, ["n_shingles", "component_id", "kept"]))
 
 
@@ -334,7 +354,7 @@ def _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch) ->
     facts = sketches.select("__k1", "__k2", "__doc", "n", "cid").join(roots, F.col("cid") == roots.node, "left")
     facts = scratch.write(facts.select("__k1", "__k2", "__doc", F.col("n").alias("n_shingles"), F.coalesce("root", "cid").alias("root")), "facts")
     ids = facts.groupBy("root").agg(F.min("__doc").alias("component_id"))
-    known = facts.join(ids, "root").select("__k1", "__k2", "n_shingles", "component_id")
+    known = facts.join(opaque(ids, "root"), "root").select("__k1", "__k2", "n_shingles", "component_id")
     known = scratch.write(known.join(texts.select("__k1", "__k2", "__copies"), ["__k1", "__k2"]), "known")
     own = F.col("__id").cast("long")
     out = keyed.select("__row", "__id", "__k1", "__k2").join(known, ["__k1", "__k2"])
@@ -344,6 +364,6 @@ def _classified(docs, text, doc_id, percent, k, trees, levels, leaf, scratch) ->
 
 def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 80, scratch: Scratch | None = None) -> DataFrame:
     """One row of each component, with the columns of ``docs``."""
-    out = _classified(docs, text, doc_id, percent, SHINGLE, TREES, LEVELS, LEAF, scratch or Scratch(docs.sparkSession)).where("kept")
+    out = _classified(docs, text, doc_id, percent, SHINGLE, trees_for(percent), LEVELS, LEAF, scratch or Scratch(docs.sparkSession)).where("kept")
     many = (F.col("__copies") > 1) & (F.col("n_shingles") > 0)
     return out.where(~many).select("__row.*").unionAll(out.where(many).dropDuplicates(["__k1", "__k2"]).select("__row.*"))

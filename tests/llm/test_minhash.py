@@ -89,3 +89,14 @@ def test_query_on_a_table(spark):
     rows = [(r.doc_id, r.text) for r in table(spark, d, "documents").collect()]
     got = QUERIES["op7_chosen_path_minhash"](spark, d).collect()
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+
+
+@pytest.mark.parametrize("n", [10, 11, 12])
+def test_words_that_collide_as_polynomials(docs_of, n):
+    """Thue-Morse words of 1,024 letters and more and their swaps are different words."""
+    a = "a"
+    for _ in range(n):
+        a += a.translate(str.maketrans("ab", "ba"))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, a), (2, b), (3, f"{a} x y z {b}"), (4, f"{b} x y z {a}"), (5, f"{a} x y z {b}")]
+    assert mine(docs_of, rows) == brute(rows)
