@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.relational import opaque
 from .common import Scratch, blocks, map_blocks, mix, powers, prefix_hash, span_hash, text_bytes, unwrapped, wrapped
 
 LENGTH = 200
@@ -321,7 +322,7 @@ def repeated_spans(texts: DataFrame, scratch: Scratch, length: int = LENGTH, hot
     again = scratch.write(found.join(often, "h"), "again")  # written, so that a hot anchor's part of the join can be split
     kinds = scratch.write(again.groupBy("h", "s", "n").agg(F.count("*").alias("c"), F.first("__k1").alias("__k1"), F.first("__k2").alias("__k2"), F.first("a").alias("a")), "kinds")
     crowded = kinds.groupBy("h").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("h", F.lit(True).alias("hot"))
-    wanted = kinds.join(crowded, "h", "left").groupBy("__k1", "__k2").agg(F.collect_list(F.struct("h", "s", "a", "n", "c", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("want"))
+    wanted = kinds.join(opaque(crowded, "h"), "h", "left").groupBy("__k1", "__k2").agg(F.collect_list(F.struct("h", "s", "a", "n", "c", F.coalesce("hot", F.lit(False)).alias("hot"))).alias("want"))
     segments = scratch.write(_bytes_of(texts.join(wanted, ["__k1", "__k2"]), length), "segments")
     marks = scratch.write(_shards(segments.where("not hot"), length).unionAll(_hot(segments.where("hot"), length)), "marks")
     return (again.join(marks, ["h", "s", "n"]).groupBy("__k1", "__k2")
