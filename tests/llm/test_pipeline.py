@@ -44,3 +44,30 @@ def test_stages(spark):
 def test_run(spark):
     out = cp.run(spark, D)
     assert out.count() > 100 and "ids" in out.columns and cp.ORACLE_SQL is None
+
+
+def test_stages_on_edge_rows_and_empty_tables(spark):
+    """Null and empty texts, repeated rows, ties, extra columns with clashing names, and no rows at all go through every stage."""
+    import random
+
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    rnd = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    text = lambda n: " ".join(rnd.choice(words) for _ in range(n))
+    copy, passage = text(80), text(70)
+    rows = [(1, None), (2, ""), (3, copy), (4, copy), (4, copy), (5, f"{text(30)} {passage} {text(30)}"), (6, f"{text(30)} {passage} {text(30)}"), (None, text(20)), (None, None), (7, text(3000))]
+    docs = spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for c in ("__row", "__k1", "kept", "score", "spans", "ids_", "matches"):
+        docs = docs.withColumn(c, F.lit("mine"))
+    d = "/root/testdata/sf0.001"
+    counts = {}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, d)
+        if name != "token_ids":
+            assert out.columns == docs.columns, name
+            assert out.where("kept <> 'mine'").count() == 0
+        counts[name] = out.count()
+        assert stage(spark, docs.limit(0), d).count() == 0, name
+    assert counts.pop("toxicity") <= 10  # the labels of another table's documents: any may be rejected
+    assert counts == {"near_duplicates": 8, "repeated_passages": 10, "benchmark_leaks": 10, "token_ids": 10}
