@@ -61,6 +61,16 @@ def test_prefix_scores_equal_truncated_models(labelled):
     assert all(own[r.id] == pytest.approx(2 * r.margins[-1]) or own[r.id] == pytest.approx(r.margins[-1]) for r in margins.collect())
 
 
+def test_margins_of_many_trees_are_written_before_they_are_scored(labelled):
+    """No tree is left in the plan that reads the margins: a filter inferred there names every subset of the tree columns."""
+    a = MD.assemble(labelled, ["a", "b"])
+    model = MD.private_outputs(MD.model_gbt(max_iter=20, max_depth=2)).setLabelCol("target").fit(a.where("val_fold_n <> 0"))
+    margins = MD.prefix_margins(model, a.where("val_fold_n = 0"), ["id", "target"])
+    plan = margins._jdf.queryExecution().executedPlan().toString()
+    assert "ExistingRDD" in plan and "UDF" not in plan
+    assert MD.prefix_scores(margins, "id", "target").count() == len(model.trees)
+
+
 def test_metric_of_margins_in_sql(labelled, tmp_path):
     """DuckDB's score from the written margins is Spark's."""
     import duckdb
