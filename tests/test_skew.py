@@ -201,6 +201,38 @@ def test_apply_panel_is_bounded_on_a_hot_entity(spark, hot):
     assert got == {k: ",".join(v) for k, v in want.items()} and len(want[-1]) == 13
 
 
+@pytest.mark.parametrize("batch", [3, 10000])
+def test_apply_panel_gives_python_many_entities_at_once(spark, batch):
+    """Entities share the batches, over whose ends they may reach; each frame has the types of its own rows, whatever its neighbours hold."""
+    big = 2**60 + 1
+    rows = [(k, f"2020-01-{1 + (i * 7) % 28:02d}", i, None if (k, i) == (3, 2) else big + i, None if (k, i) == (2, 1) else i % 2 == 0)
+            for k in [*range(40), None] for i in range(5)] + [(7, None, 9, big, True), (7, None, 8, big, True)]
+    df = spark.createDataFrame(rows, "customer_id long, s_2 string, seq long, x long, b boolean").withColumn("s_2", F.col("s_2").cast("timestamp"))
+
+    def see(pdf):
+        import pandas as pd
+        k = pdf["customer_id"].iloc[0]
+        if k == 5:
+            return pd.DataFrame()
+        return pd.DataFrame([[None if pd.isna(k) else int(k), ",".join(map(str, pdf["seq"])), str(pdf["x"].dtype), str(pdf["b"].dtype), None if k == 3 else int(pdf["x"].max()), len(pdf.columns)]])
+
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        out = H.apply_panel(df, SP, see, "customer_id long, seqs string, x string, b string, top long, width int", n=4)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        got = {r.customer_id: r for r in out.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert "FlatMapGroupsInPandas" not in plan and "WindowGroupLimit" in plan
+    assert set(got) == {*range(40), None} - {5}
+    for k, r in got.items():
+        mine = [x for x in rows if x[0] == k]
+        last = sorted((x for x in mine if x[1]), key=lambda x: (x[1], x[2]))[-4:]
+        assert r.seqs == ",".join(str(x[2]) for x in last) and r.width == 5
+        assert (r.x, r.b) == ("float64" if any(x[3] is None for x in last) else "int64", "object" if any(x[4] is None for x in last) else "bool")
+        assert r.top == (None if k == 3 else max(x[3] for x in last))
+
+
 def test_document_chunks_of_a_hot_entity(spark, hot, tmp_path):
     """The chunks joined are the document; a hot entity's document is made of many, and the sink keeps their order."""
     from panelspark.operators import encode as E
