@@ -187,3 +187,21 @@ def test_imputation_with_categories(spark):
     missing = [(got[i].b, b) for i, _, b, c, gone in rows if gone and c]
     mean = np.mean([b for _, _, b, _, gone in rows if not gone])
     assert np.mean([abs(x - b) for x, b in missing]) < 0.2 * np.mean([abs(mean - b) for _, b in missing])
+
+
+def test_imputation_reads_a_matrix_in_pieces(spark, monkeypatch):
+    """The pieces of the matrix follow the rows, and a small dictionary costs the rows no exchange; the values stay."""
+    rows = [(i, float(i % 7), float(i % 5) if i % 4 else None, "uvw"[i % 3]) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c string").coalesce(2)
+    whole = {r.id: r for r in MD.impute_model(df, ["a", "b"], max_iter=3, cats=["c"]).collect()}
+    monkeypatch.setattr(MD, "PIECE_CELLS", 100)
+    out = MD.impute_model(df, ["a", "b"], max_iter=3, cats=["c"])
+    assert out.rdd.getNumPartitions() == 9
+    got = {r.id: r for r in out.collect()}
+    assert got.keys() == whole.keys() and all(got[i].b == pytest.approx(whole[i].b) and (got[i].a, got[i].c) == (whole[i].a, whole[i].c) for i in got)
+    coded, _ = MD.Encoding(df, ["c"], "category").transform(df)
+    plan = coded._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    monkeypatch.setattr(MD, "SMALL_DICTIONARY", 1)
+    coded, _ = MD.Encoding(df, ["c"], "category").transform(df)
+    assert "SortMergeJoin" in coded._jdf.queryExecution().executedPlan().toString()
