@@ -205,3 +205,26 @@ def test_imputation_reads_a_matrix_in_pieces(spark, monkeypatch):
     monkeypatch.setattr(MD, "SMALL_DICTIONARY", 1)
     coded, _ = MD.Encoding(df, ["c"], "category").transform(df)
     assert "SortMergeJoin" in coded._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("residual", [None, "a"])
+def test_cv_makes_its_inputs_once(spark, labelled, residual):
+    """What makes the training and the test rows runs once, however many folds and fits read them."""
+    from pyspark.ml.regression import GBTRegressor
+    seen = {k: spark.sparkContext.accumulator(0) for k in ("train", "test")}
+
+    def noted(df, k):
+        at = seen[k]
+
+        @F.udf("double")
+        def note(x):
+            at.add(1)
+            return x
+
+        return df.withColumn("b", note("b"))
+
+    make = (lambda run: GBTRegressor(maxIter=2, maxDepth=2, seed=1)) if residual else (lambda run: MD.model_gbt(max_iter=2, max_depth=2))
+    oof, test, log = MD.train_cv_oof(noted(labelled, "train"), noted(labelled.where("id < 9").drop("val_fold_n"), "test"), "id", ["a", "b"], make, runs_per_fold=2, residual_of=residual)
+    assert oof.count() == labelled.count() and test.count() == labelled.where("id < 9").count()
+    assert len(log["folds"]) > 1 and log["Aggregated_FI"]
+    assert {k: v.value for k, v in seen.items()} == {"train": labelled.count(), "test": test.count()}
