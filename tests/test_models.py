@@ -199,11 +199,11 @@ def test_imputation_reads_a_matrix_in_pieces(spark, monkeypatch):
     assert out.rdd.getNumPartitions() == 9
     got = {r.id: r for r in out.collect()}
     assert got.keys() == whole.keys() and all(got[i].b == pytest.approx(whole[i].b) and (got[i].a, got[i].c) == (whole[i].a, whole[i].c) for i in got)
-    coded, _ = MD.Encoding(df, ["c"], "category").transform(df)
+    coded, _ = MD.Encoding(df, ["c"], "category").transform(df, broadcast=True)
     plan = coded._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     monkeypatch.setattr(MD, "SMALL_DICTIONARY", 1)
-    coded, _ = MD.Encoding(df, ["c"], "category").transform(df)
+    coded, _ = MD.Encoding(df, ["c"], "category").transform(df, broadcast=True)
     assert "SortMergeJoin" in coded._jdf.queryExecution().executedPlan().toString()
 
 
