@@ -20,7 +20,10 @@ connected, all pairs of pieces that may still hold links are compared.
 Groups of copies stay small: equal texts are collapsed before branching, and parts that overlap
 are compared as one block, as long as that stays within ``LEAF`` sets.  Every
 compared block yields a spanning forest of its links, not all pairs, and components come from
-alternating small-star and large-star steps over these.
+alternating small-star and large-star steps over these, until every node hangs on its component's smallest.
+
+The number of Spark jobs does not grow with ``LEVELS``: the members of large nodes are counted at all deeper
+levels at once, and overlapping parts find each other in ``UNITE`` passes of minima, not by components.
 
 Edge cases: null text and texts without words have an empty set and are linked with nothing;
 shorter texts than 5 words have their whole word sequence as only shingle; equal texts, repeated
@@ -35,7 +38,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,6 +50,8 @@ SHINGLE = 5
 TREES = 16  # at least
 LEVELS = 6
 LEAF = 256
+#: Passes in which parts that share sets take the smallest set among them as their label.
+UNITE = 2
 #: Highest shares of pairs at the threshold that may be missed: by all trees at the last level, and by leaving out sets.
 MISSED = 5.2e-4
 PRUNED = 1e-6
@@ -161,9 +166,10 @@ def block_forest(sets: list[np.ndarray], percent: int) -> list[int]:
 def _agreeing(members: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
     """The parts of each block whose sets choose the same first token in ``least`` trees, as blocks of their own.
 
-    A part is named after its members, so that one group that several trees found is compared once.
+    A part is named after its members, so that one group that several trees found is compared once; low is its
+    smallest set.
     """
-    schema = StructType.fromDDL("block bigint, cls bigint")
+    schema = StructType.fromDDL("block bigint, cls bigint, low bigint")
     rows = members.join(sketches.select(F.col("cid").alias("cls"), "first"), "cls").select("block", "cls", "first")
 
     def parts(cls: np.ndarray, first: np.ndarray):
@@ -181,12 +187,12 @@ def _agreeing(members: DataFrame, sketches: DataFrame, least: int) -> DataFrame:
         name = np.zeros(len(cls), U64)
         np.add.at(name, root, mix(cls.astype(U64) + U64(1)))
         ok = count[root] > 1
-        return mix(name)[root][ok].view(np.int64), cls[ok]
+        return mix(name)[root][ok].view(np.int64), cls[ok], cls[root][ok]
 
     def run(batches):
         def flush(rows):
             if len(rows) > 1:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts(np.array([c for c, _ in rows], np.int64), np.array([f for _, f in rows], np.int64))], names=["block", "cls"])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in parts(np.array([c for c, _ in rows], np.int64), np.array([f for _, f in rows], np.int64))], names=schema.names)
 
         block, held = None, []
         for b in batches:
@@ -207,15 +213,16 @@ def _blocks(members: DataFrame, sketches: DataFrame, scratch: Scratch, least: in
     """(block, cls): what is compared on full sets.
 
     Parts that overlap are united as long as a block stays within ``leaf`` sets, so that most
-    texts travel once; the parts of larger unions stay blocks of their own."""
-    parts = scratch.write(_agreeing(members, sketches, least), "parts")
-    low = parts.groupBy("block").agg(F.min("cls").alias("low"))
-    union = connected(parts.join(low, "block").select(F.col("cls").alias("a"), F.col("low").alias("b")), scratch)
-    whole = scratch.write(union.unionAll(union.select(F.col("root").alias("node"), "root").distinct()), "unions")
-    small = scratch.write(whole.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") <= leaf).select("root"), "small")
-    united = whole.join(small, "root").select(F.col("root").alias("block"), F.col("node").alias("cls"))
-    other = parts.join(whole.join(small, "root", "left_anti").select(F.col("node").alias("cls")), "cls").select("block", "cls")
-    return united.unionAll(other)
+    texts travel once; the parts of larger unions stay blocks of their own.  A part goes into a union
+    whole, so no link depends on how many of the parts that overlap get the same label."""
+    rows = scratch.write(_agreeing(members, sketches, least), "parts").withColumnRenamed("low", "label")
+    for _ in range(UNITE):  # a set lies in few parts, at most one of LEAF / 2 of them has the same pivot; a part has LEAF sets
+        for key in ("cls", "block"):
+            rows = rows.withColumn("label", F.min("label").over(Window.partitionBy(key)))
+    rows = scratch.write(rows, "labelled")
+    small = rows.select("label", "cls").distinct().groupBy("label").agg(F.count("*").alias("n")).where(F.col("n") <= leaf)
+    small = scratch.write(small.select("label", F.lit(True).alias("united")), "small")
+    return rows.join(small, "label", "left").select(F.when(F.col("united"), F.col("label")).otherwise(F.col("block")).alias("block"), "cls").distinct()
 
 
 def _compare(members: DataFrame, sketches: DataFrame, texts: DataFrame, percent: int, k: int) -> DataFrame:
@@ -255,27 +262,26 @@ def _compare(members: DataFrame, sketches: DataFrame, texts: DataFrame, percent:
 
 
 def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
-    """(node, root) of all nodes with edges (a, b): alternating small-star and large-star steps.
+    """(node, root) of all nodes with edges (a, b), a written table: alternating small-star and large-star steps.
 
-    Tables in the shared folder cut the lineage after each round.  Every node ends at the smallest
-    node of its component.
+    Tables in the shared folder cut the lineage after each step.  Every node ends at the smallest
+    node of its component: that is so once every node has one edge, to a node without edges to smaller ones.
     """
-    e = scratch.write(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct(), "edges")
-    before = None
+    e = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b")
     while True:
         # small star: of every node, the smaller neighbours and itself go to the smallest of them
         least = e.groupBy("a").agg(F.min("b").alias("m"))
-        small = e.join(opaque(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a > b").distinct()
+        small = e.join(opaque(least, "a"), "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).where("a > b")
         small = scratch.write(small, "edges")
         # large star: of every node, the larger neighbours go to its smallest neighbour (or itself)
-        both = small.unionAll(small.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        both = small.selectExpr("inline(array(struct(a, b), struct(b AS a, a AS b)))")
         least = both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a"), F.least("a", "m").alias("m"))
         large = both.join(opaque(least, "a"), "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b").distinct()
         e = scratch.write(large, "edges")
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        ends = e.selectExpr("inline(array(struct(a AS node, 1 AS up, 0 AS down), struct(b AS node, 0 AS up, 1 AS down)))")
+        ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+        if ends.agg(F.count_if(F.expr("up > 1 OR (up > 0 AND down > 0)"))).first()[0] == 0:
             return e.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
 
 
 # -- the join ---------------------------------------------------------------------------------
@@ -286,32 +292,27 @@ def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int
     shared = scratch.write(meets.groupBy("node").agg(F.count("*").alias("size")).where("size > 1").select("node"), "shared")
     meets = scratch.write(meets.join(shared, "node"), "meets")
     busy = scratch.write(meets.groupBy("cls").agg(F.count("*").alias("trees")).where(F.col("trees") >= least).select("cls"), "busy")
-    rows = meets.join(busy, "cls").select("cls", F.array("node").alias("path"))
-    parts = []
-    for d in range(levels):
-        at = rows.withColumn("node", F.col("path")[d])
-        nodes = scratch.write(at.groupBy("node").agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("sign"), F.min("cls").alias("low")).where("size > 1"), "nodes")
-        small = nodes.where(F.col("size") <= leaf).groupBy("sign", "size", "low").agg(F.min("node").alias("node"))
-        parts.append(scratch.write(at.join(scratch.write(small.select("node", "size"), "leaves"), "node").select(F.col("node").alias("block"), "cls", F.col("size").cast("long").alias("size")), "members"))
-        large = scratch.write(nodes.where(F.col("size") > leaf).select("node", "size", "low"), "large")
-        if large.isEmpty():
-            large = None
-            break
-        if d == 0:  # deeper levels are for the members of large nodes alone
-            large_rows = scratch.write(at.join(large.select("node"), "node").select("cls", "node"), "rows")
-            some = scratch.write(large_rows.select("cls").distinct(), "some")
-            deep = sketches.join(some, F.col("cid") == F.col("cls")).select("cls", F.explode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(path, t * {levels} + 1, {levels}))")).alias("path"))
-            rows = scratch.write(deep.withColumn("node", F.col("path")[0]).join(large_rows, ["cls", "node"], "left_semi").select("cls", "path"), "rows")
-        else:
-            rows = scratch.write(at.join(large.select("node"), "node").select("cls", "path"), "rows")
-    members = parts[0]
-    for p in parts[1:]:
-        members = members.unionAll(p)
-    members = members.select("block", "cls")
-    if large is None:
-        return compare(members)
+    rows = meets.join(busy, "cls").select("cls", "node")
+    facts = [F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("sign"), F.min("cls").alias("low")]
+    nodes = scratch.write(rows.groupBy("node").agg(*facts).where("size > 1"), "nodes")
+    leaves, large, places, last = nodes.where(F.col("size") <= leaf), scratch.write(nodes.where(F.col("size") > leaf), "large"), rows, rows
+    if levels > 1 and not large.isEmpty():  # deeper levels are for the members of large nodes alone, all levels at once
+        some = rows.join(large.select("node"), "node").select("cls").distinct()
+        deep = sketches.join(some, F.col("cid") == F.col("cls")).select("cls", F.explode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(path, t * {levels} + 1, {levels}))")).alias("path"))
+        deep = scratch.write(deep.join(large.select(F.col("node").alias("first")), F.col("path")[0] == F.col("first"), "left_semi"), "rows")
+        steps = deep.select("cls", F.explode(F.expr(f"transform(sequence(1, {levels - 1}), d -> struct(path[d - 1] AS parent, path[d] AS node, d = {levels - 1} AS last))")).alias("s")).select("cls", "s.*")
+        nodes = scratch.write(steps.groupBy("node").agg(*facts, F.min("parent").alias("parent"), F.min("last").alias("last")).where("size > 1"), "nodes")
+        large = scratch.write(large.withColumn("last", F.lit(False)).unionByName(nodes.where(F.col("size") > leaf).drop("parent")), "large")
+        below = nodes.where(F.col("size") <= leaf).join(large.select(F.col("node").alias("parent")), "parent", "left_semi")
+        leaves = leaves.unionByName(below.select(*leaves.columns))
+        large, places = large.where("last").drop("last"), rows.unionByName(steps.select("cls", "node"))
+        last = deep.select("cls", F.col("path")[levels - 1].alias("node"))
+    leaves = scratch.write(leaves.groupBy("sign", "size", "low").agg(F.min("node").alias("block")).select("block"), "leaves")
+    members = places.join(leaves, F.col("node") == F.col("block")).select("block", "cls")
+    if large.isEmpty():
+        return scratch.write(compare(members), "links")
     # large nodes of the last level: in pieces, each with the node's smallest member
-    rest = scratch.write(rows.withColumn("node", F.col("path")[levels - 1]).join(large, "node").select("node", "cls", "size", "low"), "rest")
+    rest = scratch.write(last.join(large.select("node", "size", "low"), "node").select("node", "cls", "size", "low"), "rest")
     stars = rest.select("low", "cls").distinct()
     pieces = scratch.write(stars.groupBy("low").agg(F.ceil(F.count("*") / (leaf // 2)).alias("pieces")), "pieces")
     dealt = stars.join(pieces, "low").withColumn("piece", F.pmod(F.xxhash64("cls"), F.col("pieces")))
@@ -336,7 +337,7 @@ def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int
     sides = pair.select(block, F.col("x.node").alias("node"), F.col("x.group").alias("group"), F.col("x.piece").alias("piece")).unionAll(
         pair.select(block, F.col("y.node").alias("node"), F.col("y.group").alias("group"), F.col("y.piece").alias("piece"))).distinct()
     second = dealt.join(sides, ["node", "group", "piece"]).select("block", "cls").distinct()
-    return first.unionAll(compare(second))
+    return scratch.write(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(compare(second)), "links")
 
 
 def classify(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", percent: int = 85, k: int = SHINGLE, trees: int | None = None, levels: int = LEVELS, leaf: int = LEAF, scratch: Scratch | None = None) -> DataFrame:

@@ -2,11 +2,12 @@
 
 import random
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
 from panelspark.llm import op7_minhash as op
+from panelspark.llm.common import Scratch
 from llm_fixtures import docs_of  # noqa: F401
 
 
@@ -61,6 +62,29 @@ def test_components_equal_brute_force(docs_of, rows, options):
     assert mine(docs_of, rows, **options) == brute(rows, options.get("percent", 85))
 
 
+def test_jobs_do_not_grow_with_levels_or_overlapping_parts(docs_of, rows):
+    """Large nodes down to the last level: each write is a job, and many partitions make each job slow."""
+    docs = docs_of(rows)
+    scratch = Scratch(docs.sparkSession)
+    got = op.classify(docs, leaf=4, levels=6, scratch=scratch).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    made = Counter(re.search(r"/([a-z]+)-[0-9a-f]{12}$", p)[1] for p in scratch.paths)
+    assert made["rest"] == 1 and made["nodes"] == 2 and made["leaves"] == 1
+    assert sum(n for name, n in made.items() if name != "edges") <= 30
+
+
+def test_components_of_chains_and_stars(docs_of):
+    """Chains through decreasing and shuffled nodes, a star, doubled and turned edges."""
+    spark = docs_of([]).sparkSession
+    path = list(range(60))
+    random.Random(5).shuffle(path)
+    edges = [(i, i + 1) for i in range(100, 140)] + [(1000 + a, 1000 + b) for a, b in zip(path, path[1:])] + [(2000, i) for i in range(2001, 2050)] + [(5, 3), (3, 5), (5, 3), (7, 7)]
+    got = op.connected(spark.createDataFrame(edges, "a bigint, b bigint"), Scratch(spark)).collect()
+    want = {i: 100 for i in range(101, 141)} | {1000 + i: 1000 for i in range(1, 60)} | {i: 2000 for i in range(2001, 2050)} | {5: 3}
+    assert len(got) == len(want) and {r.node: r.root for r in got} == want
+    assert op.connected(spark.createDataFrame([], "a bigint, b bigint"), Scratch(spark)).count() == 0
+
+
 def test_a_chain_is_one_component(docs_of):
     words = [f"c{i}" for i in range(160)]
     rows = [(i, " ".join(words[3 * i:3 * i + 100])) for i in range(20)]
