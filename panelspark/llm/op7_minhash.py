@@ -23,7 +23,8 @@ compared block yields a spanning forest of its links, not all pairs, and compone
 alternating small-star and large-star steps over these, until every node hangs on its component's smallest.
 
 The number of Spark jobs does not grow with ``LEVELS``: the members of large nodes are counted at all deeper
-levels at once, and overlapping parts find each other in ``UNITE`` passes of minima, not by components.
+levels at once, by distinct paths, so that sets which take the same path make no rows of their own there; and
+overlapping parts find each other in ``UNITE`` passes of minima, not by components.
 
 Edge cases: null text and texts without words have an empty set and are linked with nothing;
 shorter texts than 5 words have their whole word sequence as only shingle; equal texts, repeated
@@ -35,6 +36,7 @@ named like an output column are replaced.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -285,6 +287,17 @@ def connected(edges: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 # -- the join ---------------------------------------------------------------------------------
+def _deeper(paths: DataFrame, levels: int) -> DataFrame:
+    """(node, size, sign, low, parent, last) of all nodes below the first level; paths has the nodes n0, n1, ... of
+    each path that sets take, and the facts of these sets.  Each level adds up the nodes of the one below it."""
+    at, out = paths, None
+    for d in range(levels - 1, 0, -1):
+        step = at.select(F.col(f"n{d}").alias("node"), "size", "sign", "low", F.col(f"n{d - 1}").alias("parent"), F.lit(d == levels - 1).alias("last"))
+        out = step if out is None else out.unionAll(step)
+        at = at.groupBy(*[f"n{i}" for i in range(d)]).agg(F.sum("size").alias("size"), F.bit_xor("sign").alias("sign"), F.min("low").alias("low"))
+    return out
+
+
 def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int, k: int, trees: int, levels: int, leaf: int) -> DataFrame:
     least = meets_for(percent, trees)
     compare = lambda m: _compare(_blocks(m, sketches, scratch, least, leaf), sketches, texts, percent, k)
@@ -295,20 +308,23 @@ def _links(sketches: DataFrame, texts: DataFrame, scratch: Scratch, percent: int
     rows = meets.join(busy, "cls").select("cls", "node")
     facts = [F.count("*").alias("size"), F.bit_xor(F.xxhash64("cls")).alias("sign"), F.min("cls").alias("low")]
     nodes = scratch.write(rows.groupBy("node").agg(*facts).where("size > 1"), "nodes")
-    leaves, large, places, last = nodes.where(F.col("size") <= leaf), scratch.write(nodes.where(F.col("size") > leaf), "large"), rows, rows
+    leaves, large, last, paths = nodes.where(F.col("size") <= leaf), scratch.write(nodes.where(F.col("size") > leaf), "large"), rows, None
     if levels > 1 and not large.isEmpty():  # deeper levels are for the members of large nodes alone, all levels at once
         some = rows.join(large.select("node"), "node").select("cls").distinct()
         deep = sketches.join(some, F.col("cid") == F.col("cls")).select("cls", F.explode(F.expr(f"transform(sequence(0, {trees - 1}), t -> slice(path, t * {levels} + 1, {levels}))")).alias("path"))
-        deep = scratch.write(deep.join(large.select(F.col("node").alias("first")), F.col("path")[0] == F.col("first"), "left_semi"), "rows")
-        steps = deep.select("cls", F.explode(F.expr(f"transform(sequence(1, {levels - 1}), d -> struct(path[d - 1] AS parent, path[d] AS node, d = {levels - 1} AS last))")).alias("s")).select("cls", "s.*")
-        nodes = scratch.write(steps.groupBy("node").agg(*facts, F.min("parent").alias("parent"), F.min("last").alias("last")).where("size > 1"), "nodes")
+        deep = deep.join(large.select(F.col("node").alias("first")), F.col("path")[0] == F.col("first"), "left_semi")
+        deep = scratch.write(deep.select("cls", *[F.col("path")[d].alias(f"n{d}") for d in range(levels)]), "rows")
+        paths = scratch.write(deep.groupBy(*[f"n{d}" for d in range(levels)]).agg(*facts), "paths")
+        nodes = scratch.write(_deeper(paths, levels).where("size > 1"), "nodes")
         large = scratch.write(large.withColumn("last", F.lit(False)).unionByName(nodes.where(F.col("size") > leaf).drop("parent")), "large")
         below = nodes.where(F.col("size") <= leaf).join(large.select(F.col("node").alias("parent")), "parent", "left_semi")
         leaves = leaves.unionByName(below.select(*leaves.columns))
-        large, places = large.where("last").drop("last"), rows.unionByName(steps.select("cls", "node"))
-        last = deep.select("cls", F.col("path")[levels - 1].alias("node"))
+        large, last = large.where("last").drop("last"), deep.select("cls", F.col(f"n{levels - 1}").alias("node"))
     leaves = scratch.write(leaves.groupBy("sign", "size", "low").agg(F.min("node").alias("block")).select("block"), "leaves")
-    members = places.join(leaves, F.col("node") == F.col("block")).select("block", "cls")
+    members = rows.join(leaves, F.col("node") == F.col("block")).select("block", "cls")
+    if paths is not None:  # a path has one leaf at most
+        ends = [paths.select(F.col(f"n{levels - 1}").alias("node"), F.col(f"n{d}").alias("block")) for d in range(1, levels)]
+        members = members.unionByName(last.join(reduce(DataFrame.unionAll, ends).join(leaves, "block"), "node").select("block", "cls"))
     if large.isEmpty():
         return scratch.write(compare(members), "links")
     # large nodes of the last level: in pieces, each with the node's smallest member

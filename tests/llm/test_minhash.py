@@ -73,6 +73,22 @@ def test_jobs_do_not_grow_with_levels_or_overlapping_parts(docs_of, rows):
     assert sum(n for name, n in made.items() if name != "edges") <= 30
 
 
+def test_rows_of_large_nodes_are_not_multiplied_by_levels(docs_of, rows):
+    """The sets of large nodes are counted and dealt to deeper nodes by distinct paths, without a row for each set and level."""
+    plans = []
+
+    class Seen(Scratch):
+        def write(self, df, name):
+            plans.append((name, df._jdf.queryExecution().optimizedPlan().toString()))
+            return super().write(df, name)
+
+    docs = docs_of(rows)
+    got = op.classify(docs, leaf=4, levels=3, scratch=Seen(docs.sparkSession)).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == brute(rows)
+    assert {"rows", "parts"} <= {name for name, _ in plans}
+    assert [name for name, plan in plans if name in ("nodes", "paths", "parts") and "Generate" in plan] == ["parts"]  # the numbers of pieces
+
+
 def test_components_of_chains_and_stars(docs_of):
     """Chains through decreasing and shuffled nodes, a star, doubled and turned edges."""
     spark = docs_of([]).sparkSession
